@@ -21,9 +21,12 @@ from tallyloom.session import checkpointed
 PART, POS = "__part", "__pos"
 
 
-def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Equi-join condition that also matches NULL with NULL."""
-    return reduce(lambda a, b: a & b, [left[f"`{k}`"].eqNullSafe(right[f"`{k}`"]) for k in keys])
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi-join that also matches NULL with NULL; the right side's keys are dropped."""
+    aside = {k: f"__key{i}" for i, k in enumerate(keys)}
+    right = right.withColumnsRenamed(aside)
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(r)) for k, r in aside.items()]
+    return left.join(right, reduce(lambda a, b: a & b, same), how).drop(*aside.values())
 
 
 def _ranged(df: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -61,9 +64,9 @@ def running_sum(
     earlier = W.partitionBy(*by).orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
     carry = pieces.withColumn("__carry", F.sum("__piece").over(earlier)).filter("__carry is not null")
     carry = carry.drop("__piece")
-    joined = local.join(F.broadcast(carry), null_safe(local, carry, [PART, *by]), "left")
+    joined = join_null_safe(local, F.broadcast(carry), [PART, *by], "left")
     total = F.col("__local") + F.coalesce(F.col("__carry"), F.lit(0))
-    return joined.select(*[local[f"`{c}`"] for c in df.columns], total.alias(name))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], total.alias(name))
 
 
 def group_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tallyloom.functions import formulas as fx
-from tallyloom.operators.ordering import null_safe, running_sum
+from tallyloom.operators.ordering import join_null_safe, running_sum
 
 
 def _condition(cond: str | Column) -> Column:
@@ -93,7 +93,7 @@ def unique_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple
     unique = df.withColumn("__rn", F.row_number().over(first)).filter("__rn = 1").drop("__rn")
     least = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("__first"))
     least = least.select(*keys, *[F.col("__first")[c].alias(c) for c in order if c not in keys])
-    return unique, df.join(least, null_safe(df, least, least.columns), "left_anti")
+    return unique, join_null_safe(df, least, least.columns, "left_anti")
 
 
 # --- type inference --------------------------------------------------------------------------

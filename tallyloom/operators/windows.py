@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tallyloom.functions import formulas as fx
 from tallyloom.operators.joins import append_fields
-from tallyloom.operators.ordering import global_index, group_row_number, null_safe, running_sum
+from tallyloom.operators.ordering import global_index, group_row_number, join_null_safe, running_sum
 
 
 def days_since_last(
@@ -23,10 +23,11 @@ def days_since_last(
     days = df.groupBy(key, date).agg(F.min(tie).alias("__first"))
     previous = F.lag(date).over(W.partitionBy(key).orderBy(date))
     days = days.withColumn("__previous", previous)
-    since = F.when(F.col(tie) == F.col("__first"), F.datediff(df[f"`{date}`"], F.col("__previous")))
-    since = since.when(df[f"`{date}`"].isNotNull(), F.lit(0))
-    joined = df.join(days, null_safe(df, days, [key, date]), "left")
-    return joined.select(*[df[f"`{c}`"] for c in df.columns], since.alias(name))
+    day = F.col(f"`{date}`")
+    since = F.when(F.col(f"`{tie}`") == F.col("__first"), F.datediff(day, F.col("__previous")))
+    since = since.when(day.isNotNull(), F.lit(0))
+    joined = join_null_safe(df, days, [key, date], "left")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], since.alias(name))
 
 
 def pct_change(df: DataFrame, col: str, order: str, name: str, label: bool = True) -> DataFrame:

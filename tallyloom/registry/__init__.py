@@ -38,4 +38,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from tallyloom.registry import reports, sales  # noqa: F401
+    from tallyloom.registry import files, geo, joins, reports, retail, rows, sales  # noqa: F401
