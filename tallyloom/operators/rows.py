@@ -98,24 +98,51 @@ def unique_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple
 
 # --- type inference --------------------------------------------------------------------------
 
-INFER_LADDER = ("tinyint", "smallint", "int", "bigint", "double", "date", "timestamp")
+# Shapes that are worth a cast; the cast still decides.
+_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_DATE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+_TIMESTAMP = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[ T][0-9]"
+_INT_LIMITS = (("tinyint", 2**7), ("smallint", 2**15), ("int", 2**31))
 
 
 def infer_types_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """(ColumnName, DataType): the narrowest type that every value of a text column fits. One pass."""
+    """(ColumnName, DataType): the narrowest type that every value of a text column fits.
+
+    Tried in order: integers by width, double, date, timestamp, else string. One pass; integer widths
+    come from the extremes, and a column without values stays a string.
+    """
     cols = list(cols or df.columns)
-    counts = []
+    measures, rows = [], []
     for i, c in enumerate(cols):
         text = F.trim(F.col(f"`{c}`").cast("string"))
-        counts.append(F.count(text).alias(f"_n{i}"))
-        counts += [F.count(text.try_cast(t)).alias(f"_n{i}_{t}") for t in INFER_LADDER]
-    rows = []
-    for i, c in enumerate(cols):
-        best = F.when(F.col(f"_n{i}") == 0, F.lit("string"))
-        for t in INFER_LADDER:
-            best = best.when(F.col(f"_n{i}_{t}") == F.col(f"_n{i}"), F.lit(t))
-        rows.append(F.struct(F.lit(c).alias("ColumnName"), best.otherwise("string").alias("DataType")))
-    return df.agg(*counts).select(F.inline(F.array(*rows)))
+        whole = text.try_cast("bigint")
+
+        def fits(shape: str, dtype: str, text=text) -> Column:
+            return F.count(F.when(text.rlike(shape), text.try_cast(dtype)))
+
+        measures += [
+            F.count(text).alias(f"_all{i}"),
+            F.count(whole).alias(f"_whole{i}"),
+            F.min(whole).alias(f"_low{i}"),
+            F.max(whole).alias(f"_high{i}"),
+            fits(_NUMBER, "double").alias(f"_double{i}"),
+            fits(_DATE, "date").alias(f"_date{i}"),
+            fits(_TIMESTAMP, "timestamp").alias(f"_timestamp{i}"),
+        ]
+        rows.append(F.struct(F.lit(c).alias("ColumnName"), _narrowest(i).alias("DataType")))
+    return df.agg(*measures).select(F.inline(F.array(*rows)))
+
+
+def _narrowest(i: int) -> Column:
+    total, low, high = F.col(f"_all{i}"), F.col(f"_low{i}"), F.col(f"_high{i}")
+    every_whole = F.col(f"_whole{i}") == total
+    out = F.when(total == 0, "string")
+    for dtype, limit in _INT_LIMITS:
+        out = out.when(every_whole & (low >= -limit) & (high < limit), dtype)
+    out = out.when(every_whole, "bigint")
+    for dtype in ("double", "date", "timestamp"):
+        out = out.when(F.col(f"_{dtype}{i}") == total, dtype)
+    return out.otherwise("string")
 
 
 def infer_types(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -96,9 +96,14 @@ def select_ranges(df: DataFrame, ranges: Sequence[tuple], order: Sequence[str])
     return global_index(df, order, "__row").filter(wanted).drop("__row")
 
 
-def surrogate_key(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-    """1, 2, 3 … in the given order, for a small dimension (one unpartitioned window)."""
-    return df.withColumn(name, F.row_number().over(W.orderBy(*order)))
+def surrogate_key(df: DataFrame, order: Sequence[str], name: str, small: bool = False) -> DataFrame:
+    """1, 2, 3 … in the given order, for a dimension of any size (runs a job).
+
+    ``small=True`` is the plain unpartitioned window, for a handful of codes.
+    """
+    if small:
+        return df.withColumn(name, F.row_number().over(W.orderBy(*order)))
+    return global_index(df, order, name)
 
 
 def share_of_total(df: DataFrame, col: str, name: str = "Share", total: str | None = None) -> DataFrame:

@@ -85,34 +85,36 @@ def payment_risk(method: str = "PaymentMethod", amount: str = "NetRevenue", rule
     return F.when(safe_wire, "Low Risk").when(F.col(method) == "Credit Card", "Medium Risk").otherwise("PayPal Risk")
 
 
-def tier_features(df: DataFrame, rules: SalesRules = DEFAULT_RULES) -> DataFrame:
+def line_features(df: DataFrame, rules: SalesRules = DEFAULT_RULES) -> DataFrame:
+    """The formulas that need no dimension."""
     return df.withColumns(
         {
             "DealTier": fx.band("NetRevenue", rules.deal_tiers, rules.deal_tier_default),
             "DiscountTier": fx.band("DiscountRate", _decimal_edges(rules.discount_tiers), rules.discount_tier_default),
-            "AccountTier": fx.band("CreditLimit", rules.account_tiers, rules.account_tier_default),
             "PaymentRisk": payment_risk(rules=rules),
+            "RevenuePerUnit": fx.ratio("NetRevenue", "Quantity", 2),
         }
     )
 
 
-def _decimal_edges(edges: Edges):
-    return [(Decimal(str(edge)), label) for edge, label in edges]
-
-
-def target_features(df: DataFrame, rules: SalesRules = DEFAULT_RULES) -> DataFrame:
-    """RevenuePerUnit and the share of the region's daily target, 0 where the divisor is not positive."""
+def account_features(df: DataFrame, rules: SalesRules = DEFAULT_RULES) -> DataFrame:
+    opened = F.to_date(F.col("AccountOpenDate"))
     return df.withColumns(
         {
-            "RevenuePerUnit": fx.ratio("NetRevenue", "Quantity", 2),
-            "PctDailyTarget": fx.percent(F.col("NetRevenue") * rules.target_days, "RevenueTarget"),
+            "AccountTier": fx.band("CreditLimit", rules.account_tiers, rules.account_tier_default),
+            "AccountAgeDays": fx.days_between("TransactionDate", opened),
         }
     )
 
 
-def account_age(df: DataFrame) -> DataFrame:
-    opened = F.to_date(F.col("AccountOpenDate"))
-    return df.withColumn("AccountAgeDays", fx.days_between("TransactionDate", opened))
+def _decimal_edges(edges: Edges):
+    return [(Decimal(str(edge)), label) for edge, label in edges]
+
+
+def target_features(df: DataFrame, rules: SalesRules = DEFAULT_RULES) -> DataFrame:
+    """Share of the region's daily target, 0 where there is none."""
+    share = fx.percent(F.col("NetRevenue") * rules.target_days, "RevenueTarget")
+    return df.withColumn("PctDailyTarget", share)
 
 
 def commission(
@@ -169,38 +171,49 @@ def stage_valid(transactions: DataFrame) -> DataFrame:
 
 def enrich_star(
     staging: DataFrame,
-    customers: DataFrame,
-    products: DataFrame,
-    reps: DataFrame,
-    targets: DataFrame,
+    customers: DataFrame | None = None,
+    products: DataFrame | None = None,
+    reps: DataFrame | None = None,
+    targets: DataFrame | None = None,
     target_keys: Sequence[str] = ("Region", "Year", "Quarter"),
     check: bool = False,
 ) -> DataFrame:
-    """Fact with its four dimensions; every fact row stays exactly once when the keys are unique.
+    """Fact with its dimensions; every fact row stays exactly once when the keys are unique.
 
-    ``check`` verifies that (four small jobs). ``target_keys=("Region", "Quarter")`` suits targets of
-    a single year.
+    Leave out a dimension whose columns are not needed: the optimizer keeps an unused outer join, and
+    beyond broadcast size each one shuffles the fact. ``targets`` needs the customers' region.
+    ``check`` verifies unique keys (one small job per dimension). ``target_keys=("Region", "Quarter")``
+    suits targets of a single year.
     """
-    df = join_dim(staging, customers, "CustomerID", check=check)
-    df = join_dim(df, products, "ProductID", check=check)
-    df = join_dim(df, reps, "SalesRepID", check=check)
-    wanted = [*target_keys, "RevenueTarget", "UnitTarget", "RetentionTarget"]
-    return join_dim(df, targets, target_keys, wanted, check)
+    df = staging
+    for dim, key in ((customers, "CustomerID"), (products, "ProductID"), (reps, "SalesRepID")):
+        if dim is not None:
+            df = join_dim(df, dim, key, check=check)
+    if targets is not None:
+        wanted = [*target_keys, "RevenueTarget", "UnitTarget", "RetentionTarget"]
+        df = join_dim(df, targets, target_keys, wanted, check)
+    return df
 
 
 def enrich(
     staging: DataFrame,
-    customers: DataFrame,
-    products: DataFrame,
-    reps: DataFrame,
-    targets: DataFrame,
+    customers: DataFrame | None = None,
+    products: DataFrame | None = None,
+    reps: DataFrame | None = None,
+    targets: DataFrame | None = None,
     rules: SalesRules = DEFAULT_RULES,
     **star,
 ) -> DataFrame:
-    """The enriched transactions all reports start from."""
+    """The enriched transactions the reports start from: joins plus every formula they allow."""
     df = enrich_star(staging, customers, products, reps, targets, **star)
-    df = account_age(target_features(tier_features(margin_features(df), rules), rules))
-    return commission(df, rules)
+    df = line_features(df, rules)
+    if customers is not None:
+        df = account_features(df, rules)
+    if products is not None:
+        df = margin_features(df)
+    if targets is not None:
+        df = target_features(df, rules)
+    return commission(df, rules) if reps is not None else df
 
 
 # --- reports ---------------------------------------------------------------------------------

@@ -57,8 +57,11 @@ def multi_file_union(spark, d):
     closed, opened = f"{root}/closed", f"{root}/open"
     sinks.write_output(orders.filter("o_orderstatus <> 'O'").select("o_orderkey", "o_custkey", "o_totalprice"), closed)
     sinks.write_output(orders.filter("o_orderstatus = 'O'").select("o_totalprice", "o_orderpriority", "o_orderkey"), opened)
-    united = files.read_many(spark, [closed, opened], file_column=None)
-    return united.withColumns({c: F.col(c).cast("bigint") for c in ("o_orderkey", "o_custkey")})
+    schemas = {
+        closed: "o_orderkey bigint, o_custkey bigint, o_totalprice double",
+        opened: "o_totalprice double, o_orderpriority string, o_orderkey bigint",
+    }
+    return files.read_many(spark, schemas, file_column=None)
 
 
 @query("file_inventory")

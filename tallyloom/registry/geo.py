@@ -65,7 +65,7 @@ def store_direction(spark, d):
     sql(
         PAIRS,
         """SELECT original_customerid, count(*) AS stores, round(min(miles)::DECIMAL(28,8), 5) AS nearest,
-  round(max(miles)::DECIMAL(28,8), 5) AS farthest, arg_min(direction, miles) AS nearest_direction FROM pairs GROUP BY 1""",
+  round(max(miles)::DECIMAL(28,8), 5) AS farthest, arg_min_null(direction, miles) AS nearest_direction FROM pairs GROUP BY 1""",
         d="nearest, farthest",
     ),
 )

@@ -6,7 +6,7 @@ from tallyloom.operators import quality
 from tallyloom.operators.sinks import run_reports
 from tallyloom.plans import reports, sales
 from tallyloom.registry import query
-from tallyloom.registry.sales import RULES, dashboard, enriched, kpi, performance, reps, returned, staging
+from tallyloom.registry.sales import RULES, dashboard, enriched, kpi, lines, performance, reps, returned, staging
 from tallyloom.registry.sql import (
     CUSTOMERS, DASHBOARD, ENRICHED, KPI, PERFORMANCE, STAGING, TX, money, pct, ratio, rep_report, sql,
 )
@@ -88,7 +88,7 @@ FROM enriched GROUP BY 1""",
     ),
 )
 def report_deal_tier(spark, d):
-    return reports.by_deal_tier(enriched(spark, d))
+    return reports.by_deal_tier(enriched(spark, d, "reps"))
 
 
 @query(
@@ -102,7 +102,7 @@ def report_deal_tier(spark, d):
     ),
 )
 def report_commission_band(spark, d):
-    return reports.by_commission_band(enriched(spark, d))
+    return reports.by_commission_band(enriched(spark, d, "reps"))
 
 
 @query(
@@ -115,7 +115,7 @@ def report_commission_band(spark, d):
     ),
 )
 def report_discount_tier(spark, d):
-    return reports.by_discount_tier(enriched(spark, d))
+    return reports.by_discount_tier(lines(spark, d))
 
 
 @query(
@@ -128,7 +128,7 @@ FROM enriched GROUP BY 1, 2""",
     ),
 )
 def report_payment_risk(spark, d):
-    return reports.by_payment_risk(enriched(spark, d))
+    return reports.by_payment_risk(lines(spark, d))
 
 
 @query(
@@ -143,7 +143,7 @@ FROM enriched GROUP BY 1, 2, 3""",
     ),
 )
 def monthly_revenue_trend(spark, d):
-    return reports.monthly_revenue_trend(enriched(spark, d))
+    return reports.monthly_revenue_trend(enriched(spark, d, "products", "reps"))
 
 
 # --- customers -------------------------------------------------------------------------------
@@ -346,7 +346,7 @@ def report_target_status(spark, d):
     ),
 )
 def kpi_snapshot(spark, d):
-    return reports.kpi_snapshot(enriched(spark, d))
+    return reports.kpi_snapshot(enriched(spark, d, "products", "reps"))
 
 
 @query(

@@ -36,28 +36,40 @@ def returned(spark: SparkSession, d: str) -> DataFrame:
     return sales.split_returns(model.sales_transactions(spark, d))[1]
 
 
+DIMENSIONS = {
+    "customers": model.customers,
+    "products": model.products,
+    "reps": model.sales_reps,
+    "targets": model.regional_targets,
+}
+
+
 def star(spark: SparkSession, d: str) -> DataFrame:
-    return sales.enrich_star(staging(spark, d), *dimensions(spark, d))
+    return sales.enrich_star(staging(spark, d), **{name: load(spark, d) for name, load in DIMENSIONS.items()})
 
 
-def dimensions(spark: SparkSession, d: str) -> list[DataFrame]:
-    return [f(spark, d) for f in (model.customers, model.products, model.sales_reps, model.regional_targets)]
+def enriched(spark: SparkSession, d: str, *needed: str) -> DataFrame:
+    """The enriched transactions, with all dimensions or with the needed ones."""
+    dims = {name: DIMENSIONS[name](spark, d) for name in needed or DIMENSIONS}
+    return sales.enrich(staging(spark, d), rules=RULES, **dims)
 
 
-def enriched(spark: SparkSession, d: str) -> DataFrame:
-    return sales.enrich(staging(spark, d), *dimensions(spark, d), rules=RULES)
+def lines(spark: SparkSession, d: str) -> DataFrame:
+    """Staged transactions with the formulas that need no dimension."""
+    return sales.line_features(staging(spark, d), RULES)
 
 
 def kpi(spark: SparkSession, d: str) -> DataFrame:
-    return sales.customer_kpi(enriched(spark, d), RULES)
+    return sales.customer_kpi(enriched(spark, d, "customers", "products", "reps"), RULES)
 
 
 def performance(spark: SparkSession, d: str) -> DataFrame:
-    return sales.product_performance(enriched(spark, d))
+    return sales.product_performance(enriched(spark, d, "products"))
 
 
 def reps(spark: SparkSession, d: str, by_region: bool = False) -> DataFrame:
-    return sales.rep_commission(enriched(spark, d), by_region, RULES)
+    needed = ("customers", "products", "reps") if by_region else ("products", "reps")
+    return sales.rep_commission(enriched(spark, d, *needed), by_region, RULES)
 
 
 def dashboard(spark: SparkSession, d: str) -> DataFrame:
@@ -105,22 +117,34 @@ def revenue_features(spark, d):
     return df.select("TransactionID", "GrossRevenue", "NetRevenue", "DiscountAmount")
 
 
-def _picked(name: str, cols: str, d: str = "", i: str = "", key: str = '"TransactionID"') -> None:
-    """Register some columns of the enriched table under a name."""
+def _picked(name: str, cols: str, *needed: str, d: str = "", i: str = "") -> None:
+    """Register some columns of the enriched table, joined to the dimensions they need."""
     names = [c.strip() for c in cols.split(",")]
     quoted = ", ".join(f'"{c}"' for c in names)
-    text = sql(ENRICHED, f"SELECT {key}, {quoted} FROM enriched", d=d, i=i)
-    query(name, text)(lambda spark, sf: enriched(spark, sf).select("TransactionID", *names))
+    text = sql(ENRICHED, f'SELECT "TransactionID", {quoted} FROM enriched', d=d, i=i)
+
+    def run(spark, sf_dir):
+        df = enriched(spark, sf_dir, *needed) if needed else lines(spark, sf_dir)
+        return df.select("TransactionID", *names)
 
+    query(name, text)(run)
 
-_picked("margin_features", "COGS, GrossMargin, MarginPct", d="COGS, GrossMargin, MarginPct")
+
+_picked("margin_features", "COGS, GrossMargin, MarginPct", "products", d="COGS, GrossMargin, MarginPct")
 _picked("deal_tier", "NetRevenue, DealTier", d="NetRevenue")
 _picked("payment_risk", "PaymentMethod, PaymentRisk")
-_picked("target_features", "RevenuePerUnit, PctDailyTarget", d="RevenuePerUnit, PctDailyTarget")
-_picked("account_age", "AccountOpenDate, AccountAgeDays", i="AccountAgeDays")
+_picked(
+    "target_features",
+    "RevenuePerUnit, PctDailyTarget",
+    "customers",
+    "targets",
+    d="RevenuePerUnit, PctDailyTarget",
+)
+_picked("account_age", "AccountOpenDate, AccountAgeDays", "customers", i="AccountAgeDays")
 _picked(
     "commission",
     "TierMultiplier, ReturnMultiplier, BaseCommission, FinalCommission, CommissionBand",
+    "reps",
     d="TierMultiplier, ReturnMultiplier, BaseCommission, FinalCommission",
 )
 
@@ -240,4 +264,4 @@ query(
     sql(rep_report(False), 'SELECT "SalesRepID", "DealTier" AS "MostCommonTier" FROM tier_mode'),
 )
 def rep_most_common_tier(spark, d):
-    return aggs.mode_by(enriched(spark, d), "SalesRepID", "DealTier", "MostCommonTier")
+    return aggs.mode_by(lines(spark, d), "SalesRepID", "DealTier", "MostCommonTier")

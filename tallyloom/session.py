@@ -7,28 +7,41 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# What the library wants from a session. All are run-time settings a cluster may override.
-RECOMMENDED_CONF = {
+# Run-time settings the operators count on.
+RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Hot join keys: split the skewed partition even when that costs one more shuffle later.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join key's partition even where a later aggregation on the same key then needs
+    # one more shuffle. Without this the hot key's join and aggregation share a single task.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+SESSION_CONF = {
+    **RUNTIME_CONF,
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
 def build_session(app: str = "tallyloom", master: str | None = None, **conf) -> SparkSession:
-    """A session with the recommended settings; keyword ``a__b`` sets ``a.b``."""
+    """A session with these settings; keyword ``a__b`` sets ``a.b``."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RECOMMENDED_CONF, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
+    for key, value in {**SESSION_CONF, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Switch the run-time settings on in a session that somebody else built."""
+    for key, value in RUNTIME_CONF.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as the session names it in ``spark.checkpoint.dir``.
 

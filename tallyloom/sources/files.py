@@ -22,21 +22,26 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def read_many(
-    spark: SparkSession, paths: str | Sequence[str], schema=None, file_column: str | None = "FileName"
+    spark: SparkSession,
+    paths: str | Sequence[str] | Mapping[str, object],
+    schema=None,
+    file_column: str | None = "FileName",
 ) -> DataFrame:
     """Several CSV files as one table, with the source file's name.
 
-    A glob is one scan (all files share the columns). A list of paths or globs is united by column
-    name, and a column that a file lacks is NULL.
+    A glob is one scan (all files share the columns). A list of paths, or a mapping of path to its
+    schema, is united by column name, and a column that a file lacks is NULL.
     """
 
-    def scan(path: str) -> DataFrame:
+    def scan(path: str, schema) -> DataFrame:
         df = read_csv(spark, path, schema)
         return df.select("*", F.col("_metadata.file_name").alias(file_column)) if file_column else df
 
     if isinstance(paths, str):
-        return scan(paths)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [scan(p) for p in paths])
+        return scan(paths, schema)
+    schemas = paths if isinstance(paths, Mapping) else dict.fromkeys(paths, schema)
+    scans = [scan(path, declared) for path, declared in schemas.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
 def read_csv_preamble(
