@@ -66,20 +66,23 @@ def _cell(value: Column, size: float) -> Column:
     return F.floor(value / F.lit(size)).cast("bigint")
 
 
-def with_store_distances(customers: DataFrame, stores: DataFrame, max_stores: int = 500) -> DataFrame | None:
+def _listed(stores: DataFrame, max_stores: int) -> list | None:
+    """The stores with valid coordinates, read only up to one more than ``max_stores``; None beyond it."""
+    known = stores.filter(geo.valid_lat_lon("store_lat", "store_lon"))
+    rows = known.select("storeid", F.col("store_lat").cast("double"), F.col("store_lon").cast("double"))
+    found = rows.limit(max_stores + 1).collect()
+    return found if len(found) <= max_stores else None
+
+
+def with_store_distances(customers: DataFrame, stores: DataFrame, max_stores: int = 500) -> DataFrame:
     """Add ``Stores``: one ``struct<DistanceMiles, storeid, Direction>`` per store, nearest first.
 
-    The store list travels inside the plan, so customers are neither shuffled nor joined. It is read
-    only after a check that it has at most ``max_stores`` rows; a longer one gives None.
+    The store list travels inside the plan, so customers are neither shuffled nor joined. A longer
+    list is an error: the answer to that question is ``within_radius`` or ``nearest_store``.
     """
-    listed = (
-        stores.filter(geo.valid_lat_lon("store_lat", "store_lon"))
-        .select("storeid", F.col("store_lat").cast("double"), F.col("store_lon").cast("double"))
-        .limit(max_stores + 1)
-        .collect()
-    )
-    if len(listed) > max_stores:
-        return None
+    listed = _listed(stores, max_stores)
+    if listed is None:
+        raise ValueError(f"more than {max_stores} stores: ask for those within a radius, or for the nearest one")
     places = F.array(
         *[
             F.struct(F.lit(s.store_lat).alias("lat"), F.lit(s.store_lon).alias("lon"), F.lit(s.storeid).alias("id"))
@@ -98,23 +101,53 @@ def with_store_distances(customers: DataFrame, stores: DataFrame, max_stores: in
     return known.withColumn("Stores", F.array_sort(entries))
 
 
+def _nearest_listed(customers: DataFrame, listed: list) -> DataFrame:
+    """Nearest of a short list: compare straight-line distances of unit vectors, measure only the winner."""
+
+    def vector(lat: float, lon: float) -> tuple[float, float, float]:
+        lat, lon = math.radians(lat), math.radians(lon)
+        return math.cos(lat) * math.cos(lon), math.cos(lat) * math.sin(lon), math.sin(lat)
+
+    places = F.array(
+        *[
+            F.struct(
+                *[F.lit(v).alias(n) for n, v in zip("xyz", vector(s.store_lat, s.store_lon))],
+                F.lit(s.storeid).alias("id"),
+                F.lit(s.store_lat).alias("lat"),
+                F.lit(s.store_lon).alias("lon"),
+            )
+            for s in listed
+        ]
+    )
+    lat, lon = F.radians("lat"), F.radians("lon")
+    vectors = {"__x": F.cos(lat) * F.cos(lon), "__y": F.cos(lat) * F.sin(lon), "__z": F.sin(lat)}
+
+    def chord(s: Column) -> Column:
+        dx, dy, dz = s["x"] - F.col("__x"), s["y"] - F.col("__y"), s["z"] - F.col("__z")
+        gap = dx * dx + dy * dy + dz * dz
+        return F.struct(gap.alias("gap"), s["id"].alias("id"), s["lat"].alias("lat"), s["lon"].alias("lon"))
+
+    near = customers.filter(geo.valid_lat_lon("lat", "lon")).withColumns(vectors)
+    near = near.withColumn("__best", F.array_min(F.transform(places, chord)))
+    miles = geo.distance_miles("__best.lat", "__best.lon", "lat", "lon")
+    return near.select(*customers.columns, miles.alias("Min_DistanceMiles"), F.col("__best.id").alias("storeid"))
+
+
 def nearest_store(customers: DataFrame, stores: DataFrame, key: str, max_stores: int = 500) -> DataFrame:
     """Customers with ``Min_DistanceMiles`` and ``storeid`` of the closest store (ties: smaller id).
 
-    Up to ``max_stores`` stores: one expression per customer. More stores: search rings of growing
-    radius by grid cell; a ring's answer is exact because it holds every store within the radius,
-    and only customers without a store so far go on to the next ring (one job per ring).
+    Reads the store list up to ``max_stores`` (one small job). Within it: one expression per customer,
+    no join. More stores: search rings of growing radius by grid cell; a ring's answer is exact
+    because it holds every store within the radius, and only customers without a store so far go on
+    to the next ring (one job per ring; ``key`` must identify a customer).
     """
-    inline = with_store_distances(customers, stores, max_stores)
-    if inline is not None:
-        best = inline.withColumn("__best", F.get("Stores", F.lit(0)))
-        return best.select(
-            *customers.columns,
-            F.col("__best.DistanceMiles").alias("Min_DistanceMiles"),
-            F.col("__best.storeid").alias("storeid"),
-        ).filter(F.col("storeid").isNotNull())
+    listed = _listed(stores, max_stores)
+    if listed is not None:
+        return _nearest_listed(customers, listed) if listed else customers.limit(0).select(
+            "*", F.lit(0.0).alias("Min_DistanceMiles"), F.lit(0).cast("bigint").alias("storeid")
+        )
     place = stores.select("storeid", "store_lat", "store_lon")
-    rest, found = customers.select(key, "lat", "lon"), None
+    rest, found = customers.select(key, "lat", "lon").filter(geo.valid_lat_lon("lat", "lon")), None
     for miles in RINGS:
         near = within_radius(rest, place, miles + 1e-6)
         best = near.groupBy(key).agg(F.min(F.struct("DistanceMiles", "storeid")).alias("__best"))

@@ -98,7 +98,8 @@ def unique_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple
 
 # --- type inference --------------------------------------------------------------------------
 
-# Shapes that are worth a cast; the cast still decides.
+# Shapes that are worth a cast; the cast still decides. A failing cast costs an exception per row.
+_WHOLE = r"^[+-]?[0-9]{1,19}$"
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _DATE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 _TIMESTAMP = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[ T][0-9]"
@@ -115,7 +116,7 @@ def infer_types_profile(df: DataFrame, cols: Sequence[str] | None = None) -> Dat
     measures, rows = [], []
     for i, c in enumerate(cols):
         text = F.trim(F.col(f"`{c}`").cast("string"))
-        whole = text.try_cast("bigint")
+        whole = F.when(text.rlike(_WHOLE), text.try_cast("bigint"))
 
         def fits(shape: str, dtype: str, text=text) -> Column:
             return F.count(F.when(text.rlike(shape), text.try_cast(dtype)))

@@ -15,6 +15,9 @@ RUNTIME_CONF = {
     # Split a hot join key's partition even where a later aggregation on the same key then needs
     # one more shuffle. Without this the hot key's join and aggregation share a single task.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles a method above 8000 bytes; a wider stage runs as separate operators,
+    # whose expressions are split into small methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 SESSION_CONF = {
     **RUNTIME_CONF,
