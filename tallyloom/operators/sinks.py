@@ -19,7 +19,12 @@ def write_output(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwr
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)
-    writer.save(path)
+    try:
+        writer.save(path)
+    except Exception as err:
+        if "DATA_SOURCE_NOT_FOUND" in str(err):
+            raise RuntimeError(f"writing {fmt} needs its package on the session's class path") from err
+        raise
 
 
 def save_table(
