@@ -19,9 +19,12 @@ def filter_rows(df: DataFrame, cond: str | Column) -> DataFrame:
 
 
 def split_rows(df: DataFrame, cond: str | Column) -> tuple[DataFrame, DataFrame]:
-    """(rows that satisfy the condition, all others); a NULL outcome counts as not satisfied."""
-    holds = F.coalesce(_condition(cond), F.lit(False))
-    return df.filter(holds), df.filter(~holds)
+    """(rows that satisfy the condition, all others); a NULL outcome counts as not satisfied.
+
+    The first filter stays the bare condition, so it reaches the file scan.
+    """
+    holds = _condition(cond)
+    return df.filter(holds), df.filter(~F.coalesce(holds, F.lit(False)))
 
 
 def select_cols(
@@ -91,8 +94,11 @@ def unique_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple
     """
     first = W.partitionBy(*keys).orderBy(*order)
     unique = df.withColumn("__rn", F.row_number().over(first)).filter("__rn = 1").drop("__rn")
-    least = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("__first"))
-    least = least.select(*keys, *[F.col("__first")[c].alias(c) for c in order if c not in keys])
+    if len(order) == 1:  # a plain number aggregates by hash, a struct by sorting
+        least = df.groupBy(*keys).agg(F.min(order[0]).alias(order[0]))
+    else:
+        least = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("__first"))
+        least = least.select(*keys, *[F.col("__first")[c].alias(c) for c in order if c not in keys])
     return unique, join_null_safe(df, least, least.columns, "left_anti")
 
 
@@ -113,25 +119,34 @@ def infer_types_profile(df: DataFrame, cols: Sequence[str] | None = None) -> Dat
     come from the extremes, and a column without values stays a string.
     """
     cols = list(cols or df.columns)
-    measures, rows = [], []
+    shaped, measures, rows = [], [], []
     for i, c in enumerate(cols):
-        text = F.trim(F.col(f"`{c}`").cast("string"))
-        whole = F.when(text.rlike(_WHOLE), text.try_cast("bigint"))
-
-        def fits(shape: str, dtype: str, text=text) -> Column:
-            return F.count(F.when(text.rlike(shape), text.try_cast(dtype)))
-
+        text, shape = F.col(f"_t{i}"), F.col(f"_s{i}")
+        shaped.append(F.trim(F.col(f"`{c}`").cast("string")).alias(f"_t{i}"))
+        whole = F.when(shape == "whole", text.try_cast("bigint"))
         measures += [
             F.count(text).alias(f"_all{i}"),
             F.count(whole).alias(f"_whole{i}"),
             F.min(whole).alias(f"_low{i}"),
             F.max(whole).alias(f"_high{i}"),
-            fits(_NUMBER, "double").alias(f"_double{i}"),
-            fits(_DATE, "date").alias(f"_date{i}"),
-            fits(_TIMESTAMP, "timestamp").alias(f"_timestamp{i}"),
+            F.count(
+                F.when(shape == "whole", F.lit(0.0)).when(shape == "number", text.try_cast("double"))
+            ).alias(f"_double{i}"),
+            F.count(F.when(shape == "date", text.try_cast("date"))).alias(f"_date{i}"),
+            F.count(F.when(shape == "timestamp", text.try_cast("timestamp"))).alias(f"_timestamp{i}"),
         ]
         rows.append(F.struct(F.lit(c).alias("ColumnName"), _narrowest(i).alias("DataType")))
-    return df.agg(*measures).select(F.inline(F.array(*rows)))
+    # The shape is a column of its own, so each value meets the patterns once.
+    values = df.select(*shaped).withColumns({f"_s{i}": _shape(F.col(f"_t{i}")) for i in range(len(cols))})
+    return values.agg(*measures).select(F.inline(F.array(*rows)))
+
+
+def _shape(text: Column) -> Column:
+    shapes = {"whole": _WHOLE, "number": _NUMBER, "date": _DATE, "timestamp": _TIMESTAMP}
+    out = F.when(text.isNull(), None)
+    for name, pattern in shapes.items():
+        out = out.when(text.rlike(pattern), name)
+    return out
 
 
 def _narrowest(i: int) -> Column:

@@ -18,7 +18,9 @@ def days_since_last(
 
     Only the first row of a day looks back to an earlier day, later ones are 0 days after it. So the
     window runs over distinct (key, day) pairs, whose number per key the calendar bounds, and rows
-    meet their pair by key *and* day: a key with a third of all rows still spreads over its days.
+    meet their pair by key *and* day: a key with a third of all rows still spreads over its days, and
+    a hot day of one key is a skewed join partition, which adaptive execution splits. A numeric
+    ``tie`` is cheaper than text, whose minimum needs a sort.
     """
     days = df.groupBy(key, date).agg(F.min(tie).alias("__first"))
     previous = F.lag(date).over(W.partitionBy(key).orderBy(date))

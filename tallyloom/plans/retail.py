@@ -175,8 +175,10 @@ def brand_revenue_share(tx_with_brand: DataFrame) -> DataFrame:
 
 def yearly_ytd(tx: DataFrame) -> DataFrame:
     """Customers and revenue per year over the months the latest year has reached."""
-    last = tx.agg(F.max(F.struct(F.col("Year"), F.col("Month Num"))).alias("last"))
-    last = last.select(F.col("last.Year").alias("Max_Year"), F.col("last.`Month Num`").alias("Max_Month_Num"))
+    last = tx.agg(F.max(F.col("Year") * 100 + F.col("Month Num")).alias("last"))
+    last = last.select(
+        F.floor(F.col("last") / 100).cast("int").alias("Max_Year"), (F.col("last") % 100).alias("Max_Month_Num")
+    )
     comparable = joins.append_fields(tx, last).filter(F.col("Month Num") <= F.col("Max_Month_Num"))
     return comparable.groupBy("Year", "Max_Year").agg(
         F.count_distinct("Customer ID").alias("Customers"), F.sum("Purchase Price").alias("Revenue")
@@ -195,6 +197,10 @@ def typed_reviews(raw: DataFrame) -> DataFrame:
     return rows.cast_cols(raw, types)
 
 
+def typed_customers(raw: DataFrame) -> DataFrame:
+    return rows.cast_cols(raw, {"customerid": "int", "zipcode": "bigint"})
+
+
 def numbered_reviews(reviews: DataFrame, tie: str = "reviewkey") -> DataFrame:
     """Review ID by date and the text length that weights a rating. Runs the numbering job."""
     numbered = windows.record_id(reviews, ["reviewdate", tie], name="Review ID")
@@ -252,6 +258,16 @@ BUCKETS = ((5.0, " > 5 Miles"),)
 BUCKET_DEFAULT = " < 5 Miles"
 
 
+def trade_area_summary(customers: DataFrame, stores: DataFrame, key: str, miles: float = 5.0) -> DataFrame:
+    """Per customer the nearest store, its distance, and the stores whose trade area covers them."""
+    place = customers.select(key, "lat", "lon")
+    covering = gx.within_radius(place, stores, miles).groupBy(key).agg(
+        F.array_sort(F.collect_set("storeid")).alias("CoveringStores")
+    )
+    near = gx.nearest_store(customers, stores, key)
+    return near.join(covering, key, "left").withColumn("RadiusSize", F.lit(miles))
+
+
 def trade_area_buckets(customers: DataFrame, stores: DataFrame, key: str = "original_customerid") -> DataFrame:
     """Customers by whether their nearest store is five miles away or more."""
     near = gx.nearest_store(customers, stores, key)

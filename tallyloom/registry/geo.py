@@ -109,6 +109,22 @@ def nearest_store(spark, d):
     return near.select("original_customerid", "storeid", _six("Min_DistanceMiles"))
 
 
+@query(
+    "trade_area_summary",
+    sql(
+        NEAREST + """, covering AS (
+  SELECT original_customerid, string_agg(storeid::VARCHAR, ',' ORDER BY storeid) AS s FROM pairs WHERE miles <= 5 GROUP BY 1)""",
+        """SELECT n.original_customerid, storeid, round(miles::DECIMAL(28,8), 5) AS "Min_DistanceMiles", s AS "CoveringStores",
+  5.0 AS "RadiusSize" FROM nearest n LEFT JOIN covering c ON n.original_customerid = c.original_customerid""",
+        d="Min_DistanceMiles, RadiusSize",
+    ),
+)
+def trade_area_summary(spark, d):
+    out = retail.trade_area_summary(model.geocoded_customers(spark, d), model.stores(spark, d), "original_customerid")
+    stores = F.array_join("CoveringStores", ",").alias("CoveringStores")
+    return out.select("original_customerid", "storeid", _six("Min_DistanceMiles"), stores, "RadiusSize")
+
+
 @query(
     "trade_area_buckets",
     sql(

@@ -290,6 +290,11 @@ def silver_reviews(spark, d):
     return retail.typed_reviews(model.reviews(spark, d))
 
 
+@query("silver_customers", sql(PEOPLE, "SELECT * REPLACE (zipcode::BIGINT AS zipcode) FROM people"))
+def silver_customers(spark, d):
+    return retail.typed_customers(model.retail_customers(spark, d))
+
+
 @query(
     "enriched_reviews",
     sql(
