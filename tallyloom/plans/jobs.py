@@ -5,7 +5,8 @@ Each stage is stored before the next one starts from the stored table, so nothin
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,15 +20,20 @@ from tallyloom.sources.schemas import RETAIL, SALES
 
 @dataclass(frozen=True)
 class Layout:
-    """Where a pipeline reads and writes. ``storage`` is an optional folder for the tables' files."""
+    """Where a pipeline reads and writes.
+
+    ``storage`` is an optional folder for the tables' files. ``files`` names inputs that are not
+    called ``<table>.csv``; the declared schema stands in for the header, so column names may differ.
+    """
 
     source: str
     schema: str = "default"
     storage: str | None = None
     fmt: str = "parquet"
+    files: Mapping[str, str] = field(default_factory=dict)
 
     def csv(self, name: str) -> str:
-        return f"{self.source.rstrip('/')}/{name}.csv"
+        return f"{self.source.rstrip('/')}/{self.files.get(name, name + '.csv')}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.storage.rstrip('/')}/{name}" if self.storage else None
@@ -84,21 +90,21 @@ def run_retail(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     if "customer" in bronze:
         silver_customers = keep(retail.typed_customers(bronze["customer"]), "silver_customer")
         keep(retail.dim_first(bronze["customer"], "customerid", ["lastname", "firstname", "email"]), "dim_customer")
-    if "rootbeerreview" in bronze:
-        silver_reviews = keep(retail.typed_reviews(bronze["rootbeerreview"]), "silver_review")
+    if "review" in bronze:
+        silver_reviews = keep(retail.typed_reviews(bronze["review"]), "silver_review")
     if "geolocation" in bronze:
         keep(retail.dim_first(bronze["geolocation"], "locationid", ["latitude", "longitude"]), "dim_location")
-    if "rootbeer" in bronze:
-        keep(retail.dim_first(bronze["rootbeer"], "rootbeerid", ["purchasedate", "brandid"]), "dim_rootbeer_product")
-    if {"transaction", "rootbeer", "location", "geolocation"} <= bronze.keys():
-        fact = retail.enriched_transactions(*[bronze[n] for n in ("transaction", "rootbeer", "location", "geolocation")])
+    if "stock" in bronze:
+        keep(retail.dim_first(bronze["stock"], "productid", ["purchasedate", "brandid"]), "dim_product")
+    if {"transaction", "stock", "location", "geolocation"} <= bronze.keys():
+        fact = retail.enriched_transactions(*[bronze[n] for n in ("transaction", "stock", "location", "geolocation")])
         fact = keep(fact, "fact_transaction")
         keep(retail.dim_date(fact), "dim_date")
         keep(retail.daily_summary(fact), "gold_daily_transaction_summary")
     if "transaction" in bronze:
         keep(retail.dim_card_type(bronze["transaction"]), "dim_creditcard_type")
         keep(retail.card_revenue_profit(bronze["transaction"]), "gold_creditcard_revenue_summary")
-    if {"customer", "rootbeerreview"} <= bronze.keys():
+    if {"customer", "review"} <= bronze.keys():
         engagement = customer_review_join(silver_customers, silver_reviews, US_STATES)
         keep(engagement, "gold_customer_review_engagement")
     return out

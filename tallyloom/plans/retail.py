@@ -10,13 +10,14 @@ from tallyloom.functions import formulas as fx
 from tallyloom.functions.lookups import US_STATES
 from tallyloom.operators import aggs, geo as gx, joins, rows, windows
 
+# Input columns, their labels, and the labels' types.
 TRANSACTION_NAMES = {
     "creditcardnumber": "Credit Card Number",
     "creditcardtype": "Credit Card Type",
     "customerid": "Customer ID",
     "locationid": "Location ID",
     "purchaseprice": "Purchase Price",
-    "rootbeerid": "Root Beer ID",
+    "productid": "Product ID",
     "transactiondate": "Transaction Date",
     "transactionid": "Transaction ID",
 }
@@ -25,7 +26,7 @@ TRANSACTION_TYPES = {
     "Customer ID": "int",
     "Location ID": "int",
     "Purchase Price": "double",
-    "Root Beer ID": "int",
+    "Product ID": "int",
     "Transaction Date": "date",
     "Transaction ID": "int",
 }
@@ -67,7 +68,7 @@ def with_location(tx: DataFrame, stores: DataFrame) -> DataFrame:
 
 def with_product(tx: DataFrame, units: DataFrame) -> DataFrame:
     stock = units.withColumnRenamed("locationid", "stock_locationid")
-    return joins.join_on(tx, stock, {"Root Beer ID": "rootbeerid"}, "inner")
+    return joins.join_on(tx, stock, {"Product ID": "productid"}, "inner")
 
 
 def time_on_shelf(tx: DataFrame) -> DataFrame:
@@ -107,7 +108,7 @@ def daily_summary(tx: DataFrame) -> DataFrame:
 
 def sales_by_day_location(tx: DataFrame) -> DataFrame:
     """Sales per date, store, container and product."""
-    keys = ["Transaction Date", "locationname", "containertype", "Root Beer ID"]
+    keys = ["Transaction Date", "locationname", "containertype", "Product ID"]
     out = tx.groupBy(*keys).agg(
         F.sum("Purchase Price").alias("Sales"),
         F.count("Purchase Price").alias("__n"),
@@ -254,6 +255,7 @@ def customers_with_state_names(customers: DataFrame, mode: str = "exact") -> Dat
 
 # --- trade area ------------------------------------------------------------------------------
 
+# Bucket edge in miles and the two labels.
 BUCKETS = ((5.0, " > 5 Miles"),)
 BUCKET_DEFAULT = " < 5 Miles"
 

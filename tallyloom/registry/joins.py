@@ -74,15 +74,15 @@ def union_by_name(spark, d):
     "join_product",
     sql(
         f"{PREPARED}, {UNITS}",
-        """SELECT "Transaction ID", "Root Beer ID", brandid, containertype, purchasedate
-FROM prepared JOIN units ON "Root Beer ID" = rootbeerid""",
+        """SELECT "Transaction ID", "Product ID", brandid, containertype, purchasedate
+FROM prepared JOIN units ON "Product ID" = productid""",
     ),
 )
 def join_product(spark, d):
     tx = retail.prepare_transactions(model.retail_transactions(spark, d), {})
-    tx = tx.select("Transaction ID", "Root Beer ID")
+    tx = tx.select("Transaction ID", "Product ID")
     wanted = ["brandid", "containertype", "purchasedate"]
-    return joins.join_on(tx, model.stock_units(spark, d), {"Root Beer ID": "rootbeerid"}, "inner", wanted)
+    return joins.join_on(tx, model.stock_units(spark, d), {"Product ID": "productid"}, "inner", wanted)
 
 
 @query(
@@ -91,7 +91,7 @@ def join_product(spark, d):
         f"{PREPARED}, {UNITS}, {BRANDS_FILLED}",
         """SELECT "Transaction ID", u.brandid, brandname, b.city AS brand_city, b.state AS brand_state, website,
   facebookpage, twitter
-FROM prepared JOIN units u ON "Root Beer ID" = rootbeerid JOIN brands_filled b ON u.brandid = b.brandid""",
+FROM prepared JOIN units u ON "Product ID" = productid JOIN brands_filled b ON u.brandid = b.brandid""",
     ),
 )
 def brand_transactions(spark, d):
@@ -192,7 +192,7 @@ JOIN part ON l_partkey = p_partkey GROUP BY 1""",
 )
 def flow_complex(spark, d):
     lines = model.retail_transactions(spark, d).select(
-        F.col("customerid").alias("customer_id"), F.col("rootbeerid").alias("product_id"), F.col("purchaseprice").alias("amount")
+        F.col("customerid").alias("customer_id"), F.col("productid").alias("product_id"), F.col("purchaseprice").alias("amount")
     )
     products = model.products(spark, d).select(F.col("ProductID").alias("product_id"))
     df = joins.join_dfs(lines, _countries(spark, d), "customer_id")

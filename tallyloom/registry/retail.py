@@ -18,7 +18,7 @@ TYPES = {
     "Customer ID": "bigint",
     "Location ID": "int",
     "Purchase Price": "decimal(18,2)",
-    "Root Beer ID": "bigint",
+    "Product ID": "bigint",
     "Transaction Date": "date",
     "Transaction ID": "string",
 }
@@ -86,7 +86,7 @@ def geo_enriched_transactions(spark, d):
     sql(
         f"{PREPARED}, {UNITS}",
         """SELECT "Transaction ID", date_diff('day', purchasedate, "Transaction Date") AS "Time on Shelf"
-FROM prepared JOIN units ON "Root Beer ID" = rootbeerid""",
+FROM prepared JOIN units ON "Product ID" = productid""",
     ),
 )
 def time_on_shelf(spark, d):
@@ -101,7 +101,7 @@ def time_on_shelf(spark, d):
         """SELECT t.*, brandid, containertype, u.locationid AS stock_locationid, purchasedate, locationname,
   latitude AS geo_latitude, longitude AS geo_longitude, location AS geo_location_text,
   date_diff('day', purchasedate, "Transaction Date") AS "Time on Shelf"
-FROM lagged t JOIN units u ON "Root Beer ID" = rootbeerid
+FROM lagged t JOIN units u ON "Product ID" = productid
 LEFT JOIN geo_text g ON "Location ID" = g.locationid AND g.locationid <> 0""",
         d="Purchase Price",
     ),
@@ -159,9 +159,9 @@ def daily_transaction_summary(spark, d):
     "sales_by_day_location",
     sql(
         f"{PREPARED}, {UNITS}, {GEO}",
-        f"""SELECT "Transaction Date", locationname, containertype, "Root Beer ID", sum("Purchase Price") AS "Sales",
+        f"""SELECT "Transaction Date", locationname, containertype, "Product ID", sum("Purchase Price") AS "Sales",
   {ratio('sum("Purchase Price")', "count(*)", 2)} AS "Average Sale", count(DISTINCT "Transaction ID") AS "Transaction Count"
-FROM prepared JOIN units ON "Root Beer ID" = rootbeerid
+FROM prepared JOIN units ON "Product ID" = productid
 LEFT JOIN geo g ON "Location ID" = g.locationid AND g.locationid <> 0 GROUP BY 1, 2, 3, 4""",
         d="Sales, Average Sale",
     ),
@@ -181,7 +181,7 @@ def dim_customer(spark, d):
 
 @query("dim_product", sql(UNITS, "SELECT * FROM units"))
 def dim_product(spark, d):
-    return retail.dim_first(model.stock_units(spark, d), "rootbeerid", ["purchasedate"])
+    return retail.dim_first(model.stock_units(spark, d), "productid", ["purchasedate"])
 
 
 @query("dim_location", sql(GEO, "SELECT locationid, latitude, longitude, location FROM geo_text"))
@@ -233,7 +233,7 @@ def monthly_running_total(spark, d):
 
 BRAND_REVENUE = f"""{TIMED}, {UNITS}, {BRANDS}, brand_revenue AS (
   SELECT brandname AS "Brand", sum("Purchase Price") AS "Revenue"
-  FROM timed JOIN units ON "Root Beer ID" = rootbeerid JOIN brands ON units.brandid = brands.brandid
+  FROM timed JOIN units ON "Product ID" = productid JOIN brands ON units.brandid = brands.brandid
   WHERE "Year" = (SELECT max("Year") FROM timed) GROUP BY 1)"""
 
 

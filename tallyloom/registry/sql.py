@@ -198,14 +198,14 @@ RAW = f"""raw AS (
     CASE o_orderpriority WHEN '1-URGENT' THEN 'Visa' WHEN '2-HIGH' THEN 'MasterCard' WHEN '3-MEDIUM' THEN 'Discover'
       WHEN '4-NOT SPECIFIED' THEN 'American Express' ELSE 'Cash' END AS creditcardtype,
     o_custkey AS customerid, o_orderdate::DATE AS transactiondate, l_orderkey % 26 AS locationid,
-    l_partkey AS rootbeerid, l_extendedprice::DECIMAL(18,2) AS purchaseprice
+    l_partkey AS productid, l_extendedprice::DECIMAL(18,2) AS purchaseprice
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 PREPARED = f"""{RAW},
 prepared AS (
   SELECT transactionid AS "Transaction ID", creditcardnumber AS "Credit Card Number",
     creditcardtype AS "Credit Card Type", customerid AS "Customer ID", transactiondate AS "Transaction Date",
-    locationid AS "Location ID", rootbeerid AS "Root Beer ID", purchaseprice AS "Purchase Price" FROM raw)"""
+    locationid AS "Location ID", productid AS "Product ID", purchaseprice AS "Purchase Price" FROM raw)"""
 
 TIMED = f"""{PREPARED},
 timed AS (
@@ -213,7 +213,7 @@ timed AS (
     year("Transaction Date") AS "Year" FROM prepared)"""
 
 UNITS = """units AS (
-  SELECT p_partkey AS rootbeerid, split_part(p_brand, '#', 2)::INT AS brandid, p_type AS containertype,
+  SELECT p_partkey AS productid, split_part(p_brand, '#', 2)::INT AS brandid, p_type AS containertype,
     p_partkey % 26 AS locationid, DATE '1994-01-01' + (p_partkey % 365)::INT AS purchasedate FROM part)"""
 
 BRANDS = """numbered_brands AS (

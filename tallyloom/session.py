@@ -27,14 +27,31 @@ SESSION_CONF = {
 }
 
 
-def build_session(app: str = "tallyloom", master: str | None = None, **conf) -> SparkSession:
-    """A session with these settings; keyword ``a__b`` sets ``a.b``."""
+# Data a shuffle task should hold: sorts and hash tables of this size stay in executor memory.
+SHUFFLE_TASK_BYTES = 256 * 2**20
+
+
+def build_session(app: str = "tallyloom", master: str | None = None, input_bytes: int | None = None, **conf) -> SparkSession:
+    """A session with these settings; keyword ``a__b`` sets ``a.b``. ``input_bytes`` sizes its shuffles."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in {**SESSION_CONF, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    return size_shuffles(spark, input_bytes) if input_bytes else spark
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """Start shuffles with enough partitions for the data that is read; adaptive execution merges small ones.
+
+    The default of 200 would put half a terabyte of a 100 TB input into one task. Never goes below
+    the session's own setting.
+    """
+    wanted = -(-input_bytes // SHUFFLE_TASK_BYTES)
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(wanted, current)))
+    return spark
 
 
 def tune(spark: SparkSession) -> SparkSession:

@@ -161,14 +161,14 @@ def retail_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("customerid"),
         F.to_date("o_orderdate").alias("transactiondate"),
         (F.col("l_orderkey") % 26).alias("locationid"),
-        F.col("l_partkey").alias("rootbeerid"),
+        F.col("l_partkey").alias("productid"),
         F.col("l_extendedprice").cast(fx.MONEY).alias("purchaseprice"),
     )
 
 
 def stock_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("rootbeerid"),
+        F.col("p_partkey").alias("productid"),
         F.substring_index("p_brand", "#", -1).cast("int").alias("brandid"),
         F.col("p_type").alias("containertype"),
         (F.col("p_partkey") % 26).alias("locationid"),

@@ -1,4 +1,4 @@
-"""Declared columns of the CSV inputs (fixed values: they follow the files' headers)."""
+"""Declared columns of the CSV inputs, in file order (fixed values)."""
 
 SALES = {
     "sales_transactions": (
@@ -29,15 +29,15 @@ SALES = {
 RETAIL = {
     "transaction": (
         "transactionid int, creditcardnumber bigint, customerid int, transactiondate date, creditcardtype string, "
-        "locationid int, rootbeerid int, purchaseprice double"
+        "locationid int, productid int, purchaseprice double"
     ),
     "customer": (
         "customerid int, firstname string, lastname string, fullname string, streetaddress string, city string, "
         "state string, zipcode string, email string, phonenumber string, firstpurchasedate string, "
         "subscribedtoemaillist string, gender string"
     ),
-    "rootbeer": "rootbeerid int, brandid int, containertype string, locationid int, purchasedate date",
-    "rootbeerreview": "customerid int, brandid int, starrating int, reviewdate date, review string",
+    "stock": "productid int, brandid int, containertype string, locationid int, purchasedate date",
+    "review": "customerid int, brandid int, starrating int, reviewdate date, review string",
     "geolocation": "locationid int, latitude double, longitude double, location string",
     "location": "locationid int, locationname string, streetaddress string, city string, state string, zipcode string",
 }

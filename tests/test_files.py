@@ -4,7 +4,7 @@ import pytest
 
 from tallyloom.operators import sinks
 from tallyloom.registry.files import TREND
-from tallyloom.session import shared_dir
+from tallyloom.session import shared_dir, size_shuffles
 from tallyloom.sources import files
 
 
@@ -81,3 +81,14 @@ def test_reports_share_one_copy(spark):
     out = sinks.run_reports(spark.range(10), {"all": lambda df: df, "n": lambda df: df.groupBy().count()})
     assert out["all"].count() == 10 and out["n"].first()[0] == 10
     assert all(shared_dir(spark).removeprefix("file:") in f for f in out["all"].inputFiles())
+
+
+def test_shuffles_follow_the_input_size(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        size_shuffles(spark, 100 * 2**40)
+        assert spark.conf.get(key) == str(100 * 2**40 // (256 * 2**20))
+        size_shuffles(spark, 1)
+        assert spark.conf.get(key) == spark.conf.get("spark.sql.shuffle.partitions")
+    finally:
+        spark.conf.unset(key)

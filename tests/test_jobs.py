@@ -30,13 +30,15 @@ def test_sales(spark, tmp_path, rows):
 
 
 def test_retail_with_a_missing_source(spark, tmp_path, rows):
-    write(tmp_path, "transaction", "transactionid,creditcardnumber,customerid,transactiondate,creditcardtype,locationid,rootbeerid,purchaseprice",
+    write(tmp_path, "transaction", "transactionid,creditcardnumber,customerid,transactiondate,creditcardtype,locationid,productid,purchaseprice",
           "1,4000,1,2020-01-01,Visa,1,7,3", "2,4000,1,2020-01-05,Visa,0,7,4", "3,5000,2,2020-01-05,Discover,9,7,5")
-    write(tmp_path, "rootbeer", "rootbeerid,brandid,containertype,locationid,purchasedate", "7,70,Keg,1,2019-12-31")
+    write(tmp_path, "units_2020", "productid,brandid,containertype,locationid,purchasedate", "7,70,Keg,1,2019-12-31")
     write(tmp_path, "location", "locationid,locationname,streetaddress,city,state,zipcode", "0,LOST,,,,", "1,Main,S,C,CA,95819")
     write(tmp_path, "geolocation", "locationid,latitude,longitude,location", "0,0,0,POINT(0 0)", "1,38.5,-121.4,POINT(-121.4 38.5)")
-    write(tmp_path, "rootbeerreview", "customerid,brandid,starrating,reviewdate,review", "1,70,5,2020-02-01,")
-    out = jobs.run_retail(spark, jobs.Layout(str(tmp_path), storage=str(tmp_path / "tables")))
+    write(tmp_path, "review", "customerid,brandid,starrating,reviewdate,review", "1,70,5,2020-02-01,")
+    out = jobs.run_retail(
+        spark, jobs.Layout(str(tmp_path), storage=str(tmp_path / "tables"), files={"stock": "units_2020.csv"})
+    )
     assert "gold_customer_review_engagement" not in out and "silver_review" in out
     fact = out["fact_transaction"]
     assert rows(fact, "Transaction_ID", "Days_Since_Last_Purchase", "Time_on_Shelf", "locationname") == [
