@@ -73,8 +73,12 @@ def cross_tab(
     values: Sequence,
     method: str = "count",
     prefix: str = "",
+    counted: bool = False,
 ) -> DataFrame:
-    """Rows by header values. ``count``, ``sum``, or ``percent`` (share of the row's count)."""
+    """Rows by header values. ``count``, ``sum``, or ``percent`` (share of the row's count).
+
+    ``counted``: the data column already holds counts, which are then added up.
+    """
     row = _names(row)
     grouped = df.groupBy(*row).pivot(header, list(values))
     names = [f"{prefix}{v}" for v in values]
@@ -82,7 +86,7 @@ def cross_tab(
         return grouped.agg(F.sum(data)).toDF(*row, *names)
     if method not in ("count", "percent"):
         raise ValueError("method must be 'count', 'sum' or 'percent'")
-    table = grouped.agg(F.count(data)).toDF(*row, *names).fillna(0, names)
+    table = grouped.agg(F.sum(data) if counted else F.count(data)).toDF(*row, *names).fillna(0, names)
     if method == "count":
         return table
     whole = sum((F.col(f"`{n}`") for n in names[1:]), F.col(f"`{names[0]}`"))

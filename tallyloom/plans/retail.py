@@ -153,15 +153,15 @@ def monthly_running_total(tx: DataFrame) -> DataFrame:
     return windows.running_total(months, "Sales", ["Month"], name="RunTot_Sales", aggregated=True).orderBy("Month")
 
 
-def brand_revenue(tx_with_brand: DataFrame) -> DataFrame:
+def brand_revenue(tx: DataFrame, brands: DataFrame) -> DataFrame:
     """Revenue per brand in the latest year.
 
-    Summed per brand and year first, so the latest year is looked up among a few rows and the
-    transactions are read once.
+    Summed per brand key and year first: brands join a few rows, the latest year is looked up among
+    them, and the transactions are read once.
     """
-    yearly = tx_with_brand.groupBy(F.col("brandname").alias("Brand"), "Year").agg(
-        F.sum("Purchase Price").alias("Revenue")
-    )
+    yearly = tx.groupBy("brandid", "Year").agg(F.sum("Purchase Price").alias("Revenue"))
+    named = yearly.join(brands.select("brandid", F.col("brandname").alias("Brand")), "brandid")
+    yearly = named.groupBy("Brand", "Year").agg(F.sum("Revenue").alias("Revenue"))
     latest = yearly.groupBy("Brand").agg(F.max(F.struct("Year", "Revenue")).alias("__last"))
     latest = latest.select("Brand", F.col("__last.Year").alias("Year"), F.col("__last.Revenue").alias("Revenue"))
     overall = latest.agg(F.max("Year").alias("Max_Year"))
@@ -169,8 +169,8 @@ def brand_revenue(tx_with_brand: DataFrame) -> DataFrame:
     return current.select("Brand", "Revenue")
 
 
-def brand_revenue_share(tx_with_brand: DataFrame) -> DataFrame:
-    share = windows.share_of_total(brand_revenue(tx_with_brand), "Revenue", "Share of Revenue", "Total Revenue")
+def brand_revenue_share(tx: DataFrame, brands: DataFrame) -> DataFrame:
+    share = windows.share_of_total(brand_revenue(tx, brands), "Revenue", "Share of Revenue", "Total Revenue")
     return share.withColumn("Share of Revenue Label", fx.percent_label("Share of Revenue"))
 
 
@@ -229,9 +229,21 @@ def enriched_reviews(reviews: DataFrame, brands: DataFrame, customers: DataFrame
 
 
 def weighted_rating(reviews: DataFrame, brands: DataFrame) -> DataFrame:
-    """Rating per brand weighted by review length."""
+    """Rating per brand weighted by review length.
+
+    One (rating, weight) row per brand key and rating goes into the join, not the reviews.
+    """
     df = reviews.withColumn("Length", fx.text_length("review"))
-    return aggs.weighted_average(reviews_with_brand(df, brands), "starrating", "Length", "brandname")
+    weights = df.groupBy("brandid", "starrating").agg(F.sum("Length").alias("Length"))
+    named = weights.join(brands.select("brandid", "brandname"), "brandid", "left")
+    return aggs.weighted_average(named, "starrating", "Length", "brandname")
+
+
+def rating_cross_tab(reviews: DataFrame, brands: DataFrame, method: str = "count", prefix: str = "Rating_") -> DataFrame:
+    """Brands by star rating, from one count per brand key and rating."""
+    counts = reviews.groupBy("brandid", "starrating").agg(F.count(F.lit(1)).alias("Reviews"))
+    named = counts.join(brands.select("brandid", "brandname"), "brandid", "left")
+    return aggs.cross_tab(named, "brandname", "starrating", "Reviews", range(1, 6), method, prefix, counted=True)
 
 
 # --- engagement ------------------------------------------------------------------------------

@@ -32,9 +32,9 @@ def timed(spark: SparkSession, d: str) -> DataFrame:
     return retail.time_features(prepared(spark, d))
 
 
-def branded(spark: SparkSession, d: str) -> DataFrame:
-    tx = retail.with_product(timed(spark, d), model.stock_units(spark, d))
-    return retail.join_brand(tx, model.brands(spark, d), cols=("brandid", "brandname"))
+def stocked(spark: SparkSession, d: str) -> DataFrame:
+    """Transactions with the brand key of what was sold."""
+    return retail.with_product(timed(spark, d), model.stock_units(spark, d))
 
 
 # --- transactions ----------------------------------------------------------------------------
@@ -239,7 +239,7 @@ BRAND_REVENUE = f"""{TIMED}, {UNITS}, {BRANDS}, brand_revenue AS (
 
 @query("brand_revenue_latest_year", sql(BRAND_REVENUE, "SELECT * FROM brand_revenue", d="Revenue"))
 def brand_revenue_latest_year(spark, d):
-    return retail.brand_revenue(branded(spark, d))
+    return retail.brand_revenue(stocked(spark, d), model.brands(spark, d))
 
 
 @query(
@@ -254,7 +254,7 @@ def brand_revenue_latest_year(spark, d):
     ),
 )
 def brand_revenue_share(spark, d):
-    out = retail.brand_revenue_share(branded(spark, d))
+    out = retail.brand_revenue_share(stocked(spark, d), model.brands(spark, d))
     return out.withColumn("Share of Revenue", F.round(F.col("Share of Revenue").cast("decimal(28,10)"), 8))
 
 
@@ -329,11 +329,7 @@ def weighted_average(spark, d):
 
 
 def _crossed(method: str):
-    def run(spark, d):
-        named = retail.reviews_with_brand(model.reviews(spark, d), model.brands(spark, d))
-        return aggs.cross_tab(named, "brandname", "starrating", "reviewkey", range(1, 6), method, "Rating_")
-
-    return run
+    return lambda spark, d: retail.rating_cross_tab(model.reviews(spark, d), model.brands(spark, d), method)
 
 
 _COUNTS = [f"count(*) FILTER (WHERE starrating = {i})" for i in range(1, 6)]

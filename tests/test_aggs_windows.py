@@ -136,9 +136,17 @@ def test_yearly_ytd_compares_numbers_not_text(spark, rows):
 
 
 def test_brand_revenue_latest_year(spark, rows):
-    data = [("a", 2022, 9), ("a", 2023, 1), ("a", 2023, 2), ("b", 2022, 5)]
-    df = spark.createDataFrame(data, ["brandname", "Year", "Purchase Price"])
-    assert rows(retail.brand_revenue(df)) == [("a", 3)]
+    data = [(1, 2022, 9), (1, 2023, 1), (2, 2023, 2), (3, 2022, 5), (4, 2023, 8)]
+    df = spark.createDataFrame(data, ["brandid", "Year", "Purchase Price"])
+    brands = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "brandid int, brandname string")
+    assert rows(retail.brand_revenue(df, brands)) == [("a", 3)]
+
+
+def test_brand_ratings_are_counted_before_the_join(spark, rows):
+    reviews = spark.createDataFrame([(1, 5, "abc"), (1, 5, None), (2, 1, "ab"), (9, 3, "x")], "brandid int, starrating int, review string")
+    brands = spark.createDataFrame([(1, "a"), (2, "a")], "brandid int, brandname string")
+    assert rows(retail.rating_cross_tab(reviews, brands)) == [(None, 0, 0, 1, 0, 0), ("a", 1, 0, 0, 0, 2)]
+    assert rows(retail.weighted_rating(reviews, brands)) == [(None, 3.0), ("a", 22 / 6)]
 
 
 def test_engagement(spark, rows):
