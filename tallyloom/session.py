@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,14 +66,12 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as the session names it in ``spark.checkpoint.dir``.
 
-    A temporary folder stands in only for a local master, where driver and executors share a disk.
+    Where it is unset, as in tests, a folder in the warehouse stands in: driver and executors share that too.
     """
     ctx = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or ctx.getCheckpointDir()
     if root is None:
-        if not ctx.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="tallyloom-")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     if ctx.getCheckpointDir() is None:
         ctx.setCheckpointDir(root)
     return root

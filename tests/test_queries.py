@@ -4,11 +4,12 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry
+import __spark_entry__  # noqa: F401  registers the queries
+from tallyloom import registry
 from tests.oracle import connect, differences
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-SQL = entry.oracle_sql()
+SQL = registry.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -17,9 +18,9 @@ def duck():
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, duck, name):
-    run = entry.queries()[name]
+    run = registry.QUERIES[name]
     if name in SQL:
         assert differences(spark, duck, SF, run, SQL[name]) == []
     else:
@@ -27,4 +28,4 @@ def test_query(spark, duck, name):
 
 
 def test_sql_has_queries():
-    assert set(SQL) <= set(entry.queries())
+    assert set(SQL) <= set(registry.QUERIES)
