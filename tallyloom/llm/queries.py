@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyloom.llm.common import table
+from tallyloom.llm.decontaminate import contaminated
 from tallyloom.llm.exact_dedup import exact_dedup
+from tallyloom.llm.mixing import mix
 from tallyloom.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,3 +41,89 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 )
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op1_benchmark_decontamination",
+    r"""
+    WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+               FROM documents),
+    i AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+          FROM benchmark),
+    s AS (SELECT DISTINCT item_id, unnest([array_to_string(w[k:k + 4], ' ') FOR k IN range(1, len(w) - 3)]) AS g FROM i),
+    n AS (SELECT item_id, count(*) AS n_item FROM s GROUP BY item_id),
+    t AS (SELECT DISTINCT doc_id, unnest([array_to_string(w[k:k + 4], ' ') FOR k IN range(1, len(w) - 3)]) AS g FROM d)
+    SELECT doc_id, item_id, n_item, count(*) AS n_shared, count(*) / n_item AS containment
+    FROM t JOIN s USING (g) JOIN n USING (item_id)
+    GROUP BY doc_id, item_id, n_item HAVING count(*) * 100 >= n_item * 80
+    """,
+)
+def op1_benchmark_decontamination(spark, sf_dir):
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# The mixture of op4 and of the pipeline: domain of each source, weights per level, share of all words.
+DOMAINS = {
+    "web": [f"src{k}" for k in range(8)],
+    "books": [f"src{k}" for k in range(8, 14)],
+    "code": [f"src{k}" for k in range(14, 20)],
+}
+MIX_WEIGHTS = {
+    "domain": {"web": 50, "books": 30, "code": 15, "other": 5},
+    "lang": {"en": 60, "de": 15, "fr": 15, "es": 10},
+}
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = (3, 5), 4, 17
+
+
+def mix_levels() -> dict[str, Column]:
+    domain = F.coalesce(*[F.when(F.col("source").isin(names), F.lit(k)) for k, names in DOMAINS.items()], F.lit("other"))
+    return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
+
+
+def _case(column: str, pairs: dict, other: str) -> str:
+    return f"CASE {' '.join(f"WHEN {column} = '{k}' THEN {v}" for k, v in pairs.items())} ELSE {other} END"
+
+
+def _fill(nodes: str, parents: str, name: str) -> str:
+    """SQL that adds each child's quota to ``nodes`` (parents, name, capacity, weight, budget)."""
+    return f"""
+        SELECT *, CASE WHEN f THEN capacity ELSE (budget - coalesce(sum(capacity) FILTER (f) OVER (PARTITION BY {parents}), 0))
+                       * weight // sum(weight) FILTER (NOT f) OVER (PARTITION BY {parents}) END AS quota
+        FROM (SELECT *, capacity::HUGEINT * ahead <= (budget - before) * weight AS f
+              FROM (SELECT *, coalesce(sum(capacity) OVER (PARTITION BY {parents} ORDER BY capacity / weight, {name}
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+                           sum(weight) OVER (PARTITION BY {parents} ORDER BY capacity / weight, {name}
+                                       ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ahead
+                    FROM ({nodes})))"""
+
+
+def mix_sql(documents: str = "documents") -> str:
+    domains = " ".join(f"WHEN source IN ({', '.join(repr(s) for s in names)}) THEN '{k}'" for k, names in DOMAINS.items())
+    lang_weight = _case("lang", MIX_WEIGHTS["lang"], "0")
+    domain_weight = _case("domain", MIX_WEIGHTS["domain"], "0")
+    return rf"""
+    WITH k AS (
+        SELECT doc_id, CASE {domains} ELSE 'other' END AS domain, coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
+               len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens
+        FROM {documents}),
+    leaf AS (SELECT domain, lang, source, sum(tokens) AS tokens FROM k GROUP BY ALL),
+    open AS (SELECT *, tokens * {MIX_EPOCHS} AS cap FROM leaf WHERE {domain_weight} > 0 AND {lang_weight} > 0),
+    d AS ({_fill(f"SELECT 0 AS root, domain, sum(cap) AS capacity, {domain_weight} AS weight, (SELECT sum(tokens) * {MIX_SHARE[0]} // {MIX_SHARE[1]} FROM leaf) AS budget FROM open GROUP BY domain", "root", "domain")}),
+    l AS ({_fill(f"SELECT o.domain, lang, sum(cap) AS capacity, {lang_weight} AS weight, any_value(d.quota) AS budget FROM open o JOIN d USING (domain) GROUP BY o.domain, lang", "domain", "lang")}),
+    s AS ({_fill("SELECT o.domain, o.lang, source, sum(cap) AS capacity, 1 AS weight, any_value(l.quota) AS budget FROM open o JOIN l USING (domain, lang) GROUP BY o.domain, o.lang, source", "domain, lang", "source")}),
+    q AS (SELECT leaf.*, coalesce(s.quota, 0) AS quota, CASE WHEN leaf.tokens > 0 THEN coalesce(s.quota, 0) // leaf.tokens ELSE 0 END AS epochs
+          FROM leaf LEFT JOIN s USING (domain, lang, source)),
+    o AS (SELECT k.*, quota, epochs, quota - epochs * q.tokens AS head,
+                 sum(k.tokens) OVER (PARTITION BY domain, lang, source
+                     ORDER BY md5('{MIX_SEED}:' || epochs || ':' || coalesce(doc_id::VARCHAR, 'null')), k.tokens
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS through
+          FROM k JOIN q USING (domain, lang, source))
+    SELECT doc_id, domain, lang, source, tokens::BIGINT AS tokens, quota::BIGINT AS quota,
+           (epochs + CASE WHEN head > 0 AND through <= head THEN 1 ELSE 0 END)::BIGINT AS copies
+    FROM o
+    """
+
+
+@query("op4_mixing", mix_sql())
+def op4_mixing(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents"), mix_levels(), MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
