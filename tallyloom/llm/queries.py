@@ -10,6 +10,7 @@ from tallyloom.llm.common import table
 from tallyloom.llm.decontaminate import contaminated
 from tallyloom.llm.exact_dedup import exact_dedup
 from tallyloom.llm.mixing import mix
+from tallyloom.llm.near_dedup import near_duplicates
 from tallyloom.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,3 +128,27 @@ def mix_sql(documents: str = "documents") -> str:
 @query("op4_mixing", mix_sql())
 def op4_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"), mix_levels(), MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
+
+
+def near_sql(documents: str, width: int, percent: int) -> str:
+    return rf"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x20\x09-\x0D]+') AS w FROM {documents}),
+    s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {width}
+                 THEN [array_to_string(w[k:k + {width - 1}], ' ') FOR k IN range(1, len(w) - {width - 2})]
+                 WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b USING (g) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+    e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= {percent} * (x.n + y.n - shared)),
+    both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+    reach AS (SELECT doc_id AS a, doc_id AS r FROM w UNION SELECT both_ways.b, r FROM reach JOIN both_ways USING (a) WHERE r < both_ways.b),
+    c AS (SELECT a AS doc_id, min(r) AS component_id FROM reach GROUP BY a)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM w LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)
+    """
+
+
+@query("op3_minhash_near_dedup", near_sql("documents", 3, 85))
+def op3_minhash_near_dedup(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
