@@ -101,10 +101,12 @@ def mix(
     )
     leaves = checkpointed(keys.groupBy(*names).agg(F.sum("tokens").alias("tokens")))
     total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]  # one number
+    short = leaves.count() <= broadcast_rows
+    if short:  # the tree fits one task: its windows and joins then need no shuffle
+        leaves = leaves.coalesce(1)
     leaves = budgets(leaves, names, weights, F.lit(total * share[0] // share[1]).cast("long"), max_epochs)
     leaves = leaves.withColumn("epochs", F.when(F.col("tokens") > 0, F.call_function("div", F.col("quota"), F.col("tokens"))).otherwise(0).cast("long"))
     leaves = checkpointed(leaves.withColumn("head", F.col("quota") - F.col("epochs") * F.col("tokens")).withColumnRenamed("tokens", "leaf_tokens"))
-    short = leaves.count() <= broadcast_rows
     sized = F.broadcast(leaves) if short else leaves
 
     order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epochs").cast("string"), F.coalesce(F.col("__id").cast("string"), F.lit("null"))))
