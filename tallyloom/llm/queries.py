@@ -11,6 +11,7 @@ from tallyloom.llm.decontaminate import contaminated
 from tallyloom.llm.exact_dedup import exact_dedup
 from tallyloom.llm.mixing import mix
 from tallyloom.llm.near_dedup import near_duplicates
+from tallyloom.llm.sentence_spans import substring_dedup
 from tallyloom.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,3 +153,26 @@ def near_sql(documents: str, width: int, percent: int) -> str:
 @query("op3_minhash_near_dedup", near_sql("documents", 3, 85))
 def op3_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+@query(
+    "op5_sentence_spans",
+    r"""
+    WITH p AS (
+        SELECT doc_id, regexp_extract_all(regexp_replace(coalesce(text, ''), '([.!?][''")\]]*)[ \t]+', '\1' || chr(10), 'g'),
+                                          '(?:[^\x20\x09-\x0D]+[ \t]+){0,15}[^\x20\x09-\x0D]+') AS p FROM documents),
+    r AS (SELECT doc_id, k, array_to_string(p[k + 1:k + 3], chr(10)) AS run
+          FROM (SELECT doc_id, p, unnest(range(0, len(p) - 2)) AS k FROM p)),
+    n AS (SELECT doc_id, k, row_number() OVER (PARTITION BY run ORDER BY doc_id, k) AS nth
+          FROM r WHERE len(regexp_extract_all(run, '[^\x20\x09-\x0D]+')) >= 10),
+    g AS (SELECT DISTINCT doc_id, unnest(range(k, k + 3)) AS k FROM n WHERE nth > 1),
+    s AS (SELECT doc_id, unnest(p) AS piece, unnest(range(0, len(p))) AS k FROM p),
+    t AS (SELECT s.doc_id, string_agg(piece, chr(10) ORDER BY s.k) FILTER (g.k IS NULL) AS kept, count(g.k) AS n_removed
+          FROM s LEFT JOIN g USING (doc_id, k) GROUP BY s.doc_id)
+    SELECT p.doc_id, len(p) AS n_sentences, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM p LEFT JOIN t USING (doc_id)
+    """,
+)
+def op5_sentence_spans(spark, sf_dir):
+    cleaned = substring_dedup(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_sentences", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
