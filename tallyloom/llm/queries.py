@@ -12,6 +12,7 @@ from tallyloom.llm.exact_dedup import exact_dedup
 from tallyloom.llm.mixing import mix
 from tallyloom.llm.near_dedup import near_duplicates
 from tallyloom.llm.sentence_spans import substring_dedup
+from tallyloom.llm.tool_calls import conversation_events, link_tool_calls
 from tallyloom.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,3 +177,54 @@ def op3_minhash_near_dedup(spark, sf_dir):
 def op5_sentence_spans(spark, sf_dir):
     cleaned = substring_dedup(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_sentences", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+TOOL_SCHEMAS = {
+    "search": {"query": {"type": "string", "required": True}, "limit": {"type": "integer", "required": True, "minimum": 1, "maximum": 25}},
+    "note": {"body": {"type": "string", "required": True}, "words": {"type": "integer", "required": True, "maximum": 200}},
+}
+
+
+@query(
+    "op10_tool_calls",
+    r"""
+    WITH w AS (
+        SELECT DISTINCT conv_id, turn, role, text, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n
+        FROM conversations),
+    e AS (
+        SELECT *, CASE role WHEN 'assistant' THEN 'call' WHEN 'user' THEN 'result' ELSE 'message' END AS kind,
+               CASE role WHEN 'assistant' THEN conv_id || ':' || turn WHEN 'user' THEN conv_id || ':' || (turn - 1) END AS call_id,
+               CASE WHEN role = 'assistant' THEN CASE WHEN n <= 30 THEN 'search' ELSE 'note' END END AS name,
+               row_number() OVER (PARTITION BY conv_id, turn, role = 'assistant', role = 'user' ORDER BY
+                   CASE WHEN role = 'assistant' THEN CASE WHEN n <= 30 THEN 'search' ELSE 'note' END END, text) AS nth
+        FROM w),
+    l AS (
+        SELECT e.*, c.call_id IS NOT NULL AS has_call, r.call_id IS NOT NULL AS has_result,
+               role = 'assistant' AND turn >= 3 AND d.call_id IS NULL AS no_base
+        FROM e LEFT JOIN (SELECT DISTINCT conv_id, call_id FROM e WHERE kind = 'call') c ON c.conv_id = e.conv_id AND c.call_id = e.call_id
+        LEFT JOIN (SELECT DISTINCT conv_id, call_id FROM e WHERE kind = 'result') r ON r.conv_id = e.conv_id AND r.call_id = e.call_id
+        LEFT JOIN (SELECT DISTINCT conv_id, call_id FROM e WHERE kind = 'call') d
+            ON d.conv_id = e.conv_id AND d.call_id = e.conv_id || ':' || (e.turn - 2)),
+    x AS (
+        SELECT *, concat_ws(',',
+                 CASE WHEN kind = 'call' AND text IS NULL AND name = 'search' THEN 'missing:query' END,
+                 CASE WHEN name = 'search' AND n < 1 THEN 'minimum:limit' END,
+                 CASE WHEN name = 'search' AND n > 25 THEN 'maximum:limit' END,
+                 CASE WHEN name = 'note' AND n > 200 THEN 'maximum:words' END,
+                 CASE WHEN no_base THEN 'needs:' || conv_id || ':' || (turn - 2) END) AS errors
+        FROM l)
+    SELECT conv_id, turn, kind, call_id, turn AS step,
+           CASE WHEN kind <> 'message' AND nth > 1 THEN 'duplicate' WHEN kind = 'result' AND NOT has_call THEN 'orphan'
+                WHEN errors <> '' THEN 'invalid' WHEN kind = 'call' AND NOT has_result THEN 'unanswered' ELSE 'ok' END AS status,
+           errors,
+           CASE name WHEN 'search' THEN '{"arguments":{"limit":' || n || coalesce(',"query":' || to_json(text), '') || '},"call_id":'
+                                        || to_json(call_id) || ',"kind":"call","name":"search"}'
+                     WHEN 'note' THEN '{"arguments":{"body":' || to_json(text) || ',"words":' || n || '},"call_id":'
+                                        || to_json(call_id) || ',"kind":"call","name":"note"}'
+                ELSE '{' || coalesce('"call_id":' || to_json(call_id) || ',', '') || coalesce('"content":' || to_json(text) || ',', '')
+                     || '"kind":' || to_json(kind) || '}' END AS json
+    FROM x
+    """,
+)
+def op10_tool_calls(spark, sf_dir):
+    return link_tool_calls(conversation_events(table(spark, sf_dir, "conversations")), TOOL_SCHEMAS)
