@@ -13,6 +13,7 @@ from tallyloom.llm.mixing import mix
 from tallyloom.llm.near_dedup import near_duplicates
 from tallyloom.llm.sentence_spans import substring_dedup
 from tallyloom.llm.tool_calls import conversation_events, link_tool_calls
+from tallyloom.llm.warc import archive_pages
 from tallyloom.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -228,3 +229,18 @@ TOOL_SCHEMAS = {
 )
 def op10_tool_calls(spark, sf_dir):
     return link_tool_calls(conversation_events(table(spark, sf_dir, "conversations")), TOOL_SCHEMAS)
+
+
+@query(
+    "op8_warc",
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                      sha1(coalesce(html, '')) AS payload_digest FROM pages),
+    r AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS latest FROM p)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN latest > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN latest > page_id THEN latest END AS refers_to, TRUE AS intact
+    FROM r
+    """,
+)
+def op8_warc(spark, sf_dir):
+    return archive_pages(table(spark, sf_dir, "pages")).drop("payload", "uri")
