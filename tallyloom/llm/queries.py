@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tallyloom.llm.common import table
 from tallyloom.llm.decontaminate import contaminated
 from tallyloom.llm.exact_dedup import exact_dedup
+from tallyloom.llm.language_id import identify_language
 from tallyloom.llm.mixing import mix
 from tallyloom.llm.near_dedup import near_duplicates
 from tallyloom.llm.sentence_spans import substring_dedup
@@ -244,3 +245,8 @@ def op10_tool_calls(spark, sf_dir):
 )
 def op8_warc(spark, sf_dir):
     return archive_pages(table(spark, sf_dir, "pages")).drop("payload", "uri")
+
+
+@query("op6_language_id")
+def op6_language_id(spark, sf_dir):
+    return identify_language(table(spark, sf_dir, "documents"))
