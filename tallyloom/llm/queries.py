@@ -6,16 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallyloom.llm.common import table
+from tallyloom.llm.common import ready, table
 from tallyloom.llm.decontaminate import contaminated
 from tallyloom.llm.exact_dedup import exact_dedup
 from tallyloom.llm.language_id import identify_language
 from tallyloom.llm.mixing import mix
 from tallyloom.llm.near_dedup import near_duplicates
 from tallyloom.llm.sentence_spans import substring_dedup
+from tallyloom.llm.suffix_dedup import suffix_dedup
 from tallyloom.llm.tool_calls import conversation_events, link_tool_calls
 from tallyloom.llm.warc import archive_pages
-from tallyloom.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,7 +24,7 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
-        QUERIES[name] = lambda spark, sf_dir: fn(tune(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: fn(ready(spark), sf_dir)
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -250,3 +250,34 @@ def op8_warc(spark, sf_dir):
 @query("op6_language_id")
 def op6_language_id(spark, sf_dir):
     return identify_language(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op2_suffix_dedup",
+    """
+    WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    w AS (SELECT doc_id, k, substring(h, 2 * k + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS k FROM d)),
+    f AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+    r AS (SELECT doc_id, k, CASE WHEN k > max(k) OVER before + 50 OR max(k) OVER before IS NULL THEN 1 ELSE 0 END AS fresh
+          FROM w JOIN f USING (s) WHERE doc_id > least
+          WINDOW before AS (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    n AS (SELECT doc_id, k, sum(fresh) OVER (PARTITION BY doc_id ORDER BY k) AS island FROM r),
+    i AS (SELECT doc_id, min(k) AS a, max(k) + 50 AS b FROM n GROUP BY doc_id, island),
+    g AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS p FROM i),
+    c AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS z,
+                 string_agg(substring(h, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) AS head
+          FROM g JOIN d USING (doc_id) GROUP BY doc_id)
+    SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+           sha256(unhex(coalesce(head, '') || substring(h, 2 * coalesce(z, 0) + 1))) AS kept_sha256
+    FROM d LEFT JOIN c USING (doc_id)
+    """,
+)
+def op2_suffix_dedup(spark, sf_dir):
+    cut = suffix_dedup(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
