@@ -4,13 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallyloom.session import fresh_path
+from tallyloom.session import checkpointed, fresh_path, tune
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Words of the shingle operators: runs of anything but ASCII white space.
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+# What a Python worker gets at a time: small, so that two workers and the JVM fit a small executor.
+ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    """The session with the settings the corpus queries count on."""
+    for key, value in ARROW_CONF.items():
+        spark.conf.set(key, value)
+    return tune(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -25,3 +36,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def without(docs: DataFrame, dropped: DataFrame, keys: dict[str, Column], broadcast_rows: int = 2_000_000) -> DataFrame:
+    """``docs`` without the rows whose ``keys`` (column of ``dropped``: expression over ``docs``) are in ``dropped``; null equals null.
+
+    ``dropped`` is broadcast up to ``broadcast_rows``; beyond that both sides shuffle.
+    """
+    gone = checkpointed(dropped.select(*[F.col(k).alias(f"__gone_{k}") for k in keys]).distinct())
+    if gone.count() <= broadcast_rows:
+        gone = F.broadcast(gone)
+    match = F.lit(True)
+    for k, value in keys.items():
+        match = match & value.eqNullSafe(F.col(f"__gone_{k}"))
+    return docs.join(gone, match, "left_anti")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyloom.llm.common import without
 from tallyloom.session import checkpointed
 
 SEPARATORS = r"[^\p{L}\p{N}]+"
@@ -117,5 +118,5 @@ def contaminated(
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` without the rows of contaminated ids; all columns stay as they are."""
-    hit = contaminated(docs, items, id_col=id_col, **options).select(F.col(f"`{id_col}`").alias("__hit")).distinct()
-    return docs.join(hit, F.col(f"`{id_col}`").eqNullSafe(F.col("__hit")), "left_anti")
+    hit = contaminated(docs, items, id_col=id_col, **options).select(F.col(f"`{id_col}`").alias("id"))
+    return without(docs, hit, {"id": F.col(f"`{id_col}`")})

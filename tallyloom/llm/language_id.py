@@ -108,17 +108,20 @@ def identify_language(
 
     Null text, empty text and text without a letter are "und" with score 0, as is everything when no row is
     labelled. A null id is not held out and not learned from; rows that repeat are each labelled. Ties go to
-    the language that sorts first. Other columns are not read; an empty table gives no rows.
+    the language that sorts first. A kept column named like one of these gets the suffix "_in". Other columns are
+    not read; an empty table gives no rows.
     """
     found = train(training_rows(docs, id_col, text_col, lang_col, per_language, seed), hidden, steps, seed)
     text = F.col(f"`{text_col}`")
+    own = {"held_out", "lang_pred", "score", "agreement", "__id", "__bytes"}
+    renamed = [f"{c}_in" if c in own else c for c in keep]
     rows = docs.select(
         F.to_json(F.struct(F.col(f"`{id_col}`").alias("v"))).alias("__id"),
         held_out(F.col(f"`{id_col}`")).alias("held_out"),
         F.when(text.rlike(r"\p{L}"), text.cast("binary")).alias("__bytes"),
-        *[F.col(f"`{c}`") for c in keep],
+        *[F.col(f"`{c}`").alias(n) for c, n in zip(keep, renamed, strict=True)],
     )
-    names = ["__id", "held_out", *keep]
+    names = ["__id", "held_out", *renamed]
     types = ", ".join(f"`{n}` {t}" for n, t in rows.select(*names).dtypes)
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

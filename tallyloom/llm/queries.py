@@ -10,6 +10,7 @@ from tallyloom.llm.common import ready, table
 from tallyloom.llm.decontaminate import contaminated
 from tallyloom.llm.exact_dedup import exact_dedup
 from tallyloom.llm.language_id import identify_language
+from tallyloom.llm.licenses import document_paths, license_scan
 from tallyloom.llm.mixing import mix
 from tallyloom.llm.near_dedup import near_duplicates
 from tallyloom.llm.sentence_spans import substring_dedup
@@ -281,3 +282,8 @@ def op2_suffix_dedup(spark, sf_dir):
         F.size("starts").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op9_license_scan")
+def op9_license_scan(spark, sf_dir):
+    return license_scan(document_paths(table(spark, sf_dir, "documents")), keep=("doc_id",))
