@@ -27,6 +27,7 @@ class ByteGru:
         size, (steps, n) = self.hidden, x.shape
         into, state = self.params[f"in_{way}"].copy(), self.params[f"state_{way}"]
         into[: 2 * size] += F32(0.5)
+        into[:size, 0] = F32(64)  # byte 0 pads short windows: the state passes through unchanged
         out = np.empty((steps, size, n), F32)
         gates, recur = np.empty((3 * size, n), F32), np.empty((3 * size, n), F32)
         h, scratch = np.zeros((size, n), F32), np.empty((size, n), F32)
