@@ -291,7 +291,7 @@ def _languages(spark, extra=()):
 def test_language(spark):
     odd = [(900, None, "aa"), (901, "", "bb"), (902, "123 !? 4²", "aa"), (903, "ba lo mi " * 4000, None), (None, "schr tzung ßen", None), (904, "ba", None), (904, "ba", None)]
     docs = _languages(spark, odd)
-    got = identify_language(docs, steps=60, keep=("score", "lang")).collect()
+    got = identify_language(docs, keep=("score", "lang")).collect()
     assert len(got) == docs.count()
     assert {(r["doc_id"], r["lang_pred"]) for r in got if r["doc_id"] is None or r["doc_id"] >= 900} == {
         (900, "und"), (901, "und"), (902, "und"), (903, "aa"), (None, "bb"), (904, "aa"),
