@@ -18,25 +18,34 @@ def money(c: str | Column) -> Column:
     return F.round(col(c), 2).cast(MONEY)
 
 
-def round_half_up(x: Column, digits: int) -> Column:
-    """A double rounded half away from zero to at most six digits, in plain double arithmetic.
+EXACT = "decimal(28,8)"
 
-    The value is first settled to millionths, so 12.25 that arrives as 12.249999999999998 still counts
-    as the tie it stands for. Far cheaper per row than a cast to decimal.
+
+def _steps(num: Column, den: Column, factor: int, half: bool = True) -> Column:
+    """``|num| / den * factor`` as a whole number, rounded half up or cut; exact, for a positive ``den``.
+
+    Only sums, products and a remainder of decimals: the one division left comes out even.
     """
-    unit = 10 ** (6 - digits)
-    millionths = F.floor(F.abs(x) * F.lit(1e6) + F.lit(0.5))
-    steps = F.floor((millionths + F.lit(unit // 2)) / F.lit(float(unit))).cast("double") / F.lit(float(10**digits))
-    return F.when(x < 0, -steps).otherwise(steps)
+    top = F.abs(num).cast(EXACT) * F.lit(2 * factor).cast("decimal(9,0)")
+    bottom = den.cast(EXACT) * 2
+    if half:
+        top = top + den.cast(EXACT)
+    return ((top - top % bottom) / bottom).cast("decimal(28,0)")
 
 
 def ratio(num: str | Column, den: str | Column, digits: int, scale: int = 1) -> Column:
-    """``num / den * scale`` rounded half up to ``digits``, 0 unless the divisor is positive."""
+    """``num / den * scale`` rounded half away from zero to ``digits``, 0 unless the divisor is positive.
+
+    The exact quotient is what is rounded. Doubles decide where they are far enough from a tie to be
+    sure; next to one, and where they grow too large to tell, exact decimals do.
+    """
     num, den = col(num), col(den)
-    quotient = num.cast("double") / den.cast("double")
-    if scale != 1:
-        quotient = quotient * F.lit(float(scale))
-    return F.when(den > 0, round_half_up(quotient, digits)).otherwise(F.lit(0.0))
+    factor = scale * 10**digits
+    scaled = F.abs(num).cast("double") / den.cast("double") * F.lit(float(factor))
+    unsure = F.abs(scaled % F.lit(1.0) - F.lit(0.5)) <= scaled * F.lit(1e-11) + F.lit(1e-9)
+    steps = F.when(unsure, _steps(num, den, factor).cast("double")).otherwise(F.floor(scaled + F.lit(0.5)).cast("double"))
+    steps = steps / F.lit(float(10**digits))
+    return F.when(den > 0, F.when(num < 0, -steps).otherwise(steps)).otherwise(F.lit(0.0))
 
 
 def percent(num: str | Column, den: str | Column, digits: int = 1) -> Column:
@@ -142,13 +151,19 @@ def _literal_regex(text: str) -> str:
     return "".join("\\" + ch if not ch.isalnum() and not ch.isspace() else ch for ch in text)
 
 
-def percent_label(share: str | Column, digits: int = 1) -> Column:
-    """0.1234 -> '12.3%', rounded to the nearest tenth before it becomes text."""
-    pct = F.round((col(share).cast("double") * 100).cast("decimal(28,6)"), digits)
-    return F.concat(pct.cast(f"decimal(28,{digits})").cast("string"), F.lit("%"))
+def percent_label(num: str | Column, den: str | Column, digits: int = 1) -> Column:
+    """1234 of 10000 -> '12.3%': the exact percentage, rounded half away from zero; NULL where the divisor is 0."""
+    num, den = col(num), col(den)
+    steps = _steps(num, F.abs(den), 100 * 10**digits)
+    signed = F.when((num < 0) != (den < 0), -steps).otherwise(steps)
+    text = (signed * F.lit(str(10**-digits)).cast(f"decimal({digits + 1},{digits})")).cast(f"decimal(28,{digits})").cast("string")
+    return F.when(den != 0, F.concat(text, F.lit("%")))
 
 
 def truncated_percent_label(num: str | Column, den: str | Column, width: int = 4) -> Column:
-    """Leftmost characters of the percentage as text, cut and not rounded: 10.666 -> '10.6%'."""
-    pct = (col(num).cast("double") / col(den).cast("double") * 100).cast("decimal(28,6)")
-    return F.when(col(den) > 0, F.concat(F.substring(pct.cast("string"), 1, width), F.lit("%")))
+    """Leftmost characters of the percentage as text, cut and not rounded: 10.666 -> '10.6%', 100 -> '100%'."""
+    num, den = col(num), col(den)
+    pct = (_steps(num, den, 100 * 10**4, half=False) * F.lit("0.0001").cast("decimal(5,4)")).cast("decimal(28,4)").cast("string")
+    plain = F.regexp_replace(pct, r"\.?0+$", "")  # the number's own text has no trailing zeros
+    text = F.substring(F.when(num < 0, F.concat(F.lit("-"), plain)).otherwise(plain), 1, width)
+    return F.when(den > 0, F.concat(text, F.lit("%")))

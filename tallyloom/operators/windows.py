@@ -38,9 +38,11 @@ def pct_change(df: DataFrame, col: str, order: str, name: str, label: bool = Tru
     For aggregated frames (years, months): the window is unpartitioned. NULL on the first row and
     after a 0.
     """
-    previous = F.lag(col).over(W.orderBy(order)).cast("double")
-    change = F.try_divide(F.col(col).cast("double") - previous, previous)
-    return df.withColumn(name, fx.percent_label(change) if label else change)
+    previous = F.lag(col).over(W.orderBy(order))
+    if label:
+        return df.withColumn(name, fx.percent_label(F.col(col) - previous, previous))
+    previous = previous.cast("double")
+    return df.withColumn(name, F.try_divide(F.col(col).cast("double") - previous, previous))
 
 
 def running_total(

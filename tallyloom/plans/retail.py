@@ -171,7 +171,7 @@ def brand_revenue(tx: DataFrame, brands: DataFrame) -> DataFrame:
 
 def brand_revenue_share(tx: DataFrame, brands: DataFrame) -> DataFrame:
     share = windows.share_of_total(brand_revenue(tx, brands), "Revenue", "Share of Revenue", "Total Revenue")
-    return share.withColumn("Share of Revenue Label", fx.percent_label("Share of Revenue"))
+    return share.withColumn("Share of Revenue Label", fx.percent_label("Revenue", "Total Revenue"))
 
 
 def yearly_ytd(tx: DataFrame) -> DataFrame:

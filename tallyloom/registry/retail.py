@@ -8,7 +8,7 @@ from tallyloom.operators import aggs
 from tallyloom.plans import retail
 from tallyloom.registry import query
 from tallyloom.registry.sql import (
-    BRANDS, BRANDS_FILLED, GEO, PEOPLE, PREPARED, RAW, REVIEWS, TIMED, UNITS, ratio, sql,
+    BRANDS, BRANDS_FILLED, GEO, PEOPLE, PREPARED, RAW, REVIEWS, TIMED, UNITS, ratio, rounded, sql,
 )
 from tallyloom.sources import model
 
@@ -249,7 +249,7 @@ def brand_revenue_latest_year(spark, d):
   SELECT *, sum("Revenue") OVER () AS "Total Revenue",
     "Revenue"::DOUBLE / (sum("Revenue") OVER ())::DOUBLE AS "Share of Revenue" FROM brand_revenue)""",
         """SELECT "Brand", "Revenue", "Total Revenue", round("Share of Revenue"::DECIMAL(28,10), 8) AS "Share of Revenue",
-  round(("Share of Revenue" * 100)::DECIMAL(28,6), 1)::DECIMAL(28,1)::VARCHAR || '%' AS "Share of Revenue Label" FROM shares""",
+  """ + rounded('"Revenue"', '"Total Revenue"', 1, 100) + """::VARCHAR || '%' AS "Share of Revenue Label" FROM shares""",
         d="Revenue, Total Revenue, Share of Revenue",
     ),
 )
@@ -271,10 +271,11 @@ def yearly_ytd(spark, d):
 
 
 def _yoy(name: str, measure: str, column: str) -> None:
-    before = f'(lag("{measure}") OVER (ORDER BY "Year"))::DOUBLE'
-    change = f'(("{measure}"::DOUBLE - {before}) / {before} * 100)::DECIMAL(28,6)'
+    change = rounded(f'"{measure}" - before', "before", 1, 100)
     text = sql(
-        YTD, f"""SELECT *, round({change}, 1)::DECIMAL(28,1)::VARCHAR || '%' AS "{column}" FROM ytd""", d="Revenue"
+        YTD + f""", lagged AS (SELECT *, lag("{measure}") OVER (ORDER BY "Year") AS before FROM ytd)""",
+        f"""SELECT * EXCLUDE (before), {change}::VARCHAR || '%' AS "{column}" FROM lagged""",
+        d="Revenue",
     )
     query(name, text)(lambda spark, d: retail.yoy_change(timed(spark, d), measure, column))
 
@@ -347,7 +348,7 @@ query(
     sql(
         NAMED,
         "SELECT brandname, "
-        + ", ".join(f'{ratio(c, "count(*)", 4, "100.0")} AS "Rating_{i}"' for i, c in enumerate(_COUNTS, 1))
+        + ", ".join(f'{ratio(c, "count(*)", 4, 100)} AS "Rating_{i}"' for i, c in enumerate(_COUNTS, 1))
         + " FROM named GROUP BY 1",
         d=", ".join(f"Rating_{i}" for i in range(1, 6)),
     ),
@@ -364,7 +365,7 @@ def rating_cross_tab_pct(spark, d):
     """WITH n AS (SELECT (SELECT count(DISTINCT user_id) FROM events JOIN customer ON user_id = c_custkey) AS a,
   (SELECT count(*) FROM customer) AS b)
 SELECT a AS "Customers with Reviews", b AS "Total Customers",
-  "left"((a::DOUBLE / b::DOUBLE * 100)::DECIMAL(28,6)::VARCHAR, 4) || '%' AS "% of Customers with Reviews" FROM n""",
+  "left"(regexp_replace(((a * 1000000 // b)::DECIMAL(28,0) * 0.0001::DECIMAL(5,4))::VARCHAR, '\\.?0+$', ''), 4) || '%' AS "% of Customers with Reviews" FROM n""",
 )
 def review_engagement_rate(spark, d):
     return retail.review_engagement(model.retail_customers(spark, d), model.reviews(spark, d))

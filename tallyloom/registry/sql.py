@@ -9,13 +9,24 @@ def money(x: str) -> str:
     return f"round({x}, 2)::DECIMAL(18,2)"
 
 
-def ratio(n: str, d: str, digits: int, scale: str = "1.0") -> str:
-    quotient = f"(({n})::DOUBLE / ({d})::DOUBLE * {scale}::DOUBLE)::DECIMAL(28,6)"
-    return f"CASE WHEN ({d}) > 0 THEN round({quotient}, {digits}) ELSE 0 END"
+def whole(x: str) -> str:
+    """``|x|`` in units of the eighth digit, exactly."""
+    return f"(abs({x})::DECIMAL(28,8) * 100000000)::HUGEINT"
+
+
+def rounded(n: str, d: str, digits: int, scale: int = 1) -> str:
+    """``n / d * scale`` rounded half away from zero, in whole numbers; NULL where ``d`` is 0."""
+    steps = f"((2 * {scale * 10**digits} * {whole(n)} + {whole(d)}) // nullif(2 * {whole(d)}, 0))"
+    unit = f"0.{'0' * (digits - 1)}1::DECIMAL({digits + 1},{digits})"
+    return f"(sign({n})::INT * sign({d})::INT * {steps}::DECIMAL(28,0) * {unit})::DECIMAL(28,{digits})"
+
+
+def ratio(n: str, d: str, digits: int, scale: int = 1) -> str:
+    return f"CASE WHEN ({d}) > 0 THEN {rounded(n, d, digits, scale)} ELSE 0 END"
 
 
 def pct(n: str, d: str, digits: int = 1) -> str:
-    return ratio(n, d, digits, "100.0")
+    return ratio(n, d, digits, 100)
 
 
 def bands(x: str, edges, default: str) -> str:

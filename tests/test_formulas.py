@@ -73,9 +73,34 @@ def test_text(spark):
     assert value(spark, fx.text_length("t"), t=(None, "string")) == 1
     assert value(spark, fx.text_length("t"), t=("", "string")) == 0
     assert value(spark, fx.full_name("a", "b"), a=("Ann", "string"), b=(None, "string")) is None
-    assert value(spark, fx.percent_label("s"), s=(0.1235, "double")) == "12.4%"
-    assert value(spark, fx.truncated_percent_label("a", "b"), a=(2, "int"), b=(3, "int")) == "66.6%"
-    assert value(spark, fx.truncated_percent_label("a", "b"), a=(2, "int"), b=(0, "int")) is None
+
+
+@pytest.mark.parametrize("n, d, want", [
+    ("0.1235", 1, "12.4%"), (-1235, 10000, "-12.4%"), ("12.2499997", 100, "12.2%"), (1, 0, None), (None, 5, None), (5, None, None), (1, -8, "-12.5%"), (-1, 3000, "0.0%"),
+])
+def test_percent_label(spark, n, d, want):
+    cell = n if n is None else Decimal(n)
+    assert value(spark, fx.percent_label("a", "b"), a=(cell, "decimal(18,7)"), b=(d, "int")) == want
+
+
+@pytest.mark.parametrize("n, d, want", [
+    (2, 3, "66.6%"), (2, 0, None), (1, 1, "100%"), (1, 10, "10%"), (1, 20, "5%"), (10666, 100000, "10.6%"), (21, 200, "10.5%"), (0, 7, "0%"), (12, 1, "1200%"), (99999999, 10**9, "9.99%"),
+])
+def test_truncated_percent_label(spark, n, d, want):
+    assert value(spark, fx.truncated_percent_label("a", "b"), a=(n, "bigint"), b=(d, "bigint")) == want
+
+
+@pytest.mark.parametrize("n, d, digits, want", [
+    ("12.249999", 1, 1, 12.2), ("122.499997", 10, 1, 12.2), ("0.499996", 10, 1, 0.0), ("0.5", 10, 1, 0.1), ("-12.25", 1, 1, -12.3), ("12.25", 1, 1, 12.3),
+    ("10000000000000.05", 1, 1, 10000000000000.1), ("10000000000000.04", 1, 1, 10000000000000.0), ("9999999999999999.99", 1, 2, 9999999999999999.99), ("1", 3, 4, 0.3333),
+])
+def test_ratio_rounds_the_exact_quotient(spark, n, d, digits, want):
+    assert value(spark, fx.ratio("a", "b", digits), a=(Decimal(n), "decimal(28,6)"), b=(d, "int")) == want
+
+
+def test_ratio_of_doubles(spark):
+    assert value(spark, fx.ratio("a", "b", 1), a=(12.25, "double"), b=(1, "int")) == 12.3
+    assert value(spark, fx.ratio("a", "b", 1), a=(0.1 + 0.2 + 0.15, "double"), b=(1, "int")) == 0.5
 
 
 def _line(spark, net, rate="0.08", flag="N", tier=None):
