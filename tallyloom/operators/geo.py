@@ -7,13 +7,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tallyloom.functions import geo
 from tallyloom.session import checkpointed
 
-# Radii in miles for the search beyond the inline list; the last one reaches around the globe.
-RINGS = (5.0, 20.0, 80.0, 320.0, 1280.0, 5120.0, math.pi * geo.EARTH_RADIUS_MILES)
+# Sizes of the nested grid cells of the nearest-store search; each divides the one before it.
+GRID_DEGREES = (30.0, 6.0, 1.0, 0.125)
 
 
 def with_point(df: DataFrame, lat: str = "lat", lon: str = "lon", name: str = "Centroid") -> DataFrame:
@@ -66,96 +66,51 @@ def _cell(value: Column, size: float) -> Column:
     return F.floor(value / F.lit(size)).cast("bigint")
 
 
-def _listed(stores: DataFrame, max_stores: int) -> list | None:
-    """The stores with valid coordinates, read only up to one more than ``max_stores``; None beyond it."""
-    known = stores.filter(geo.valid_lat_lon("store_lat", "store_lon"))
-    rows = known.select("storeid", F.col("store_lat").cast("double"), F.col("store_lon").cast("double"))
-    found = rows.limit(max_stores + 1).collect()
-    return found if len(found) <= max_stores else None
+def _grid(lat: Column, lon: Column, size: float) -> tuple[Column, Column]:
+    """Row and column of the grid cell of ``size`` degrees; the north pole and the date line belong to the last one."""
+    y = F.least(F.floor((lat + 90.0) / size), F.lit(round(180 / size) - 1))
+    return y.cast("int"), F.least(F.floor((lon + 180.0) / size), F.lit(round(360 / size) - 1)).cast("int")
 
 
-def with_store_distances(customers: DataFrame, stores: DataFrame, max_stores: int = 500) -> DataFrame:
-    """Add ``Stores``: one ``struct<DistanceMiles, storeid, Direction>`` per store, nearest first.
+def nearest_store(customers: DataFrame, stores: DataFrame) -> DataFrame:
+    """Customers with ``Min_DistanceMiles`` and ``storeid`` of the closest store (ties: smaller id).
 
-    The store list travels inside the plan, so customers are neither shuffled nor joined. A longer
-    list is an error: the answer to that question is ``within_radius`` or ``nearest_store``.
+    The same way for any number of stores. Grid cells that hold customers get finer from level to level; a cell
+    keeps, of its parent's stores, those that can be nearest to some point in it: no farther from its centre than
+    the closest one by more than the cell's diameter. So the search grows with the stores and the occupied cells,
+    customers meet the few stores left by equality on their cell, and every row gets its own answer whether keys
+    repeat or not. Rows without valid coordinates are left out; without stores nobody has a nearest one.
     """
-    listed = _listed(stores, max_stores)
-    if listed is None:
-        raise ValueError(f"more than {max_stores} stores: ask for those within a radius, or for the nearest one")
-    places = F.array(
-        *[
-            F.struct(F.lit(s.store_lat).alias("lat"), F.lit(s.store_lon).alias("lon"), F.lit(s.storeid).alias("id"))
-            for s in listed
-        ]
-    )
-    entries = F.transform(
-        places,
-        lambda s: F.struct(
-            geo.distance_miles(s["lat"], s["lon"], "lat", "lon").alias("DistanceMiles"),
-            s["id"].alias("storeid"),
-            geo.cardinal(s["lat"], s["lon"], "lat", "lon").alias("Direction"),
-        ),
-    )
+    lat, lon = F.col("lat"), F.col("lon")
     known = customers.filter(geo.valid_lat_lon("lat", "lon"))
-    return known.withColumn("Stores", F.array_sort(entries))
-
-
-def _nearest_listed(customers: DataFrame, listed: list) -> DataFrame:
-    """Nearest of a short list: compare straight-line distances of unit vectors, measure only the winner."""
-
-    def vector(lat: float, lon: float) -> tuple[float, float, float]:
-        lat, lon = math.radians(lat), math.radians(lon)
-        return math.cos(lat) * math.cos(lon), math.cos(lat) * math.sin(lon), math.sin(lat)
-
-    places = F.array(
-        *[
-            F.struct(
-                *[F.lit(v).alias(n) for n, v in zip("xyz", vector(s.store_lat, s.store_lon))],
-                F.lit(s.storeid).alias("id"),
-                F.lit(s.store_lat).alias("lat"),
-                F.lit(s.store_lon).alias("lon"),
-            )
-            for s in listed
-        ]
+    places = stores.filter(geo.valid_lat_lon("store_lat", "store_lon")).select("storeid", "store_lat", "store_lon")
+    finest = dict(zip(("__y", "__x"), _grid(lat, lon, GRID_DEGREES[-1]), strict=True))
+    cells = checkpointed(known.select(*[c.alias(n) for n, c in finest.items()]).distinct())
+
+    left, above = places, None
+    for size in GRID_DEGREES:
+        step = round(size / GRID_DEGREES[-1])
+        cell = F.struct(F.floor(F.col("__y") / step).cast("int").alias("y"), F.floor(F.col("__x") / step).cast("int").alias("x"))
+        if above is None:  # a fixed number of coarse cells
+            every = F.array(*[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x")) for y in range(round(180 / size)) for x in range(round(360 / size))])
+            left = left.withColumn("cell", F.explode(every)).join(cells.select(cell.alias("cell")).distinct(), "cell")
+        else:
+            left = left.withColumnRenamed("cell", "parent").join(cells.select(cell.alias("cell"), above.alias("parent")).distinct(), "parent")
+        centre = ((F.col("cell.y") + 0.5) * size - 90.0, (F.col("cell.x") + 0.5) * size - 180.0)
+        left = left.withColumn("away", geo.distance_miles("store_lat", "store_lon", *centre))
+        # No point of a cell is farther from its centre than half the diagonal it would have on the equator.
+        diameter = geo.EARTH_RADIUS_MILES * math.radians(size) * math.sqrt(2) + 1e-6
+        closest = F.min("away").over(W.partitionBy("cell"))
+        left = left.withColumn("closest", closest).filter(F.col("away") <= F.col("closest") + diameter)
+        left, above = left.select("cell", "storeid", "store_lat", "store_lon"), cell
+    lists = left.groupBy(F.col("cell.y").alias("__cy"), F.col("cell.x").alias("__cx"))
+    lists = checkpointed(lists.agg(F.collect_list(F.struct("storeid", "store_lat", "store_lon")).alias("__stores")))
+
+    met = known.withColumns(finest).join(lists, (F.col("__y") == F.col("__cy")) & (F.col("__x") == F.col("__cx")))
+    measured = F.transform(
+        "__stores", lambda s: F.struct(geo.distance_miles(s["store_lat"], s["store_lon"], lat, lon).alias("miles"), s["storeid"].alias("id"))
+    )
+    best = met.withColumn("__best", F.array_min(measured))
+    return best.select(
+        *[F.col(f"`{c}`") for c in customers.columns], F.col("__best.miles").alias("Min_DistanceMiles"), F.col("__best.id").alias("storeid")
     )
-    lat, lon = F.radians("lat"), F.radians("lon")
-    vectors = {"__x": F.cos(lat) * F.cos(lon), "__y": F.cos(lat) * F.sin(lon), "__z": F.sin(lat)}
-
-    def chord(s: Column) -> Column:
-        dx, dy, dz = s["x"] - F.col("__x"), s["y"] - F.col("__y"), s["z"] - F.col("__z")
-        gap = dx * dx + dy * dy + dz * dz
-        return F.struct(gap.alias("gap"), s["id"].alias("id"), s["lat"].alias("lat"), s["lon"].alias("lon"))
-
-    near = customers.filter(geo.valid_lat_lon("lat", "lon")).withColumns(vectors)
-    near = near.withColumn("__best", F.array_min(F.transform(places, chord)))
-    miles = geo.distance_miles("__best.lat", "__best.lon", "lat", "lon")
-    return near.select(*customers.columns, miles.alias("Min_DistanceMiles"), F.col("__best.id").alias("storeid"))
-
-
-def nearest_store(customers: DataFrame, stores: DataFrame, key: str, max_stores: int = 500) -> DataFrame:
-    """Customers with ``Min_DistanceMiles`` and ``storeid`` of the closest store (ties: smaller id).
-
-    Reads the store list up to ``max_stores`` (one small job). Within it: one expression per customer,
-    no join. More stores: search rings of growing radius by grid cell; a ring's answer is exact
-    because it holds every store within the radius, and only customers without a store so far go on
-    to the next ring (one job per ring; ``key`` must identify a customer).
-    """
-    listed = _listed(stores, max_stores)
-    if listed is not None:
-        return _nearest_listed(customers, listed) if listed else customers.limit(0).select(
-            "*", F.lit(0.0).alias("Min_DistanceMiles"), F.lit(0).cast("bigint").alias("storeid")
-        )
-    place = stores.select("storeid", "store_lat", "store_lon")
-    rest, found = customers.select(key, "lat", "lon").filter(geo.valid_lat_lon("lat", "lon")), None
-    for miles in RINGS:
-        near = within_radius(rest, place, miles + 1e-6)
-        best = near.groupBy(key).agg(F.min(F.struct("DistanceMiles", "storeid")).alias("__best"))
-        best = checkpointed(
-            best.select(key, F.col("__best.DistanceMiles").alias("Min_DistanceMiles"), "__best.storeid")
-        )
-        found = best if found is None else found.unionByName(best)
-        rest = checkpointed(rest.join(best, key, "left_anti"))
-        if rest.isEmpty():
-            break
-    return customers.join(found, key)

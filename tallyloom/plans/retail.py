@@ -278,13 +278,13 @@ def trade_area_summary(customers: DataFrame, stores: DataFrame, key: str, miles:
     covering = gx.within_radius(place, stores, miles).groupBy(key).agg(
         F.array_sort(F.collect_set("storeid")).alias("CoveringStores")
     )
-    near = gx.nearest_store(customers, stores, key)
+    near = gx.nearest_store(customers, stores)
     return near.join(covering, key, "left").withColumn("RadiusSize", F.lit(miles))
 
 
 def trade_area_buckets(customers: DataFrame, stores: DataFrame, key: str = "original_customerid") -> DataFrame:
     """Customers by whether their nearest store is five miles away or more."""
-    near = gx.nearest_store(customers, stores, key)
+    near = gx.nearest_store(customers, stores)
     bucket = fx.band("Min_DistanceMiles", BUCKETS, BUCKET_DEFAULT)
     near = near.withColumn("Greater or Less Than 5 Miles", bucket)
     return near.groupBy("Greater or Less Than 5 Miles").agg(F.count_distinct(key).alias("Customers"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from tallyloom.functions import geo as gfx
-from tallyloom.operators import geo as gx
+from tallyloom.operators import geo as gx, joins
 from tallyloom.plans import retail
 from tallyloom.registry import query
 from tallyloom.registry.sql import GEO, PAIRS, PLACED, sql
@@ -70,17 +72,15 @@ def store_direction(spark, d):
     ),
 )
 def customer_store_distances(spark, d):
-    """Distance and direction from every store to every customer, as one list per customer."""
-    df = gx.with_store_distances(model.geocoded_customers(spark, d), model.stores(spark, d))
-    first, last = F.get("Stores", F.lit(0)), F.element_at("Stores", -1)
-    df = df.select(
-        "original_customerid",
-        F.size("Stores").alias("stores"),
-        first["DistanceMiles"].alias("n"),
-        last["DistanceMiles"].alias("f"),
-        first["Direction"].alias("nearest_direction"),
-    )
-    return df.select("original_customerid", "stores", _six("nearest", "n"), _six("farthest", "f"), "nearest_direction")
+    """How many stores there are, the nearest with its direction, and the farthest: the one nearest to the far side of the globe."""
+    people, stores = model.geocoded_customers(spark, d), model.stores(spark, d)
+    near = gx.nearest_store(people, stores).join(stores, "storeid")
+    way = gfx.cardinal("store_lat", "store_lon", "lat", "lon").alias("nearest_direction")
+    near = near.select("original_customerid", "Min_DistanceMiles", way)
+    far_side = people.select("original_customerid", (-F.col("lat")).alias("lat"), F.when(F.col("lon") > 0, F.col("lon") - 180.0).otherwise(F.col("lon") + 180.0).alias("lon"))
+    far = gx.nearest_store(far_side, stores).select("original_customerid", (math.pi * gfx.EARTH_RADIUS_MILES - F.col("Min_DistanceMiles")).alias("f"))
+    both = joins.append_fields(near.join(far, "original_customerid"), stores.agg(F.count("*").alias("stores")))
+    return both.select("original_customerid", "stores", _six("nearest", "Min_DistanceMiles"), _six("farthest", "f"), "nearest_direction")
 
 
 @query(
@@ -105,7 +105,7 @@ def trade_area_members(spark, d):
     ),
 )
 def nearest_store(spark, d):
-    near = gx.nearest_store(model.geocoded_customers(spark, d), model.stores(spark, d), "original_customerid")
+    near = gx.nearest_store(model.geocoded_customers(spark, d), model.stores(spark, d))
     return near.select("original_customerid", "storeid", _six("Min_DistanceMiles"))
 
 

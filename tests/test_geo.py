@@ -41,12 +41,13 @@ def test_radius_equals_brute_force(spark, world, radius):
     assert len(found) == len(set(found)) and set(found) == want
 
 
-@pytest.mark.parametrize("inline", [500, 3])
-def test_nearest_equals_brute_force(spark, world, inline):
+@pytest.mark.parametrize("more", [0, 2000])
+def test_nearest_equals_brute_force(spark, world, more):
     people, stores = world
-    out = ops.nearest_store(
-        places(spark, people, "id", "lat", "lon"), places(spark, stores, "storeid", "store_lat", "store_lon"), "id", inline
-    )
+    rng = random.Random(11)
+    stores = stores[:5] if not more else stores + [(40 + rng.gauss(0, 0.2), -75 + rng.gauss(0, 0.2)) for _ in range(more)]
+    out = ops.nearest_store(places(spark, people, "id", "lat", "lon"), places(spark, stores, "storeid", "store_lat", "store_lon"))
+    assert out.columns == ["id", "lat", "lon", "Min_DistanceMiles", "storeid"]
     got = {r.id: (r.storeid, r.Min_DistanceMiles) for r in out.collect()}
     assert len(got) == len(people)
     for i, p in enumerate(people):
@@ -55,6 +56,12 @@ def test_nearest_equals_brute_force(spark, world, inline):
         assert miles(stores[got[i][0]], p) == pytest.approx(best, abs=1e-6)
 
 
+def test_nearest_keeps_repeated_keys_and_the_smaller_id(spark):
+    people = spark.createDataFrame([(1, 10.0, 10.0), (1, -10.0, 100.0), (1, -10.0, 100.0)], "id int, lat double, lon double")
+    stores = spark.createDataFrame([(7, 10.1, 10.0), (5, 10.1, 10.0), (9, -10.0, 99.0)], "storeid int, store_lat double, store_lon double")
+    assert sorted(r.storeid for r in ops.nearest_store(people, stores).collect()) == [5, 9, 9]
+
+
 def test_five_mile_edge(spark):
     north = math.degrees(5.0 / gfx.EARTH_RADIUS_MILES)
     customers = places(spark, [(north - 1e-9, 0.0), (north + 1e-6, 0.0)], "id", "lat", "lon")
@@ -66,12 +73,8 @@ def test_points_skip_bad_coordinates(spark):
     customers = spark.createDataFrame([(1, 10.0, 10.0), (2, 95.0, 0.0), (3, None, 5.0)], "id int, lat double, lon double")
     stores = places(spark, [(10.0, 10.0)], "storeid", "store_lat", "store_lon")
     assert [r.Centroid is not None for r in ops.with_point(customers).orderBy("id").collect()] == [True, False, False]
-    assert ops.nearest_store(customers, stores, "id").count() == 1
-    row = ops.with_store_distances(customers, stores).first()
-    assert row.Stores[0].DistanceMiles == 0.0 and row.Stores[0].Direction is None
-    assert ops.nearest_store(customers, stores.limit(0), "id").count() == 0
-    with pytest.raises(ValueError):
-        ops.with_store_distances(customers, stores.union(stores), 1)
+    assert [r.Min_DistanceMiles for r in ops.nearest_store(customers, stores).collect()] == [0.0]
+    assert ops.nearest_store(customers, stores.limit(0)).count() == 0
 
 
 @pytest.mark.parametrize("lat, lon, way", [(1, 0, "N"), (1, 1, "NE"), (0, 1, "E"), (-1, 1, "SE"), (-1, 0, "S"), (-1, -1, "SW"), (0, -1, "W"), (1, -1, "NW"), (0, 0, None)])
