@@ -8,14 +8,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.functions.lookups import US_STATES
 from tallyloom.operators.joins import customer_review_join
 from tallyloom.operators.sinks import sanitize_columns, save_table
 from tallyloom.plans import retail, sales
 from tallyloom.sources import files
-from tallyloom.sources.schemas import RETAIL, SALES
+from tallyloom.sources.schemas import RETAIL, SALES, TREND, TREND_TITLE
 
 
 @dataclass(frozen=True)
@@ -23,7 +23,8 @@ class Layout:
     """Where a pipeline reads and writes.
 
     ``storage`` is an optional folder for the tables' files. ``files`` names inputs that are not
-    called ``<table>.csv``; the declared schema stands in for the header, so column names may differ.
+    called ``<table>.csv``, ``renames`` the columns of an input whose header has other names than
+    the schema. ``trends`` is a glob of titled CSV files below the source.
     """
 
     source: str
@@ -31,6 +32,8 @@ class Layout:
     storage: str | None = None
     fmt: str = "parquet"
     files: Mapping[str, str] = field(default_factory=dict)
+    renames: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
+    trends: str | None = None
 
     def csv(self, name: str) -> str:
         return f"{self.source.rstrip('/')}/{self.files.get(name, name + '.csv')}"
@@ -47,7 +50,7 @@ def run_sales(
     target_keys: tuple[str, ...] = ("Region", "Year", "Quarter"),
 ) -> dict[str, DataFrame]:
     """Staging, enriched transactions and the four reports; returns the stored tables."""
-    source = {name: files.read_csv(spark, layout.csv(name), schema) for name, schema in SALES.items()}
+    source = {name: files.read_csv(spark, layout.csv(name), schema, rename=layout.renames.get(name)) for name, schema in SALES.items()}
     out = {}
     valid, returned = sales.stage_valid(source["sales_transactions"]), sales.split_returns(source["sales_transactions"])[1]
     out["staging_valid_transactions"] = layout.save(valid, "staging_valid_transactions")
@@ -75,12 +78,14 @@ def run_sales(
 def run_retail(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     """Bronze, silver, dimension and gold tables of the retail model; returns the stored tables.
 
-    Sources that are not delivered are skipped; transactions, products and both location files are
-    needed for the fact, customers and reviews for the engagement table.
+    Sources that are not delivered are skipped, and with them the tables that need them: transactions,
+    products and both location files for the fact and the market tables, customers and reviews for
+    engagement, brands for the brand tables, customers that carry coordinates (``lat``, ``lon``, in
+    the file ``customer_geo``) for the trade areas. Trend lines that cannot be read are a table too.
     """
     out, bronze = {}, {}
     for name, schema in RETAIL.items():
-        for found in files.ingest_bronze(spark, {name: layout.csv(name)}, schema=schema).values():
+        for found in files.ingest_bronze(spark, {name: layout.csv(name)}, schema=schema, rename=layout.renames.get(name)).values():
             bronze[name] = out[f"bronze_{name}"] = layout.save(found, f"bronze_{name}")
 
     def keep(df: DataFrame, name: str) -> DataFrame:
@@ -100,10 +105,36 @@ def run_retail(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
         fact = retail.enriched_transactions(*[bronze[n] for n in ("transaction", "stock", "location", "geolocation")])
         fact = keep(fact, "fact_transaction")
         keep(retail.dim_date(fact), "dim_date")
+        keep(retail.monthly_running_total(fact), "gold_monthly_sales")
+        keep(retail.yearly_ytd(fact), "gold_yearly_to_date")
+        if "brand" in bronze:
+            keep(retail.brand_revenue_share(fact, bronze["brand"]), "gold_brand_revenue_share")
         keep(retail.daily_summary(fact), "gold_daily_transaction_summary")
     if "transaction" in bronze:
         keep(retail.dim_card_type(bronze["transaction"]), "dim_creditcard_type")
         keep(retail.card_revenue_profit(bronze["transaction"]), "gold_creditcard_revenue_summary")
+    if "brand" in bronze:
+        brands = keep(retail.typed_brands(bronze["brand"]), "silver_brand")
+    if {"brand", "review", "customer"} <= bronze.keys():
+        keyed = silver_reviews.withColumn("reviewkey", F.xxhash64(*silver_reviews.columns))
+        keep(retail.enriched_reviews(keyed, brands, bronze["customer"]), "gold_reviews")
+        keep(retail.weighted_rating(silver_reviews, brands), "gold_brand_rating")
+        keep(retail.rating_cross_tab(silver_reviews, brands), "gold_rating_cross_tab")
+    if {"customer", "review"} <= bronze.keys():
+        keep(retail.review_engagement(bronze["customer"], bronze["review"]), "gold_engagement_rate")
+    if {"customer_geo", "location", "geolocation"} <= bronze.keys():
+        stores = retail.location_dim(bronze["location"], bronze["geolocation"]).select(
+            F.col("locationid").alias("storeid"), F.col("geo_latitude").alias("store_lat"), F.col("geo_longitude").alias("store_lon")
+        )
+        area = retail.trade_area_summary(bronze["customer_geo"], stores, "customerid")
+        keep(area.withColumn("CoveringStores", F.array_join("CoveringStores", ",")), "gold_trade_area")
+        keep(retail.trade_area_buckets(bronze["customer_geo"], stores, "customerid"), "gold_trade_area_buckets")
+    if layout.trends:
+        path = f"{layout.source.rstrip('/')}/{layout.trends}"
+        trend, rejects = files.read_csv_preamble(spark, path, TREND, TREND_TITLE, file_column="FileName")
+        out["bronze_trend"] = layout.save(sanitize_columns(trend), "bronze_trend")
+        out["bronze_trend_rejects"] = layout.save(rejects, "bronze_trend_rejects")
+        keep(out["bronze_trend"].select("Week", "interest"), "silver_trend")
     if {"customer", "review"} <= bronze.keys():
         engagement = customer_review_join(silver_customers, silver_reviews, US_STATES)
         keep(engagement, "gold_customer_review_engagement")

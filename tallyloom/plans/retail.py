@@ -202,6 +202,12 @@ def typed_customers(raw: DataFrame) -> DataFrame:
     return rows.cast_cols(raw, {"customerid": "int", "zipcode": "bigint"})
 
 
+def typed_brands(raw: DataFrame) -> DataFrame:
+    """Brands with a numeric key, missing links filled and a clean description."""
+    filled = rows.backfill_urls(rows.cast_cols(raw, {"brandid": "int"}))
+    return filled.withColumn("description", fx.cleanse(fx.strip_non_printable("description")))
+
+
 def numbered_reviews(reviews: DataFrame, tie: str = "reviewkey") -> DataFrame:
     """Review ID by date and the text length that weights a rating. Runs the numbering job."""
     numbered = windows.record_id(reviews, ["reviewdate", tie], name="Review ID")

@@ -5,13 +5,13 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
 from tallyloom.operators import sinks
 from tallyloom.registry import query
 from tallyloom.registry.sql import sql
 from tallyloom.session import fresh_path
 from tallyloom.sources import files, model
+from tallyloom.sources.schemas import TREND, TREND_TITLE
 
 ORDERS_SQL = """SELECT o_orderkey, o_custkey, o_orderdate::DATE AS orderdate, o_totalprice, o_orderpriority FROM orders"""
 
@@ -48,20 +48,22 @@ def save_table_roundtrip(spark, d):
 @query(
     "multi_file_union",
     """SELECT o_orderkey, o_totalprice, CASE WHEN o_orderstatus <> 'O' THEN o_custkey END AS o_custkey,
-  CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS o_orderpriority FROM orders""",
+  CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS o_orderpriority,
+  CASE WHEN o_orderstatus = 'O' THEN 'open' ELSE 'closed' END AS folder FROM orders""",
 )
 def multi_file_union(spark, d):
-    """Open and closed orders in files with different columns, united by name."""
+    """Open and closed orders in files with different columns, united by name, each with the folder it came from."""
     orders = model.table(spark, d, "orders")
     root = fresh_path(spark, "union")
     closed, opened = f"{root}/closed", f"{root}/open"
     sinks.write_output(orders.filter("o_orderstatus <> 'O'").select("o_orderkey", "o_custkey", "o_totalprice"), closed)
     sinks.write_output(orders.filter("o_orderstatus = 'O'").select("o_totalprice", "o_orderpriority", "o_orderkey"), opened)
     schemas = {
-        closed: "o_orderkey bigint, o_custkey bigint, o_totalprice double",
-        opened: "o_totalprice double, o_orderpriority string, o_orderkey bigint",
+        f"{root}/clo*": "o_orderkey bigint, o_custkey bigint, o_totalprice double",
+        opened: "o_orderkey bigint, o_totalprice double, o_orderpriority string",
     }
-    return files.read_many(spark, schemas, file_column=None)
+    united = files.read_many(spark, schemas, file_column="path", full_path=True)
+    return united.withColumn("folder", F.regexp_extract("path", "/([^/]+)/[^/]+$", 1)).drop("path")
 
 
 @query("file_inventory")
@@ -90,9 +92,6 @@ def bronze_row_counts(spark, d):
     return out
 
 
-TREND = StructType([StructField("Week", DateType()), StructField("interest", IntegerType())])
-
-
 @query(
     "trend_weekly",
     sql(
@@ -111,4 +110,4 @@ def trend_weekly(spark, d):
     path = fresh_path(spark, "trend")
     lines = head.unionByName(data).repartition("yr").sortWithinPartitions("yr", "line", "value")
     lines.select("yr", "value").write.partitionBy("yr").text(path)
-    return files.read_csv_preamble(spark, f"{path}/yr=*/*", TREND)
+    return files.read_csv_preamble(spark, f"{path}/yr=*/*", TREND, TREND_TITLE)[0]

@@ -291,6 +291,18 @@ def silver_reviews(spark, d):
     return retail.typed_reviews(model.reviews(spark, d))
 
 
+@query(
+    "silver_brand",
+    sql(
+        BRANDS_FILLED,
+        r"""SELECT * REPLACE (brandid::BIGINT AS brandid, currentretailprice::DOUBLE AS currentretailprice,
+  trim(regexp_replace(regexp_replace(description, '[^ -~]', '', 'g'), '\s+', ' ', 'g')) AS description) FROM brands_filled""",
+    ),
+)
+def silver_brand(spark, d):
+    return retail.typed_brands(model.brands(spark, d))
+
+
 @query("silver_customers", sql(PEOPLE, "SELECT * REPLACE (zipcode::BIGINT AS zipcode) FROM people"))
 def silver_customers(spark, d):
     return retail.typed_customers(model.retail_customers(spark, d))

@@ -10,11 +10,34 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
-def read_csv(spark: SparkSession, path, schema: StructType | str | None = None, header: bool = True) -> DataFrame:
-    """Header CSV. Give a schema for large input: without one Spark reads the files once more to infer it."""
+def read_csv(
+    spark: SparkSession, path, schema: StructType | str | None = None, header: bool = True, rename: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Header CSV. Give a schema for large input: without one Spark reads the files once more to infer it.
+
+    Declared columns are found by the names in the header (``rename``: header name to declared name), in any order;
+    further columns are left out. A declared column that is missing, files whose headers differ, short or long
+    lines, and fields that are not of the declared type stop the query: nothing turns into NULL unseen. Without a
+    header the schema's order counts.
+    """
     reader = spark.read.option("header", header)
-    reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    # Whole lines are parsed, else a line that is too short for a column nobody reads would pass.
+    strict = reader.option("mode", "FAILFAST").option("columnPruning", False)
+    if not header:
+        return strict.schema(declared).csv(path)
+    names = spark.read.option("header", True).csv(path).columns
+    known = {f.name: f.dataType for f in declared.fields}
+    ours = [(rename or {}).get(n, n) for n in names]
+    missing = [n for n in known if n not in ours]
+    if missing:
+        raise ValueError(f"columns {missing} are not in the header {names}")
+    in_file = StructType([StructField(n, known.get(o, StringType())) for n, o in zip(names, ours, strict=True)])
+    found = strict.option("enforceSchema", False).schema(in_file).csv(path)
+    place = {o: n for n, o in zip(names, ours, strict=True)}
+    return found.select(*[F.col(f"`{place[n]}`").alias(n) for n in known])
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -26,40 +49,53 @@ def read_many(
     paths: str | Sequence[str] | Mapping[str, object],
     schema=None,
     file_column: str | None = "FileName",
+    full_path: bool = False,
 ) -> DataFrame:
-    """Several CSV files as one table, with the source file's name.
+    """Several CSV files as one table, with the source file's name (``full_path``: its whole path).
 
-    A glob is one scan (all files share the columns). A list of paths, or a mapping of path to its
-    schema, is united by column name, and a column that a file lacks is NULL.
+    A glob or a list of paths is one scan, whose files share the columns. A mapping of path to its schema is one
+    scan per entry, united by column name; a column that an entry lacks is NULL.
     """
 
-    def scan(path: str, schema) -> DataFrame:
+    def scan(path, schema) -> DataFrame:
         df = read_csv(spark, path, schema)
-        return df.select("*", F.col("_metadata.file_name").alias(file_column)) if file_column else df
+        if not file_column:
+            return df
+        return df.select("*", F.col("_metadata.file_path" if full_path else "_metadata.file_name").alias(file_column))
 
-    if isinstance(paths, str):
-        return scan(paths, schema)
-    schemas = paths if isinstance(paths, Mapping) else dict.fromkeys(paths, schema)
-    scans = [scan(path, declared) for path, declared in schemas.items()]
+    if not isinstance(paths, Mapping):
+        return scan(paths if isinstance(paths, str) else list(paths), schema)
+    scans = [scan(path, declared) for path, declared in paths.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
 def read_csv_preamble(
-    spark: SparkSession, path, schema: StructType, key: str | None = None, file_column: str | None = None
-) -> DataFrame:
-    """CSV files with title lines above the header.
-
-    All fields are read as text under the given names; a line counts as data when its key (first
-    column by default) parses as the declared type, which titles, blank lines and headers do not.
-    That needs no line numbers, so large files still split across tasks.
+    spark: SparkSession, path, schema: StructType, title: str, file_column: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """CSV files with title lines above the header: the data rows, and the lines that could not be read.
+
+    Known to be no data are blank lines, lines that match the pattern ``title`` as a whole, and the exact header
+    (the schema's names, joined by commas). Every other line is a row, or else one of the rejects (``line`` and
+    the file column): too few or too many fields, or a field that is not of its type. That needs no line numbers, so
+    large files still split across tasks. A field cannot hold a line break.
     """
-    key = key or schema.fieldNames()[0]
-    text = StructType([StructField(f.name, StringType()) for f in schema.fields])
-    raw = spark.read.schema(text).option("mode", "PERMISSIVE").csv(path)
-    typed = [F.trim(F.col(f.name)).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    names = schema.fieldNames()
+    text = StructType([StructField(n, StringType()) for n in names] + [StructField("__bad", StringType())])
+    raw = spark.read.text(path).withColumnRenamed("value", "line")
     if file_column:
-        typed.append(F.col("_metadata.file_name").alias(file_column))
-    return raw.select(*typed).filter(F.col(key).isNotNull())
+        raw = raw.select("line", F.col("_metadata.file_name").alias(file_column))
+    kept = [file_column] if file_column else []
+    bare = F.trim(F.col("line"))
+    data = raw.filter((bare != "") & ~bare.rlike(f"^(?:{title})$") & (bare != ",".join(names)))
+    fields = F.from_csv("line", text.simpleString()[len("struct<") : -1].replace(":", " "), {"columnNameOfCorruptRecord": "__bad"})
+    parsed = data.withColumn("__text", fields)
+    given = {f.name: F.trim(F.col(f"__text.`{f.name}`")) for f in schema.fields}
+    typed = {f.name: given[f.name].try_cast(f.dataType) for f in schema.fields}
+    bad = F.col("__text.__bad").isNotNull()
+    for n in names:
+        bad = bad | (typed[n].isNull() & (F.coalesce(given[n], F.lit("")) != ""))
+    good = parsed.filter(~bad).select(*[typed[n].alias(n) for n in names], *kept)
+    return good, parsed.filter(bad).select("line", *kept)
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

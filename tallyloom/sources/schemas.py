@@ -1,4 +1,10 @@
-"""Declared columns of the CSV inputs, in file order (fixed values)."""
+"""Declared columns of the CSV inputs (fixed values)."""
+
+from pyspark.sql.types import DateType, IntegerType, StructField, StructType
+
+# Trend exports: what stands above the header, and the data below it.
+TREND_TITLE = "Category: .*"
+TREND = StructType([StructField("Week", DateType()), StructField("interest", IntegerType())])
 
 SALES = {
     "sales_transactions": (
@@ -36,8 +42,13 @@ RETAIL = {
         "state string, zipcode string, email string, phonenumber string, firstpurchasedate string, "
         "subscribedtoemaillist string, gender string"
     ),
+    "customer_geo": "customerid int, lat double, lon double",
     "stock": "productid int, brandid int, containertype string, locationid int, purchasedate date",
     "review": "customerid int, brandid int, starrating int, reviewdate date, review string",
+    "brand": (
+        "brandid int, brandname string, description string, city string, state string, website string, "
+        "facebookpage string, twitter string"
+    ),
     "geolocation": "locationid int, latitude double, longitude double, location string",
     "location": "locationid int, locationname string, streetaddress string, city string, state string, zipcode string",
 }

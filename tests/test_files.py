@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 
 from tallyloom.operators import sinks
-from tallyloom.registry.files import TREND
+from tallyloom.registry.files import TREND, TREND_TITLE
 from tallyloom.session import shared_dir, size_shuffles
 from tallyloom.sources import files
 
@@ -20,13 +20,44 @@ def test_csv_with_and_without_schema(spark, tmp_path, rows):
     assert files.read_csv(spark, path).dtypes[0] == ("k", "int")
 
 
+def test_csv_columns_go_by_name(spark, tmp_path, rows):
+    path = write(tmp_path / "n.csv", "id,name,amount\n1,x,2.5\n")
+    assert rows(files.read_csv(spark, path, "id int, amount double, name string")) == [(1, 2.5, "x")]
+    assert rows(files.read_csv(spark, path, "key int, name string", rename={"id": "key"})) == [(1, "x")]
+    with pytest.raises(ValueError, match="amounts"):
+        files.read_csv(spark, path, "id int, amounts double")
+
+
+@pytest.mark.parametrize("line", ["2", "2,x,9,9", "two,x,1.5", "2,x,much"])
+def test_csv_malformed_lines_stop_the_query(spark, tmp_path, line):
+    path = write(tmp_path / "bad.csv", f"id,name,amount\n1,x,2.5\n{line}\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        files.read_csv(spark, path, "id int, name string, amount double").collect()
+
+
+def test_csv_files_with_different_headers_stop_the_query(spark, tmp_path):
+    write(tmp_path / "h" / "a.csv", "id,name\n1,x\n")
+    write(tmp_path / "h" / "b.csv", "name,id\nx,1\n")
+    with pytest.raises(Exception):
+        files.read_many(spark, str(tmp_path / "h" / "*.csv"), "id int, name string").collect()
+
+
 def test_preamble(spark, tmp_path, rows):
     write(tmp_path / "t" / "2018.csv", "Category: All categories\r\n\r\nWeek,interest\r\n2018-01-07,54\r\n2018-01-14,68\r\n")
     write(tmp_path / "t" / "2019.csv", "Week,interest\n2019-01-06,7\n")
-    out = files.read_csv_preamble(spark, str(tmp_path / "t" / "*.csv"), TREND, file_column="f")
+    out, rejects = files.read_csv_preamble(spark, str(tmp_path / "t" / "*.csv"), TREND, TREND_TITLE, file_column="f")
     assert rows(out) == [
         (dt.date(2018, 1, 7), 54, "2018.csv"), (dt.date(2018, 1, 14), 68, "2018.csv"), (dt.date(2019, 1, 6), 7, "2019.csv"),
     ]
+    assert rows(rejects) == []
+
+
+def test_preamble_hands_back_what_it_cannot_read(spark, tmp_path, rows):
+    lines = ["2020-13-05,1", "05/01/2020,2", "2020-01-12", "2020-01-19,3,4", "Some title", "2020-01-26,many", "2020-02-02,", "2020-02-09,5"]
+    path = write(tmp_path / "r.csv", "Category: x\nWeek,interest\n" + "\n".join(lines) + "\n")
+    out, rejects = files.read_csv_preamble(spark, path, TREND, TREND_TITLE)
+    assert rows(out) == [(dt.date(2020, 2, 2), None), (dt.date(2020, 2, 9), 5)]
+    assert [r[0] for r in rows(rejects)] == sorted(lines[:6])
 
 
 def test_many_files(spark, tmp_path, rows):
@@ -34,7 +65,7 @@ def test_many_files(spark, tmp_path, rows):
     b = write(tmp_path / "m" / "b.csv", "w,k\n2.5,2\n")
     out = files.read_many(spark, {a: "k int, v string", b: "w double, k int"})
     assert rows(out, "k", "v", "w", "FileName") == [(1, "x", None, "a.csv"), (2, None, 2.5, "b.csv")]
-    assert files.read_many(spark, [a, b], file_column=None).count() == 2
+    assert files.read_many(spark, [a, a], "k int, v string", file_column=None).count() == 2
     assert files.read_many(spark, str(tmp_path / "m" / "a*.csv"), "k int, v string").count() == 1
 
 
