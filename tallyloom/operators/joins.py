@@ -105,9 +105,10 @@ def lookup_replace(
     elif mode == "substring":
         longest_first = sorted(pairs, key=len, reverse=True)
         quoted = "|".join("\\Q" + k + "\\E" for k in longest_first)
-        pieces = F.regexp_extract_all(text, F.lit(f"(?is)({quoted}|.)"), F.lit(1))
-        swapped = F.transform(pieces, lambda p: F.coalesce(F.try_element_at(found, F.upper(p)), p))
-        out = F.array_join(swapped, "")
+        # The text as the runs between matches, and the matches themselves.
+        runs = F.split(text, f"(?is){quoted}")
+        hits = F.transform(F.regexp_extract_all(text, F.lit(f"(?is)({quoted})"), F.lit(1)), lambda p: found[F.upper(p)])
+        out = F.array_join(F.zip_with(runs, hits, lambda run, hit: F.concat(run, F.coalesce(hit, F.lit("")))), "")
     else:
         raise ValueError("mode must be 'exact' or 'substring'")
     return df.withColumn(name or col, out)
@@ -148,12 +149,14 @@ def union_by_name(*tables: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
-def customer_review_join(customers: DataFrame, reviews: DataFrame, states: Mapping[str, str]) -> DataFrame:
+def customer_review_join(
+    customers: DataFrame, reviews: DataFrame, states: Mapping[str, str], split_hot: bool = False
+) -> DataFrame:
     """Every customer with each of their reviews (or none), state spelled out.
 
-    The many side is the review side, so a customer with a very large share of the reviews must be
-    splittable: the outer join is put together from an inner and an anti join.
+    ``split_hot`` is for reviews of which one customer has a very large share: that side of an outer
+    join cannot be split, so it is then put together from an inner and an anti join.
     """
-    joined = left_keep(customers, reviews, "customerid", split_hot=True)
+    joined = left_keep(customers, reviews, "customerid", split_hot)
     return lookup_replace(joined, "state", states)
 

@@ -11,28 +11,28 @@ from tallyloom.registry.rows import STATE_VALUES
 from tallyloom.registry.sql import BRANDS_FILLED, PEOPLE, PREPARED, REVIEWS, UNITS, sql
 from tallyloom.sources import model
 
-# Both sides have rows without a partner: English documents against all labels.
-DOCS = "docs AS (SELECT doc_id, lang, n_chars FROM documents WHERE lang = 'en')"
+# Two whole tables whose ids overlap in part, so both sides have rows without a partner.
+DOCS = "docs AS (SELECT page_id AS doc_id, url FROM pages)"
 
 
 def _sides(spark, d):
-    docs = model.table(spark, d, "documents").filter("lang = 'en'").select("doc_id", "lang", "n_chars")
+    docs = model.table(spark, d, "pages").select(F.col("page_id").alias("doc_id"), "url")
     return docs, model.table(spark, d, "labels")
 
 
-def _join(name: str, how: str, keyword: str, split_hot: bool = False) -> None:
+def _join(name: str, how: str, keyword: str) -> None:
     text = sql(
         DOCS,
-        f"""SELECT coalesce(docs.doc_id, labels.doc_id) AS doc_id, lang, n_chars, quality, toxic
+        f"""SELECT coalesce(docs.doc_id, labels.doc_id) AS doc_id, url, quality, toxic
 FROM docs {keyword} JOIN labels ON docs.doc_id = labels.doc_id""",
     )
-    query(name, text)(lambda spark, d: joins.join_dfs(*_sides(spark, d), "doc_id", how, split_hot))
+    query(name, text)(lambda spark, d: joins.join_dfs(*_sides(spark, d), "doc_id", how))
 
 
 _join("join_inner", "inner", "INNER")
-_join("join_left", "left", "LEFT", split_hot=True)
-_join("join_right", "right", "RIGHT", split_hot=True)
-_join("join_full", "full", "FULL", split_hot=True)
+_join("join_left", "left", "LEFT")
+_join("join_right", "right", "RIGHT")
+_join("join_full", "full", "FULL")
 
 
 @query("join_semi", sql(DOCS, "SELECT * FROM docs WHERE doc_id IN (SELECT doc_id FROM labels)"))

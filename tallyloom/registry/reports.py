@@ -388,11 +388,11 @@ def table_sizes(spark, d):
   count(*) - count("{c}") AS "NullCount", min("{c}")::VARCHAR AS "MinValue", max("{c}")::VARCHAR AS "MaxValue" FROM customers"""
             for c, t in (
                 ("CustomerID", "bigint"), ("CustomerName", "string"), ("Region", "string"), ("State", "string"),
-                ("CreditLimit", "decimal(18,2)"), ("AccountOpenDate", "date"),
+                ("CreditLimit", "decimal(18,2)"), ("AccountOpenDate", "date"), ("Segment", "string"), ("Country", "string"),
+                ("City", "string"), ("PreferredPayment", "string"),
             )
         ),
     ),
 )
 def profile_table(spark, d):
-    cols = ["CustomerID", "CustomerName", "Region", "State", "CreditLimit", "AccountOpenDate"]
-    return quality.profile_table(model.customers(spark, d).select(*cols))
+    return quality.profile_table(model.customers(spark, d))

@@ -174,19 +174,46 @@ def sales_by_day_location(spark, d):
 
 # --- dimensions ------------------------------------------------------------------------------
 
-@query("dim_customer", sql(PEOPLE, "SELECT * FROM people"))
+# Dimensions from inputs that repeat their keys: one row per sale, order or customer, the first one stays.
+
+@query(
+    "dim_customer",
+    sql(
+        PEOPLE,
+        """SELECT o_custkey AS customerid, firstname, lastname, state, min(o_orderkey) AS orderkey FROM orders JOIN people
+ON o_custkey = customerid GROUP BY ALL""",
+    ),
+)
 def dim_customer(spark, d):
-    return retail.dim_first(model.retail_customers(spark, d), "customerid", ["lastname"])
+    orders = model.table(spark, d, "orders").select(F.col("o_custkey").alias("customerid"), F.col("o_orderkey").alias("orderkey"))
+    people = model.retail_customers(spark, d).select("customerid", "firstname", "lastname", "state")
+    return retail.dim_first(orders.join(people, "customerid"), "customerid", ["orderkey"])
 
 
-@query("dim_product", sql(UNITS, "SELECT * FROM units"))
+@query(
+    "dim_product",
+    sql(
+        f"{RAW}, {UNITS}",
+        """SELECT units.*, first_sale FROM units JOIN
+(SELECT productid AS sold, min(transactionid) AS first_sale FROM raw GROUP BY 1) ON productid = sold""",
+    ),
+)
 def dim_product(spark, d):
-    return retail.dim_first(model.stock_units(spark, d), "productid", ["purchasedate"])
+    sales = model.retail_transactions(spark, d).select("productid", F.col("transactionid").alias("first_sale"))
+    return retail.dim_first(sales.join(model.stock_units(spark, d), "productid"), "productid", ["first_sale"])
 
 
-@query("dim_location", sql(GEO, "SELECT locationid, latitude, longitude, location FROM geo_text"))
+@query(
+    "dim_location",
+    sql(
+        GEO,
+        """SELECT locationid, latitude, longitude, location, min(c_custkey) AS customerid FROM geo_text
+JOIN customer ON c_nationkey = locationid GROUP BY ALL""",
+    ),
+)
 def dim_location(spark, d):
-    return retail.dim_first(model.geolocation(spark, d), "locationid", ["latitude", "longitude"])
+    people = model.table(spark, d, "customer").select(F.col("c_nationkey").alias("locationid"), F.col("c_custkey").alias("customerid"))
+    return retail.dim_first(model.geolocation(spark, d).join(people, "locationid"), "locationid", ["customerid"])
 
 
 @query(
