@@ -1,7 +1,7 @@
 """Joins and lookups.
 
-No join here is hinted. Whether a side is broadcast is decided from its size (Spark's threshold and
-run-time statistics), and a side beyond it is shuffled. A hot key on the row-preserving or inner
+Whether a side is broadcast is decided from its size: by Spark's threshold and run-time statistics, or by a count
+(``measured``). A side beyond it is shuffled. A hot key on the row-preserving or inner
 side is split by adaptive execution; a hot key on the *other* side of an outer join cannot be, so
 such joins can be put together from an inner join and anti joins (``split_hot=True``).
 """
@@ -55,6 +55,16 @@ def join_streams(
     )
 
 
+def measured(dim: DataFrame, rows: int = 200_000) -> DataFrame:
+    """A small dimension that was built by joins, marked for broadcast once it is known to be small.
+
+    The optimizer multiplies the sizes of joined inputs, so it takes a table of 25 rows for gigabytes and would shuffle
+    the fact for it. One job reads at most ``rows`` rows and one more; a longer table is left as it is, to be
+    shuffled or broadcast by its size.
+    """
+    return F.broadcast(dim) if dim.limit(rows + 1).count() <= rows else dim
+
+
 def left_keep(left: DataFrame, right: DataFrame, on: str | Sequence[str], split_hot: bool = False) -> DataFrame:
     """Matched and unmatched left rows together, that is a left outer join."""
     return join_dfs(left, right, on, "left", split_hot)

@@ -50,7 +50,7 @@ def days_since_purchase(tx: DataFrame) -> DataFrame:
 
 
 def location_dim(locations: DataFrame, geolocation: DataFrame) -> DataFrame:
-    """Real stores (not the lost one) with their coordinates, one row per store."""
+    """Real stores (not the lost one) with their coordinates, one row per store. Counts them, so that few are broadcast."""
     real = locations.filter("locationid != 0")
     coordinates = geolocation.select(
         "locationid",
@@ -58,7 +58,7 @@ def location_dim(locations: DataFrame, geolocation: DataFrame) -> DataFrame:
         F.col("longitude").alias("geo_longitude"),
         F.col("location").alias("geo_location_text"),
     )
-    return real.join(coordinates, "locationid")
+    return joins.measured(real.join(coordinates, "locationid"))
 
 
 def with_location(tx: DataFrame, stores: DataFrame) -> DataFrame:

@@ -100,3 +100,19 @@ def test_customer_review_join_with_hot_customer(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_small_dimensions_do_not_move_the_fact(spark):
+    """No exchange by the store key, although the store table is itself a join."""
+    from tallyloom import registry
+
+    registry.load_all()
+    plan = registry.QUERIES["geo_enriched_transactions"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [cast(Location ID" in plan and "hashpartitioning(Location ID" not in plan and "hashpartitioning(cast(Location" not in plan
+
+
+def test_measured(spark):
+    small = spark.range(5)
+    hinted = ops.measured(small, rows=5)._jdf.queryExecution().analyzed().toString()
+    plain = ops.measured(small, rows=4)._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in hinted and "broadcast" not in plain
