@@ -104,7 +104,8 @@ def test_near_duplicates(spark, seed):
     assert all(r["n_shingles"] == len(sets[i]) and r["kept"] == (want[i] == i) for i, r in got.items())
 
 
-def test_near_duplicates_in_one_large_bucket(spark):
+@pytest.mark.parametrize("block_rows", [1024, 7])
+def test_near_duplicates_in_one_large_bucket(spark, block_rows):
     """Many different texts that share bands: links that do not touch the first pivot are found too."""
     rng = random.Random(4)
     core = _text(rng, 60).split()
@@ -113,7 +114,7 @@ def test_near_duplicates_in_one_large_bucket(spark):
         core = list(core)
         core[(k * 7) % len(core)] = f"n{k}"
         pairs.append((k, " ".join(core)))
-    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(_frame(spark, pairs), width=1, percent=80).collect()}
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(_frame(spark, pairs), width=1, percent=80, block_rows=block_rows).collect()}
     sets = {i: _shingles(t, 1) for i, t in pairs}
     edges = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     assert got == _components(sets, edges)

@@ -6,6 +6,8 @@ import pytest
 
 import corpus_pipeline
 from tallyloom.llm import queries
+from tallyloom.llm.common import ready, stored
+from tallyloom.llm.language_id import classify, train, training_rows
 from tests.oracle import connect, differences
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -30,15 +32,38 @@ def test_license_scan_rows(spark):
     assert found.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
 
 
-def test_pipeline_stages(spark):
-    """Each stage passes the columns of documents on, drops something it should, and never adds a row."""
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    columns, before = docs.columns, docs.count()
+def _view(df, name, con):
+    files = [f.removeprefix("file://") for f in df.inputFiles()]
+    con.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM read_parquet({files})")
+
+
+def _ids(con, sql):
+    return {r[0] for r in con.sql(sql).fetchall()}
+
+
+def test_pipeline_against_brute_force(spark):
+    """Each stage's rows from its own input: by the trained network one text at a time, and by SQL."""
+    ready(spark)
+    con, docs = connect(SF), spark.read.parquet(f"{SF}/documents.parquet")
+    columns, out = docs.columns, {}
+    con.sql("DROP VIEW documents")
+    _view(docs, "documents", con)
+    languages, model = train(training_rows(docs, "doc_id", "text", "lang", 400, 0))
+    clear = {i for i, t in con.sql("SELECT doc_id, text FROM documents").fetchall() if t and any(c.isalpha() for c in t) and classify(model, [t.encode()])[1][0] >= 0.35}
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    want = {
+        "language": lambda: clear,
+        "exact": lambda: _ids(con, f"SELECT max(doc_id) FROM documents GROUP BY {lower}"),
+        "near": lambda: _ids(con, f"SELECT doc_id FROM ({queries.near_sql('documents', 5, 80)}) WHERE kept"),
+        "leaks": lambda: _ids(con, "SELECT doc_id FROM documents") - _ids(con, f"SELECT doc_id FROM ({queries.ORACLE['op1_benchmark_decontamination']})"),
+        "mixture": lambda: _ids(con, f"SELECT doc_id FROM ({queries.mix_sql()}) WHERE copies > 0"),
+    }
     for name, stage in corpus_pipeline.STAGES:
-        docs = queries.stored(stage(spark, docs, SF), name)
+        docs = out[name] = stored(stage(spark, docs, SF), name)
+        got = [r["doc_id"] for r in docs.select("doc_id").collect()]
+        assert len(got) == len(set(got)) and set(got) == want[name](), name
         if name != "mixture":
             assert docs.columns == columns
-        assert 0 < docs.count() <= before
-        before = docs.count()
-    assert docs.select("doc_id").distinct().count() == before
-    assert corpus_pipeline.run(spark, SF).count() == before
+            _view(docs, "documents", con)
+    copies = dict(con.sql(f"SELECT doc_id, copies FROM ({queries.mix_sql()}) WHERE copies > 0").fetchall())
+    assert {r["doc_id"]: r["copies"] for r in corpus_pipeline.run(spark, SF).collect()} == copies
