@@ -29,16 +29,16 @@ def _runs(sentences: Column, length: int, least_words: int) -> Column:
     return F.when(F.size(sentences) >= length, pairs).otherwise(F.array().cast("array<struct<at:int,hash:bigint>>"))
 
 
-def repeated_spans(docs: DataFrame, id_col: str, text_col: str, length: int, least_words: int) -> DataFrame:
-    """``row`` and ``at`` of every run that is not the first of its kind; the first has the least (id, row, position)."""
-    split = docs.select(F.col(f"`{id_col}`").alias("id"), "__row", _sentences(F.col(f"`{text_col}`")).alias("sentences"))
-    spans = split.select("id", "__row", F.explode_outer(_runs(F.col("sentences"), length, least_words)).alias("run")).filter("run IS NOT NULL")
-    spans = stored(spans.select("id", "__row", "run.at", "run.hash"), "spans")
-    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "__row", "at")
+def repeated_spans(rows: DataFrame, length: int, least_words: int) -> DataFrame:
+    """``row`` and ``at`` of every run in ``rows`` (id, row, text) that is not the first of its kind; the first has the least (id, row, position)."""
+    split = rows.select("id", "row", _sentences(F.col("text")).alias("sentences"))
+    spans = split.select("id", "row", F.explode_outer(_runs(F.col("sentences"), length, least_words)).alias("run")).filter("run IS NOT NULL")
+    spans = stored(spans.select("id", "row", "run.at", "run.hash"), "spans")
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "at")
     first = spans.groupBy("hash").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    first = checkpointed(first.select("hash", F.col("first.__row").alias("first_row"), F.col("first.at").alias("first_at")))
+    first = checkpointed(first.select("hash", F.col("first.row").alias("first_row"), F.col("first.at").alias("first_at")))
     again = spans.join(first, "hash")
-    return again.filter((F.col("__row") != F.col("first_row")) | (F.col("at") != F.col("first_at"))).select("__row", "at")
+    return again.filter((F.col("row") != F.col("first_row")) | (F.col("at") != F.col("first_at"))).select("row", "at")
 
 
 def substring_dedup(
@@ -58,19 +58,21 @@ def substring_dedup(
 
     A null or empty text has no sentences and an empty ``kept_text``; a document of fewer sentences has no span and
     stays whole. Ids may repeat or be null (null comes last); rows are told apart by a hash of id and text, so
-    that equal rows share the fate of the first. All other columns pass through; an empty table gives no rows.
+    that equal rows share the fate of the first. All columns pass through, one named like an added column with the
+    suffix "_in"; an empty table gives no rows.
     """
-    rows = docs.withColumn("__row", F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), F.lit(3)))
-    later = repeated_spans(rows, id_col, text_col, length, least_words)
-    cover = later.groupBy("__row").agg(F.array_sort(F.collect_set("at")).alias("__spans"))
-    whole = rows.join(checkpointed(cover), "__row", "left")
-    whole = whole.withColumn("__sentences", _sentences(F.col(f"`{text_col}`")))
-    gone = F.array_distinct(F.flatten(F.transform(F.coalesce("__spans", F.array().cast("array<int>")), lambda a: F.sequence(a, a + length - 1))))
-    whole = whole.withColumn("__gone", gone)
-    kept = F.filter("__sentences", lambda s, i: ~F.array_contains("__gone", i))
-    return whole.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        F.size("__sentences").cast("long").alias("n_sentences"),
-        F.size("__gone").cast("long").alias("n_removed"),
-        F.array_join(kept, "\n").alias("kept_text"),
-    )
+    rows = docs.select(F.struct("*").alias("doc"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    rows = rows.withColumn("row", F.xxhash64("id", "text", F.lit(3)))
+    later = repeated_spans(rows.select("id", "row", "text"), length, least_words)
+    cover = later.groupBy("row").agg(F.collect_set("at").alias("spans"))
+    whole = rows.join(checkpointed(cover), "row", "left").withColumn("sentences", _sentences(F.col("text")))
+    spans = F.coalesce("spans", F.array().cast("array<int>"))
+    whole = whole.withColumn("gone", F.array_distinct(F.flatten(F.transform(spans, lambda a: F.sequence(a, a + length - 1)))))
+    kept = F.filter("sentences", lambda s, i: ~F.array_contains("gone", i))
+    out = {
+        "n_sentences": F.size("sentences").cast("long"),
+        "n_removed": F.size("gone").cast("long"),
+        "kept_text": F.array_join(kept, "\n"),
+    }
+    own = [F.col("doc")[c].alias(f"{c}_in" if c in out else c) for c in docs.columns]
+    return whole.select(*own, *[c.alias(n) for n, c in out.items()])

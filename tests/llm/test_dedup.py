@@ -207,6 +207,24 @@ def test_sentence_spans(spark):
         assert r["digest"] == "x" and r["key"] == "y"
 
 
+def test_sentence_spans_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a b", 5, "r", "t")], "doc_id long, text string, n_removed int, row string, doc string")
+    assert substring_dedup(docs).first().asDict() == {
+        "doc_id": 1, "text": "a b", "n_removed_in": 5, "row": "r", "doc": "t", "n_sentences": 1, "n_removed": 0, "kept_text": "a b",
+    }
+
+
+def test_very_long_texts(spark):
+    """Ten million characters, with and without blanks."""
+    docs = _frame(spark, [(1, "word " * 500_000), (2, "x" * 2_500_000), (3, "word " * 500_000), (4, "é" * 100_000 + ". " * 100_000)])
+    assert exact_dedup(docs).filter("kept").count() == 3
+    assert near_duplicates(docs).filter("kept").count() == 3
+    assert {r["doc_id"]: len(r["kept"]) > 0 for r in suffix_dedup(docs).collect()} == {1: True, 2: True, 3: False, 4: True}
+    assert substring_dedup(docs).filter("n_sentences > 0").count() == 4
+    items = spark.createDataFrame([(1, "word word word word word word")], "item_id long, text string")
+    assert sorted(r["doc_id"] for r in contaminated(docs, items).collect()) == [1, 3]
+
+
 def test_sentence_spans_null_ids(spark):
     passage = "One short sentence stands here. Another short one follows it. And the third one ends it all."
     got = substring_dedup(_frame(spark, [(None, passage), (5, passage), (5, passage)])).collect()
