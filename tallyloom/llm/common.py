@@ -38,6 +38,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame, rows_per_task: int = 250_000) -> DataFrame:
+    """A stored narrow table in as many partitions as its rows need: steps over a small one then need no shuffle."""
+    return df.coalesce(max(1, -(-df.count() // rows_per_task)))
+
+
 def without(docs: DataFrame, dropped: DataFrame, keys: dict[str, Column], broadcast_rows: int = 2_000_000) -> DataFrame:
     """``docs`` without the rows whose ``keys`` (column of ``dropped``: expression over ``docs``) are in ``dropped``; null equals null.
 

@@ -10,10 +10,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tallyloom.llm.common import stored
+from tallyloom.llm.common import sized, stored
 from tallyloom.llm.components import connected_components
 from tallyloom.llm.text_arrays import U64, shingle_sets, slices
-from tallyloom.session import checkpointed
 
 HASH_BLOCK = 1 << 15  # shingles hashed at a time: stays in the processor's cache
 
@@ -58,7 +57,7 @@ def _sign(width: int, count: int):
                     for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)
                 ]
                 yield pd.DataFrame(
-                    {"id": rows["id"], "text_hash": rows["text_hash"], "n_shingles": np.diff(bounds), "key": keys, "signature": [s.tobytes() for s in signed]}
+                    {"id": rows["id"].tolist(), "text_hash": rows["text_hash"].tolist(), "n_shingles": np.diff(bounds), "key": keys, "signature": [s.tobytes() for s in signed]}
                 )
 
     return run
@@ -90,32 +89,122 @@ def _linked(width: int, percent: int):
                     both = np.sort(np.concatenate((x, y)))
                     shared = int((both[1:] == both[:-1]).sum())
                     keep.append(100 * shared >= percent * (len(both) - shared))
-                yield rows.loc[keep, ["a", "b"]]
+                yield rows.loc[keep, ["a", "b"]].set_axis(["u", "v"], axis=1)
 
     return run
 
 
-def _pairs_by_pivot(members: DataFrame, pivots: int | None) -> tuple[DataFrame, DataFrame]:
-    """Pairs (``a`` any member, ``b`` a pivot of another component) of the open buckets, and the buckets this leaves open.
+def _groups(batches: Iterator[pd.DataFrame], by: int) -> Iterator[list[list]]:
+    """The columns of each run of rows that agree in the first ``by`` columns, of batches sorted by them."""
+    current, held = None, None
+    for batch in batches:
+        columns = [batch[c].tolist() for c in batch.columns]
+        keys = list(zip(*columns[:by], strict=True))
+        cuts = [0, *[k for k in range(1, len(keys)) if keys[k] != keys[k - 1]], len(keys)] if keys else []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if keys[a] != current:
+                if held is not None:
+                    yield held
+                current, held = keys[a], [[] for _ in columns]
+            for own, column in zip(held, columns, strict=True):
+                own.extend(column[a:b])
+    if held is not None:
+        yield held
 
-    Every pair across components has an end outside the bucket's largest component, so pivots are taken from there:
-    all of them where there are at most ``pivots``, else a hashed share. A bucket is done once all were pivots.
+
+BLOCK = "band long, i int, j int, key binary, comp binary, centre boolean"
+
+
+def _possible(count: int, least: float):
+    """Of each block the rows whose signature agrees well enough with one on the other side, of another component."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = []
+        for group in _groups(batches, 3):
+            band, i, j, key, comp, centre, signature = group
+            signed = np.frombuffer(b"".join(signature), np.uint32).reshape(-1, count)
+            _, kind = np.unique(np.array(comp, dtype=object), return_inverse=True)
+            centre = np.array(centre, bool)
+            ours, theirs = np.flatnonzero(centre), np.flatnonzero(~centre)
+            hit = np.zeros(len(key), bool)
+            for c in ours.tolist():
+                likely = ((signed[theirs] == signed[c]).sum(axis=1) >= least * count) & (kind[theirs] != kind[c])
+                hit[theirs[likely]] = True
+                hit[c] = likely.any()
+            rows += [(band[k], i[k], j[k], key[k], comp[k], bool(centre[k])) for k in np.flatnonzero(hit).tolist()]
+            if len(rows) >= 5000:
+                yield pd.DataFrame(rows, columns=["band", "i", "j", "key", "comp", "centre"])
+                rows = []
+        yield pd.DataFrame(rows, columns=["band", "i", "j", "key", "comp", "centre"])
+
+    return run
+
+
+def _links_of_blocks(width: int, percent: int):
+    """Links between the centres and the other rows of a block that join different components, at most one less than its rows."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in _groups(batches, 3):
+            _, _, _, key, comp, centre, text = group
+            sets, ends = shingle_sets(text, width)
+            sizes, centre = np.diff(ends), np.array(centre, bool)
+            owner = np.repeat(np.arange(len(key)), sizes)
+            inside = ~centre[owner]
+            order = np.argsort(sets[inside], kind="stable")
+            values, owners = sets[inside][order], owner[inside][order]
+            root = {c: c for c in comp}
+
+            def find(c, root=root):
+                while root[c] != c:
+                    root[c] = c = root[root[c]]
+                return c
+
+            edges = []
+            for c in np.flatnonzero(centre).tolist():
+                own = sets[ends[c] : ends[c + 1]]
+                low, high = np.searchsorted(values, own), np.searchsorted(values, own, side="right")
+                many = high - low
+                at = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+                shared = np.bincount(owners[at], minlength=len(key))
+                linked = (shared > 0) & (100 * shared >= percent * (sizes + sizes[c] - shared))
+                for m in np.flatnonzero(linked).tolist():
+                    a, b = find(comp[c]), find(comp[m])
+                    if a != b:
+                        root[a] = b
+                        edges.append((key[c], key[m]))
+            yield pd.DataFrame(edges, columns=["u", "v"])
+
+    return run
+
+
+def _pivot_blocks(members: DataFrame, pivots: int | None, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The open buckets in blocks (``BLOCK``), and the buckets that this leaves open.
+
+    Every pair across components has an end outside the bucket's largest component, so the centres are taken from
+    there: all rows where there are at most ``pivots``, else a hashed share. Centres (``i``) and members (``j``) are
+    dealt into blocks of ``block_rows``; block (i, j) holds one of each kind, so no task gets a whole bucket, and
+    pairs are compared inside blocks and never become rows. A bucket is done once all were centres.
     """
     sizes = members.groupBy("band", "comp").agg(F.count("*").alias("n"))
     sizes = sizes.groupBy("band").agg(F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("n"))
-    open_ = checkpointed(
-        sizes.filter("main.n < n").select("band", F.col("main.comp").alias("main"), (F.col("n") - F.col("main.n")).alias("others"))
-    )
+    others = F.col("n") - F.col("main.n")
+    open_ = sizes.filter("main.n < n").select("band", F.col("main.comp").alias("main"), "n", others.alias("others"))
+    open_ = sized(stored(open_, "open-buckets"))
     inside = members.join(open_, "band")
-    chosen = F.col("comp") != F.col("main")
+    centres, chosen = F.col("others"), F.col("comp") != F.col("main")
     if pivots is not None:
         draw = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / (1 << 30)
         chosen = chosen & ((F.col("others") <= pivots) | (draw * F.col("others") < pivots))
-    centre = inside.filter(chosen).select("band", F.col("key").alias("b"), F.col("comp").alias("comp_b"))
-    pairs = checkpointed(centre).join(members, "band").filter("comp <> comp_b")
-    pairs = pairs.select(F.greatest("key", "b").alias("a"), F.least("key", "b").alias("b")).distinct()
+        centres = F.least(centres, F.lit(2 * pivots))
+    blocks = lambda n: F.ceil(n / block_rows).cast("int")
+    place = lambda seed, n: F.pmod(F.xxhash64("key", F.lit(seed)), blocks(n)).cast("int")
+    each = lambda n: F.sequence(F.lit(0), blocks(n) - 1)
+    rows = inside.select("band", F.explode(each(centres)).alias("i"), place(1, F.col("n")).alias("j"), "key", "comp", F.lit(False).alias("centre"))
+    centre = inside.filter(chosen).select(
+        "band", place(2, centres).alias("i"), F.explode(each(F.col("n"))).alias("j"), "key", "comp", F.lit(True).alias("centre")
+    )
     left = open_.filter(F.col("others") > pivots) if pivots is not None else open_.filter("false")
-    return pairs, left.select("band")
+    return rows.unionByName(centre), left.select("band")
 
 
 def near_duplicates(
@@ -126,6 +215,7 @@ def near_duplicates(
     percent: int = 80,
     bands: int = 25,
     rows: int = 4,
+    block_rows: int = 1024,
     broadcast_rows: int = 2_000_000,
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles``, ``component_id``, ``kept``.
@@ -135,18 +225,19 @@ def near_duplicates(
     sets on; ``component_id`` is the least id reachable, and that row is ``kept``. A pair at the threshold shares
     no band with a probability of (1 - (percent/100)^rows)^bands, 2e-6 at 80 and 5e-9 at 85 percent.
 
-    Equal sets are one node. Inside a bucket no more pairs are made than the links need: first all members against
-    one, then, where several components are left, against growing numbers of pivots outside the largest, at last
-    against all of those. So a bucket of similar texts costs about its size, and every cross pair of any bucket is
-    tested. Candidates pass the signature check (six standard deviations of slack), then the check on full texts.
-    Texts move only for pairs that pass the first; the ids to fetch are broadcast up to ``broadcast_rows``.
+    Equal sets are one node. Pairs inside a bucket are not listed. First all members of a bucket are compared with
+    one of them, which is a pair a member. Where several components are left, pivots from outside the largest one
+    are compared with all members, at last all rows outside it, in blocks of ``block_rows`` by ``block_rows``: so
+    every cross pair of every bucket is tested, a block returns no more links than it has rows, and no task holds
+    a whole bucket. Candidates pass the signature check (six standard deviations of slack), then the check on full
+    sets. Texts move only for those that pass the first; the ids to fetch are broadcast up to ``broadcast_rows``.
 
     A text that is null or has no words has an empty set and is its own component. Rows that share an id are
     separate texts; a null id counts as larger than any other and only names a component of null ids. Other
     columns are not read; an empty table gives no rows.
     """
-    spark = docs.sparkSession
-    count = bands * rows
+    count, t = bands * rows, percent / 100
+    least = t - 6 * math.sqrt(t * (1 - t) / count)
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     texts = texts.withColumn("text_hash", F.xxhash64("text"))
     # The id travels as a string: as a pandas integer a null would turn the column into floats.
@@ -160,62 +251,58 @@ def near_duplicates(
     nodes = stored(nodes, "nodes")
     band = [F.xxhash64(F.lit(k), F.substring("signature", 4 * rows * k + 1, 4 * rows)) for k in range(bands)]
     placed = nodes.select("key", F.explode(F.array(*band)).alias("band"))
-    shared = checkpointed(placed.groupBy("band").count().filter("count > 1").select("band"))
+    shared = stored(placed.groupBy("band").count().filter("count > 1").select("band"), "bands")
     members = stored(placed.join(shared, "band"), "buckets")
 
-    labels = None
-    tested = spark.createDataFrame([], "a binary, b binary")
-    for pivots in (1, 8, 64, 512, None):
-        if labels is None:
-            now = members.withColumn("comp", F.col("key"))
-            centre = checkpointed(members.groupBy("band").agg(F.min(F.struct(F.xxhash64("key"), "key")).alias("p"), F.count("*").alias("n")))
-            pairs = members.join(centre.select("band", F.col("p.key").alias("b")), "band").filter("key <> b")
-            pairs = pairs.select(F.greatest("key", "b").alias("a"), F.least("key", "b").alias("b")).distinct()
-            left = centre.filter("n > 2").select("band")
-        else:
-            now = checkpointed(members.join(labels, F.col("key") == F.col("node"), "left").select("band", "key", F.coalesce("root", "key").alias("comp")))
-            pairs, left = _pairs_by_pivot(now, pivots)
-        fresh = checkpointed(pairs.join(tested, ["a", "b"], "left_anti"))
-        if fresh.isEmpty() and labels is not None and left.isEmpty():
-            break
-        edges = _verified(fresh, nodes, texts, width, percent, count, broadcast_rows)
-        tested = checkpointed(tested.unionByName(fresh))
-        labels = _relabelled(labels, edges)
-        members = checkpointed(members.join(left, "band"))
-        if members.isEmpty():
-            break
+    source = nodes.select("key", "source")
+    centre = members.groupBy("band").agg(F.min(F.struct(F.xxhash64("key"), "key")).alias("p"), F.count("*").alias("n"))
+    centre = stored(centre, "first-pivots")
+    pairs = members.join(centre.select("band", F.col("p.key").alias("b")), "band").filter("key <> b")
+    pairs = pairs.select(F.greatest("key", "b").alias("a"), F.least("key", "b").alias("b")).distinct()
+    signature = lambda end: nodes.select(F.col("key").alias(end), F.col("signature").alias(f"signature_{end}"))
+    likely = pairs.join(signature("a"), "a").join(signature("b"), "b").mapInPandas(_alike(count, least), "a binary, b binary")
+    likely = sized(stored(likely, "likely"))
+    found = _texts(likely.select(F.explode(F.array("a", "b")).alias("key")), source, texts, broadcast_rows)
+    text = lambda end: found.select(F.col("key").alias(end), F.col("text").alias(f"text_{end}"))
+    linked = likely.join(text("a"), "a").join(text("b"), "b").mapInPandas(_linked(width, percent), "u binary, v binary")
+    labels = sized(stored(connected_components(linked), "labels"))
+
+    open_ = centre.filter("n > 2").select("band")
+    for pivots in (16, None):
+        members = stored(members.join(open_, "band"), "open-members")
+        now = members.join(labels, F.col("key") == F.col("node"), "left").select("band", "key", F.coalesce("root", "key").alias("comp"))
+        blocks, open_ = _pivot_blocks(stored(now, "placed"), pivots, block_rows)
+        signed_blocks = blocks.join(nodes.select("key", "signature"), "key").select("band", "i", "j", "key", "comp", "centre", "signature")
+        signed_blocks = signed_blocks.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+        possible = stored(signed_blocks.mapInPandas(_possible(count, least), BLOCK), "possible")
+        if possible.isEmpty():
+            continue
+        found = _texts(possible.select("key"), source, texts, broadcast_rows)
+        full = possible.join(found, "key").select("band", "i", "j", "key", "comp", "centre", "text")
+        full = full.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+        labels = _relabelled(labels, stored(full.mapInPandas(_links_of_blocks(width, percent), "u binary, v binary"), "links"))
     return _named(signed, labels, id_col)
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int, count: int, broadcast_rows: int) -> DataFrame:
-    """The pairs that are links, as edges ``u``, ``v``."""
-    t = percent / 100
-    least = t - 6 * math.sqrt(t * (1 - t) / count)
-    signature = lambda end: nodes.select(F.col("key").alias(end), F.col("signature").alias(f"signature_{end}"))
-    likely = pairs.join(signature("a"), "a").join(signature("b"), "b").mapInPandas(_alike(count, least), "a binary, b binary")
-    likely = checkpointed(likely)
-    wanted = likely.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(nodes.select("key", "source"), "key")
-    wanted = checkpointed(wanted.select("key", F.col("source.id").alias("want_id"), F.col("source.text_hash").alias("want_hash")))
+def _texts(keys: DataFrame, source: DataFrame, texts: DataFrame, broadcast_rows: int) -> DataFrame:
+    """``key``, ``text``: one text for each set in ``keys``, from the row that ``source`` names."""
+    wanted = keys.distinct().join(source, "key")
+    wanted = stored(wanted.select("key", F.col("source.id").alias("want_id"), F.col("source.text_hash").alias("want_hash")), "wanted")
     few = wanted.count() <= broadcast_rows
     same = F.col("id").eqNullSafe(F.col("want_id")) & F.col("text_hash").eqNullSafe(F.col("want_hash"))
-    found = texts.join(F.broadcast(wanted) if few else wanted, same).select("key", "text").dropDuplicates(["key"])
-    text = lambda end: found.select(F.col("key").alias(end), F.col("text").alias(f"text_{end}"))
-    linked = likely.join(text("a"), "a").join(text("b"), "b").mapInPandas(_linked(width, percent), "a binary, b binary")
-    return checkpointed(linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    return texts.join(F.broadcast(wanted) if few else wanted, same).select("key", "text").dropDuplicates(["key"])
 
 
-def _relabelled(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
+def _relabelled(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """``labels`` (node, root) after adding ``edges``: the old components are contracted to their roots first."""
-    if labels is None:
-        return checkpointed(connected_components(edges))
     end = lambda c: labels.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
     lifted = edges.join(end("u"), "u", "left").join(end("v"), "v", "left")
     lifted = lifted.select(F.coalesce("root_u", "u").alias("u"), F.coalesce("root_v", "v").alias("v"))
-    merged = checkpointed(connected_components(lifted)).select(F.col("node").alias("old"), F.col("root").alias("new"))
+    merged = sized(stored(connected_components(lifted), "merged")).select(F.col("node").alias("old"), F.col("root").alias("new"))
     moved = labels.join(merged, F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root"))
     known = labels.select(F.col("node").alias("old"))
     added = merged.join(known, "old", "left_anti").select(F.col("old").alias("node"), F.col("new").alias("root"))
-    return checkpointed(moved.unionByName(added))
+    return sized(stored(moved.unionByName(added), "labels"))
 
 
 def _named(signed: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
@@ -223,7 +310,7 @@ def _named(signed: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
     full = signed.filter("key IS NOT NULL").select("id", "n_shingles", "key")
     full = full.join(labels, F.col("key") == F.col("node"), "left").select("id", "n_shingles", F.coalesce("root", "key").alias("comp"))
     full = stored(full, "labelled")
-    least = checkpointed(full.groupBy("comp").agg(F.min("id").alias("component_id")))
+    least = stored(full.groupBy("comp").agg(F.min("id").alias("component_id")), "least-ids")
     rows = full.join(least, "comp").select("id", "n_shingles", "component_id")
     empty = signed.filter("key IS NULL").select("id", "n_shingles", F.col("id").alias("component_id"))
     return rows.unionByName(empty).select(
