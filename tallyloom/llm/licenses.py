@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import regex  # for the letters of any script, as in the column expressions
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.session import checkpointed
@@ -52,66 +53,68 @@ def _tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
 
 
-def template_weights(spark, templates: dict[str, list[str]], counts: dict[str, int], files: int) -> tuple[DataFrame, dict[str, float], float]:
-    """Rows (template, license, term, idf, weight) of unit vectors; per term the largest weight; the idf of a term in no file."""
-    import regex  # only for the letters of any script, as in the column expressions
-
-    idf = lambda term: math.log((files + 1) / (counts.get(term, 0) + 1)) + 1
-    rows, most = [], {}
+def template_vectors(templates: dict[str, list[str]], counts: dict[str, int], files: int) -> tuple[list[tuple[str, dict[str, float]]], dict[str, float]]:
+    """(licence, unit vector) of each template, and the idf of each word of a template."""
+    idf = {w: math.log((files + 1) / (counts.get(w, 0) + 1)) + 1 for w in vocabulary(templates)}
+    vectors = []
     for license_, texts in sorted(templates.items()):
-        for number, text in enumerate(texts):
-            found = Counter(regex.findall(TOKEN, text.lower()))
-            norm = math.sqrt(sum((n * idf(t)) ** 2 for t, n in found.items()))
-            for term, n in sorted(found.items()):
-                weight = n * idf(term) / norm
-                rows.append((f"{license_}#{number}", license_, term, idf(term), weight))
-                most[term] = max(most.get(term, 0.0), weight)
-    return spark.createDataFrame(rows, "template string, license string, term string, idf double, weight double"), most, math.log(files + 1) + 1
+        for text in texts:
+            weights = {w: n * idf[w] for w, n in Counter(regex.findall(TOKEN, text.lower())).items()}
+            norm = math.sqrt(sum(x * x for x in weights.values()))
+            vectors.append((license_, {w: x / norm for w, x in weights.items()}))
+    return vectors, idf
 
 
 def vocabulary(templates: dict[str, list[str]]) -> list[str]:
-    import regex
-
     return sorted({t for texts in templates.values() for text in texts for t in regex.findall(TOKEN, text.lower())})
 
 
+def _map(values: dict[str, float]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in sorted(values.items()) for x in pair])
+
+
 def own_licenses(files: DataFrame, templates: dict[str, list[str]], least: float) -> DataFrame:
     """``__row``, ``license``, ``score`` of the files (``__row``, ``__text``) that state a licence themselves.
 
     Units are the lines and the paragraphs of the whole text. Document frequencies count all files; a word in no
-    template weighs as one that no file has. A file is looked at closely only if its template words could reach
-    ``least`` even when alone in a unit, which leaves out no match.
+    template weighs as one that no file has. Vectors are sparse: a unit keeps its template words, each with its
+    count, and the number of other words. A file, and then a unit, is looked at closely only if its template words
+    could reach ``least`` even with no other word beside them, which leaves out no match. Only hits shuffle.
     """
-    spark = files.sparkSession
-    words = vocabulary(templates)
-    known = F.array(*[F.lit(w) for w in words])
+    known = F.array(*[F.lit(w) for w in vocabulary(templates)])
     seen = files.select(F.array_intersect(_tokens(F.col("__text")), known).alias("seen"))
     counted = seen.select(F.explode_outer("seen").alias("term")).groupBy("term").agg(F.count("*").alias("n"))
     counts = {r["term"]: r["n"] for r in counted.collect() if r["term"] is not None}  # at most one row per template word
     total = files.count()
-    weights, most, strange = template_weights(spark, templates, counts, total)
+    vectors, idf = template_vectors(templates, counts, total)
+    strange = math.log(total + 1) + 1
 
-    bound = F.create_map(*[F.lit(x) for t, w in most.items() for x in (t, w * w)])
-    reach = F.aggregate(F.array_intersect(_tokens(F.col("__text")), known), F.lit(0.0), lambda a, t: a + bound[t])
-    close = files.filter(reach >= least * least)
+    most = _map({w: max(v.get(w, 0.0) for _, v in vectors) ** 2 for w in idf})
+    reach = lambda text: F.aggregate(F.array_intersect(_tokens(text), known), F.lit(0.0), lambda a, t: a + most[t])
+    close = files.filter(reach(F.col("__text")) >= least * least)
     parts = F.array_distinct(F.concat(F.split("__text", r"\n"), F.split("__text", r"\n[ \t\r]*\n")))
-    units = close.select("__row", F.explode_outer(parts).alias("unit")).filter(F.length("unit") > 0)
-    units = units.withColumn("part", F.xxhash64("unit"))
-    terms = units.select("__row", "part", F.explode_outer(_tokens(F.col("unit"))).alias("term")).filter("term IS NOT NULL")
-    terms = terms.groupBy("__row", "part", "term").agg(F.count("*").alias("tf"))
-    # The weights are a table of the configured templates: a few hundred rows.
-    idf = F.broadcast(weights.select("term", "idf").distinct())
-    scaled = checkpointed(terms.join(idf, "term", "left"))
-    square = F.when(F.col("idf").isNull(), F.col("tf") * strange**2).otherwise((F.col("tf") * F.col("idf")) ** 2)
-    norms = scaled.groupBy("__row", "part").agg(F.sqrt(F.sum(square)).alias("norm"))
-    dots = (
-        scaled.filter("idf IS NOT NULL")
-        .join(F.broadcast(weights.select("term", "template", "license", "weight")), "term")
-        .groupBy("__row", "part", "template", "license")
-        .agg(F.sum(F.col("tf") * F.col("idf") * F.col("weight")).alias("dot"))
+    units = close.select("__row", F.explode_outer(parts).alias("unit")).filter(reach(F.col("unit")) >= least * least)
+    units = units.select("__row", _tokens(F.col("unit")).alias("tokens"))
+    counted_words = F.transform(
+        F.array_intersect("tokens", known), lambda t: F.struct(t.alias("term"), F.size(F.filter("tokens", lambda x: x == t)).alias("tf"))
     )
-    scored = dots.join(norms, ["__row", "part"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).filter(F.col("score") >= least)
-    best = scored.groupBy("__row").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("best"))
+    units = units.select("__row", F.size("tokens").alias("n"), counted_words.alias("known"))
+    rarity = _map(idf)
+    weighted = F.transform("known", lambda k: F.struct(k["term"].alias("term"), k["tf"].alias("tf"), (k["tf"] * rarity[k["term"]]).alias("x")))
+    units = units.select("__row", "n", weighted.alias("known"))
+    others = F.col("n") - F.aggregate("known", F.lit(0), lambda a, k: a + k["tf"])
+    square = F.aggregate("known", F.lit(0.0), lambda a, k: a + k["x"] * k["x"])
+    units = units.select("__row", "known", F.sqrt(square + others * strange**2).alias("norm"))
+
+    def cosine(vector: dict[str, float]) -> Column:
+        weight = _map(vector)
+        dot = F.aggregate("known", F.lit(0.0), lambda a, k: a + k["x"] * F.coalesce(F.try_element_at(weight, k["term"]), F.lit(0.0)))
+        return F.round(dot / F.col("norm"), 6)
+
+    scores = F.array(*[F.struct((-cosine(v)).alias("minus"), F.lit(name).alias("license")) for name, v in vectors])
+    # The limit comes after the aggregate: pushed below, it would compute all of the above once more, word by word.
+    best = units.select("__row", F.array_min(scores).alias("best")).groupBy("__row").agg(F.min("best").alias("best"))
+    best = best.filter(F.col("best.minus") <= -least)
     return best.select("__row", F.col("best.license").alias("license"), (-F.col("best.minus")).alias("score"))
 
 
