@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ByteType, DecimalType, IntegerType, ShortType
 
-from tallyloom.session import tune
+from tallyloom.session import input_bytes, size_shuffles, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,7 +31,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name!r} is registered twice")
-        QUERIES[name] = lambda spark, sf_dir: published(fn(tune(spark), sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: published(fn(size_shuffles(tune(spark), input_bytes(spark, sf_dir)), sf_dir))
         if sql is not None:
             ORACLE[name] = sql
         return fn

@@ -122,7 +122,7 @@ FROM reviews r JOIN people p ON r.customerid = p.customerid JOIN customer ON c_c
 )
 def reviews_customers_joined(spark, d):
     """Three inputs that must all match, columns prefixed by their input."""
-    segments = model.customers(spark, d).select(F.col("CustomerID").alias("customerid"), F.col("Segment").alias("segment"))
+    segments = model.table(spark, d, "customer").select(F.col("c_custkey").alias("customerid"), F.col("c_mktsegment").alias("segment"))
     tables = {
         "rev_": model.reviews(spark, d).select("customerid", "reviewkey", "starrating"),
         "cust_": model.retail_customers(spark, d).select("customerid", "firstname", "lastname"),
@@ -160,8 +160,9 @@ ORDERS_SQL = """customers AS (
 
 
 def _countries(spark, d):
-    customers = model.customers(spark, d)
-    return customers.select(F.col("CustomerID").alias("customer_id"), F.col("Country").alias("country"))
+    people = model.table(spark, d, "customer").select(F.col("c_custkey").alias("customer_id"), "c_nationkey")
+    nations = model.table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("country"))
+    return joins.join_on(people, nations, {"c_nationkey": "n_nationkey"}).select("customer_id", "country")
 
 
 @query(

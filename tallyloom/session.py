@@ -55,6 +55,13 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> SparkSession:
     return spark
 
 
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files below a path, as their store lists them."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Switch the run-time settings on in a session that somebody else built."""
     for key, value in RUNTIME_CONF.items():
