@@ -61,11 +61,14 @@ def substring_dedup(
     that equal rows share the fate of the first. All columns pass through, one named like an added column with the
     suffix "_in"; an empty table gives no rows.
     """
-    rows = docs.select(F.struct("*").alias("doc"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    rows = rows.withColumn("row", F.xxhash64("id", "text", F.lit(3)))
-    later = repeated_spans(rows.select("id", "row", "text"), length, least_words)
+    # Under neutral names no column of the input clashes, and unused ones are still pruned.
+    names = {c: f"__{k}" for k, c in enumerate(docs.columns)}
+    ident, text = names[id_col], names[text_col]
+    rows = docs.toDF(*names.values())
+    rows = rows.withColumn("row", F.xxhash64(ident, text, F.lit(3)))
+    later = repeated_spans(rows.select(F.col(ident).alias("id"), "row", F.col(text).alias("text")), length, least_words)
     cover = later.groupBy("row").agg(F.collect_set("at").alias("spans"))
-    whole = rows.join(checkpointed(cover), "row", "left").withColumn("sentences", _sentences(F.col("text")))
+    whole = rows.join(checkpointed(cover), "row", "left").withColumn("sentences", _sentences(F.col(text)))
     spans = F.coalesce("spans", F.array().cast("array<int>"))
     whole = whole.withColumn("gone", F.array_distinct(F.flatten(F.transform(spans, lambda a: F.sequence(a, a + length - 1)))))
     kept = F.filter("sentences", lambda s, i: ~F.array_contains("gone", i))
@@ -74,5 +77,5 @@ def substring_dedup(
         "n_removed": F.size("gone").cast("long"),
         "kept_text": F.array_join(kept, "\n"),
     }
-    own = [F.col("doc")[c].alias(f"{c}_in" if c in out else c) for c in docs.columns]
+    own = [F.col(n).alias(f"{c}_in" if c in out else c) for c, n in names.items()]
     return whole.select(*own, *[c.alias(n) for n, c in out.items()])
