@@ -19,10 +19,10 @@ LEAST_SCORE = 0.35
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a letter and those in which no language prevails."""
     ready(spark)
-    columns = docs.columns
-    labelled = identify_language(docs, keep=tuple(c for c in columns if c != "doc_id"))
-    kept = labelled.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return kept.select(*columns)
+    same_text = F.xxhash64("text")
+    labelled = identify_language(docs.withColumn("text_hash", same_text), keep=("text_hash",))
+    rejected = labelled.filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < LEAST_SCORE))
+    return without(docs, rejected, {"doc_id": F.col("doc_id"), "text_hash": same_text})
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

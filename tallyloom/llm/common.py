@@ -12,7 +12,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 
 # What a Python worker gets at a time: small, so that two workers and the JVM fit a small executor.
-ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
 def ready(spark: SparkSession) -> SparkSession:

@@ -26,7 +26,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     rounds grow with the logarithm of the longest path. A node's neighbours are never gathered: a minimum per
     node, combined before the shuffle, and one join back. Each step is a written table, not a checkpoint: a
     checkpoint keeps the partitions it was made with, and unions of them add up from round to round. Edges that
-    fit one task stay in one. Self-loops and repeated edges change nothing.
+    fit one task stay in one. Self-loops, repeated edges and edges with a null end change nothing; no edges give no
+    rows.
     """
     edges = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     edges = sized(stored(edges.distinct(), "edges"))

@@ -12,7 +12,7 @@ from tallyloom.llm.gru import ByteGru
 
 WINDOW = 128  # bytes the network reads at a time, from a fresh state
 TRAIN_WINDOW = 64
-WINDOWS_AT_ONCE = 2048
+WINDOWS_AT_ONCE = 1024
 UNKNOWN = "und"
 
 
@@ -131,9 +131,9 @@ def identify_language(
             langs, scores, agreed = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
             at = [i for i, t in enumerate(texts) if t] if found else []
             first = 0
-            while first < len(at):  # about 2 MB of text at a time
+            while first < len(at):  # about half a MB of text at a time
                 last, size = first, 0
-                while last < len(at) and size < 2 * 2**20:
+                while last < len(at) and size < 2**19:
                     size += len(texts[at[last]])
                     last += 1
                 part = at[first:last]

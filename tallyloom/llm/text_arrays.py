@@ -86,7 +86,7 @@ def shingle_sets(texts: list[str | None], width: int) -> tuple[np.ndarray, np.nd
     return np.concatenate(sets) if sets else runs[:0], np.cumsum(sizes)
 
 
-def slices(texts: list[str | None], most: int = 1_000_000) -> list[slice]:
+def slices(texts: list[str | None], most: int = 500_000) -> list[slice]:
     """Cuts a batch so that each part holds about ``most`` characters, or one longer text."""
     cuts, size = [0], 0
     for i, t in enumerate(texts):
