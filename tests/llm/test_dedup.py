@@ -171,6 +171,20 @@ def test_suffix_dedup(spark, seed):
     assert rows == _brute_suffix(pairs, 50)
 
 
+def test_suffix_dedup_equal_blocks(spark):
+    """A table united with itself, and equal rows that are blocks of several partitions: one row per row."""
+    rng = random.Random(6)
+    shared = _text(rng, 40)
+    pairs = [(k, _text(rng, 5) + shared * (k % 2) + _text(rng, 15)) for k in range(12)]
+    docs = _frame(spark, pairs)
+    nulls = _frame(spark, [(None, None)])
+    same = _frame(spark, [(50, "before " + shared)])
+    every = docs.union(docs).union(nulls).union(nulls).union(same).union(same)
+    got = suffix_dedup(every, block_bytes=10**6).collect()
+    rows = sorted(((r["doc_id"], r["n_bytes"], len(r["starts"]), bytes(r["kept"])) for r in got), key=str)
+    assert rows == _brute_suffix(pairs * 2 + [(None, None)] * 2 + [(50, "before " + shared)] * 2, 50)
+
+
 def test_suffix_dedup_refuses_short_strings(spark):
     with pytest.raises(ValueError):
         suffix_dedup(_frame(spark, ODD), length=20)
