@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tallyloom.llm import suffix_dedup as suffix_module
 from tallyloom.llm.common import ready, without
 from tallyloom.llm.components import connected_components
 from tallyloom.llm.decontaminate import contaminated, decontaminate
@@ -171,6 +172,30 @@ def test_suffix_dedup(spark, seed):
     assert rows == _brute_suffix(pairs, 50)
 
 
+def test_suffix_dedup_hot_phrase(spark, tmp_path, monkeypatch):
+    """A phrase in all documents with other text around it: right cuts, and no shard gets all its surroundings."""
+    rng = random.Random(8)
+    phrase, tails = "a phrase that everybody has used somewhere", [_text(rng, 3) for _ in range(20)]
+    pairs = [(k % 500, f"{_text(rng, 12)} {phrase} {rng.choice(tails)} {_text(rng, 4)}") for k in range(600)]
+    sizes, original = str(tmp_path), suffix_module._earliest
+
+    def counting(length):
+        run = original(length)
+
+        def counted(rows):
+            n = sum(len(i) // 8 for i in rows["ids"])
+            with open(f"{sizes}/{rows['shard'].iloc[0]}-{n}", "w"):
+                return run(rows)
+
+        return counted
+
+    monkeypatch.setattr(suffix_module, "_earliest", counting)
+    got = suffix_dedup(_frame(spark, pairs), block_bytes=5000, shard_entries=200).collect()
+    rows = sorted(((r["doc_id"], r["n_bytes"], len(r["starts"]), bytes(r["kept"])) for r in got), key=str)
+    assert rows == _brute_suffix(pairs, 50) and sum(r[2] > 0 for r in rows) > 300
+    assert 0 < max(int(f.name.split("-")[1]) for f in tmp_path.iterdir()) <= 400
+
+
 def test_suffix_dedup_equal_blocks(spark):
     """A table united with itself, and equal rows that are blocks of several partitions: one row per row."""
     rng = random.Random(6)
