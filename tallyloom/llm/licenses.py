@@ -32,6 +32,49 @@ TEMPLATES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
         "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ],
+    **{
+        f"GPL-{v}.0": [
+            f"This work is licensed under the GNU General Public License, version {v}.",
+            f"SPDX-License-Identifier: GPL-{v}.0",
+            "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+            f"License as published by the Free Software Foundation; either version {v} of the License, or (at your option) any later version.",
+        ]
+        for v in (2,)
+    },
+    **{
+        f"LGPL-{v}": [
+            f"This work is licensed under the GNU Lesser General Public License, version {v}.",
+            f"SPDX-License-Identifier: LGPL-{v}",
+            "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+            f"License as published by the Free Software Foundation; either version {v.removesuffix('.0')} of the License, or (at your option) any later version.",
+        ]
+        for v in ("2.0", "2.1", "3.0")
+    },
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "SPDX-License-Identifier: AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
+    "ISC": [
+        "Released under the ISC License.",
+        "SPDX-License-Identifier: ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies.",
+    ],
+    "BSD-2-Clause": [
+        "SPDX-License-Identifier: BSD-2-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met",
+    ],
+    "Unlicense": [
+        "SPDX-License-Identifier: Unlicense",
+        "This is free and unencumbered software released into the public domain.",
+    ],
+    "CC0-1.0": [
+        "SPDX-License-Identifier: CC0-1.0",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    ],
     "BSD-3-Clause": [
         "SPDX-License-Identifier: BSD-3-Clause",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
@@ -46,8 +89,51 @@ TEMPLATES = {
         "SPDX-License-Identifier: CC-BY-NC-4.0",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ],
+    **{
+        f"CC-BY{short}-{v}": [
+            f"Licensed under CC BY{short} {v}.",
+            f"SPDX-License-Identifier: CC-BY{short}-{v}",
+            f"This work is licensed under a Creative Commons Attribution{long} {v} International License.",
+        ]
+        for v in ("4.0", "3.0")
+        for short, long in (("", ""), ("-SA", "-ShareAlike"), ("-ND", "-NoDerivatives"), ("-NC", "-NonCommercial"), ("-NC-SA", "-NonCommercial-ShareAlike"), ("-NC-ND", "-NonCommercial-NoDerivatives"))
+        if (short, v) != ("-NC", "4.0")
+    },
 }
 
+# What tells near relatives apart: a unit states the licence only if it has a word of each list of the first item and
+# none of the second.
+NC, SA, ND = ["nc", "noncommercial", "commercial"], ["sa", "sharealike", "alike"], ["nd", "noderivatives", "noderivs", "derivatives"]
+OTHER_GNU = ["lesser", "library", "affero", "lgpl", "lgplv", "agpl", "agplv", "fdl"]
+GNU = ["gpl", "gplv", "general"]
+MARKS: dict[str, tuple[list[list[str]], list[str]]] = {
+    "MIT": ([["mit", "charge"]], ["isc", "apache", "bsd", "gpl", "x11"]),
+    "ISC": ([["isc", "fee"]], ["mit", "charge"]),
+    "Apache-2.0": ([["apache"], ["2", "2.0"]], ["1.0", "1.1"]),
+    "MPL-2.0": ([["mpl", "mozilla"], ["2", "2.0"]], ["1.0", "1.1"]),
+    "GPL-2.0": ([GNU, ["2", "2.0"]], [*OTHER_GNU, "3", "3.0"]),
+    "GPL-3.0": ([GNU, ["3", "3.0"]], [*OTHER_GNU, "2", "2.0"]),
+    "LGPL-2.0": ([["lgpl", "lgplv", "lesser", "library"], ["2", "2.0"]], ["affero", "2.1", "3", "3.0"]),
+    "LGPL-2.1": ([["lgpl", "lgplv", "lesser"], ["2.1"]], ["affero", "3", "3.0"]),
+    "LGPL-3.0": ([["lgpl", "lgplv", "lesser"], ["3", "3.0"]], ["affero", "2.1", "2", "2.0"]),
+    "AGPL-3.0": ([["agpl", "agplv", "affero"], ["3", "3.0"]], ["1", "1.0"]),
+    "BSD-2-Clause": ([["bsd", "redistribution"]], ["3", "4", "0"]),
+    "BSD-3-Clause": ([["bsd", "redistribution"]], ["2", "4", "0"]),
+    "Unlicense": ([["unlicense", "unencumbered"]], []),
+    "CC0-1.0": ([["cc", "waived"]], ["by", "attribution"]),
+    **{
+        f"CC-BY{''.join(f'-{n}' for n in names)}-{v}": (
+            [["by", "attribution"], [v], *(words for n, words in (("NC", NC), ("SA", SA), ("ND", ND)) if n in names)],
+            [w for n, words in (("NC", NC), ("SA", SA), ("ND", ND)) if n not in names for w in words],
+        )
+        for v in ("4.0", "3.0")
+        for names in ((), ("SA",), ("ND",), ("NC",), ("NC", "SA"), ("NC", "ND"))
+    },
+}
+# The clause that two of the BSD licences differ by stands further down than their head: it is looked for in the whole file.
+CLAUSE = r"(?i)\bendorse\s+or\s+promote\b"
+SENTENCE_END = r"(?<=[.!?])(?<!\b[vV]\.)\s+|\n[ \t\r]*\n"
+
 
 def _tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
@@ -76,7 +162,8 @@ def _map(values: dict[str, float]) -> Column:
 def own_licenses(files: DataFrame, templates: dict[str, list[str]], least: float) -> DataFrame:
     """``__row``, ``license``, ``score`` of the files (``__row``, ``__text``) that state a licence themselves.
 
-    Units are the lines and the paragraphs of the whole text. Document frequencies count all files; a word in no
+    Units are the lines, the paragraphs and the sentences of the whole text. A unit that lacks what ``MARKS`` asks of a
+    licence does not state it, however close it is to a template. Document frequencies count all files; a word in no
     template weighs as one that no file has. Vectors are sparse: a unit keeps its template words, each with its
     count, and the number of other words. A file, and then a unit, is looked at closely only if its template words
     could reach ``least`` even with no other word beside them, which leaves out no match. Only hits shuffle.
@@ -92,26 +179,39 @@ def own_licenses(files: DataFrame, templates: dict[str, list[str]], least: float
     most = _map({w: max(v.get(w, 0.0) for _, v in vectors) ** 2 for w in idf})
     reach = lambda text: F.aggregate(F.array_intersect(_tokens(text), known), F.lit(0.0), lambda a, t: a + most[t])
     close = files.filter(reach(F.col("__text")) >= least * least)
-    parts = F.array_distinct(F.concat(F.split("__text", r"\n"), F.split("__text", r"\n[ \t\r]*\n")))
-    units = close.select("__row", F.explode_outer(parts).alias("unit")).filter(reach(F.col("unit")) >= least * least)
-    units = units.select("__row", _tokens(F.col("unit")).alias("tokens"))
+    parts = F.array_distinct(F.concat(F.split("__text", r"\n"), F.split("__text", r"\n[ \t\r]*\n"), F.split("__text", SENTENCE_END)))
+    clause = F.col("__text").rlike(CLAUSE).alias("clause")
+    units = close.select("__row", clause, F.explode_outer(parts).alias("unit")).filter(reach(F.col("unit")) >= least * least)
+    asked = F.array(*[F.lit(w) for w in sorted({w for groups, bad in MARKS.values() for ws in (*groups, bad) for w in ws})])
+    units = units.select("__row", "clause", _tokens(F.col("unit")).alias("tokens"))
     counted_words = F.transform(
         F.array_intersect("tokens", known), lambda t: F.struct(t.alias("term"), F.size(F.filter("tokens", lambda x: x == t)).alias("tf"))
     )
-    units = units.select("__row", F.size("tokens").alias("n"), counted_words.alias("known"))
+    units = units.select("__row", "clause", F.array_intersect("tokens", asked).alias("marks"), F.size("tokens").alias("n"), counted_words.alias("known"))
     rarity = _map(idf)
     weighted = F.transform("known", lambda k: F.struct(k["term"].alias("term"), k["tf"].alias("tf"), (k["tf"] * rarity[k["term"]]).alias("x")))
-    units = units.select("__row", "n", weighted.alias("known"))
+    units = units.select("__row", "clause", "marks", "n", weighted.alias("known"))
     others = F.col("n") - F.aggregate("known", F.lit(0), lambda a, k: a + k["tf"])
     square = F.aggregate("known", F.lit(0.0), lambda a, k: a + k["x"] * k["x"])
-    units = units.select("__row", "known", F.sqrt(square + others * strange**2).alias("norm"))
+    units = units.select("__row", "clause", "marks", "known", F.sqrt(square + others * strange**2).alias("norm"))
 
     def cosine(vector: dict[str, float]) -> Column:
         weight = _map(vector)
         dot = F.aggregate("known", F.lit(0.0), lambda a, k: a + k["x"] * F.coalesce(F.try_element_at(weight, k["term"]), F.lit(0.0)))
         return F.round(dot / F.col("norm"), 6)
 
-    scores = F.array(*[F.struct((-cosine(v)).alias("minus"), F.lit(name).alias("license")) for name, v in vectors])
+    def stated(name: str, vector: dict[str, float]) -> Column:
+        groups, bad = MARKS.get(name, ([], []))
+        holds = F.lit(True)
+        for words in groups:
+            holds = holds & F.arrays_overlap("marks", F.array(*[F.lit(w) for w in words]))
+        if bad:
+            holds = holds & ~F.arrays_overlap("marks", F.array(*[F.lit(w) for w in bad]))
+        if name in ("BSD-2-Clause", "BSD-3-Clause") and "redistribution" in vector:
+            holds = holds & (F.col("clause") if name == "BSD-3-Clause" else ~F.col("clause"))
+        return holds
+
+    scores = F.array(*[F.when(stated(name, v), F.struct((-cosine(v)).alias("minus"), F.lit(name).alias("license"))) for name, v in vectors])
     # The limit comes after the aggregate: pushed below, it would compute all of the above once more, word by word.
     best = units.select("__row", F.array_min(scores).alias("best")).groupBy("__row").agg(F.min("best").alias("best"))
     best = best.filter(F.col("best.minus") <= -least)
@@ -122,7 +222,7 @@ def license_scan(files: DataFrame, path_col: str = "path", text_col: str = "text
     """One row per row of ``files``: ``keep``, path, ``license``, ``score``, ``origin`` and ``licence_dir``.
 
     A file that states a licence itself has it: the template with the largest cosine, from ``least`` on, over its
-    lines and paragraphs (ties: the licence that sorts first); ``origin`` is "file" for a licence file by its name,
+    lines, paragraphs and sentences (ties: the licence that sorts first); ``origin`` is "file" for a licence file by its name,
     else "header". Any other file takes the licence of the nearest directory above it whose licence file states
     one (several in a directory: the best score, then name); ``origin`` is "inherited". Else all four are null.
     Inheritance joins distinct directories with their ancestors, so a directory with a third of all files is one

@@ -214,6 +214,25 @@ def test_license_scan_empty(spark):
     assert licenses.license_scan(files).collect() == []
 
 
+GPL = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {} License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n{}"
+STATED = [
+    (GPL.format("General Public", 2), "GPL-2.0"), (GPL.format("General Public", 3), "GPL-3.0"), (GPL.format("Affero General Public", 3), "AGPL-3.0"), (GPL.format("Lesser General Public", "2.1"), "LGPL-2.1"),
+    ("SPDX-License-Identifier: GPL-2.0", "GPL-2.0"), ("SPDX-License-Identifier: LGPL-3.0", "LGPL-3.0"), ("SPDX-License-Identifier: AGPL-3.0", "AGPL-3.0"), ("SPDX-License-Identifier: ISC", "ISC"),
+    ("SPDX-License-Identifier: BSD-2-Clause", "BSD-2-Clause"), ("SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause"), ("SPDX-License-Identifier: EUPL-1.2", None),
+    (BSD.format("Redistributions of source code must retain the above notice."), "BSD-2-Clause"), (BSD.format("Neither the name of the holder may be used to endorse or promote products."), "BSD-3-Clause"),
+    ("Licensed under CC BY 4.0.", "CC-BY-4.0"), ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"), ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0"), ("Licensed under CC BY-SA 3.0.", "CC-BY-SA-3.0"),
+    ("This work is licensed under the GNU General Public License, version 1.", None), ("Licensed under the Apache License, Version 1.1.", None),
+    ("A tool for many uses and for many users. Released under the MIT License. It was written long ago, and it has been in use at several places since.", "MIT"),
+]
+
+
+def test_license_scan_near_relatives(spark):
+    files = spark.createDataFrame([(f"{k}/x", t) for k, (t, _) in enumerate(STATED)], "path string, text string")
+    got = {r["path"]: r["license"] for r in licenses.license_scan(files).collect()}
+    assert [(t, got[f"{k}/x"]) for k, (t, _) in enumerate(STATED)] == STATED
+
+
 # --- tool calls
 
 SCHEMAS = {
