@@ -1,4 +1,4 @@
-"""Exact dedup: a Bloom filter of repeated hashes picks the rows that have to shuffle; the rest pass straight through."""
+"""Exact dedup: a Bloom filter of repeated hashes, counted by a shuffle of positions, picks the digests that have to meet."""
 
 from __future__ import annotations
 
@@ -40,8 +40,9 @@ def exact_dedup(
     """One row per row of ``docs``: id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
     Texts are equal when identical after lower-casing A-Z; null counts as empty. Of equal texts the largest id
-    stays. Texts are hashed where they are read and never move. The first pass counts filter positions (8 bytes a
-    row and hash function, combined before the shuffle) and keeps those hit twice; the second tests each row and
+    stays. Texts are hashed where they are read and never move. The first pass counts filter positions and keeps
+    those hit twice: two (position, count) rows a document shuffle, nearly all distinct, so that combining them
+    beforehand saves little; the second tests each row and
     shuffles only the digests that may be repeated, a superset of those that are. A filter of more than
     ``broadcast_bytes`` is joined by shuffle instead of broadcast.
 
