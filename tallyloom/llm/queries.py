@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tallyloom.llm.collocations import collocations
 from tallyloom.llm.common import ready, table
 from tallyloom.llm.decontaminate import contaminated
 from tallyloom.llm.exact_dedup import exact_dedup
 from tallyloom.llm.language_id import identify_language
 from tallyloom.llm.licenses import document_paths, license_scan
+from tallyloom.llm.line_dedup import line_dedup
 from tallyloom.llm.mixing import mix
 from tallyloom.llm.near_dedup import near_duplicates
+from tallyloom.llm.ranked_search import ranked_search
 from tallyloom.llm.sentence_spans import substring_dedup
 from tallyloom.llm.suffix_dedup import suffix_dedup
 from tallyloom.llm.tool_calls import conversation_events, link_tool_calls
@@ -287,3 +290,79 @@ def op2_suffix_dedup(spark, sf_dir):
 @query("op9_license_scan")
 def op9_license_scan(spark, sf_dir):
     return license_scan(document_paths(table(spark, sf_dir, "documents")), keep=("doc_id",))
+
+
+def _grams_sql(longest: int) -> str:
+    return " UNION ALL ".join(
+        f"SELECT lang, {k} AS len, unnest([array_to_string(w[i:i + {k - 1}], ' ') FOR i IN range(1, len(w) - {k - 2})]) AS g FROM w"
+        for k in range(1, longest + 1)
+    )
+
+
+@query(
+    "op11_collocations",
+    rf"""
+    WITH p AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+    c AS (SELECT lang, len, g, count(*) AS f FROM ({_grams_sql(4)}) GROUP BY ALL),
+    n AS (SELECT lang, sum(f)::BIGINT AS n FROM c WHERE len = 1 GROUP BY lang),
+    q AS (SELECT lang, len, g, f AS a, string_split(g, ' ') AS ws FROM c WHERE len > 1 AND f >= 30),
+    k AS (SELECT *, array_to_string(ws[1:k], ' ') AS head, array_to_string(ws[k + 1:], ' ') AS rest
+          FROM (SELECT *, unnest(range(1, len)) AS k FROM q)),
+    s AS (SELECT k.lang, k.g, k.a, k.k, x.f AS l, y.f AS r, ((2000000::HUGEINT * k.a) // (x.f + y.f))::BIGINT AS score
+          FROM k JOIN c x ON x.lang = k.lang AND x.g = head JOIN c y ON y.lang = k.lang AND y.g = rest),
+    b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+    i AS (SELECT lang, array_to_string(ws[p:p + size - 1], ' ') AS g, max(a) AS longest
+          FROM (SELECT *, unnest(range(1, len - size + 2)) AS p FROM (SELECT *, unnest(range(2, len)) AS size FROM q)) GROUP BY ALL),
+    v AS (SELECT b.* FROM b LEFT JOIN i USING (lang, g) WHERE longest IS NULL OR 100 * longest < 80 * a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase, a, l, r, n, score
+    FROM v JOIN n USING (lang) QUALIFY rank <= 2000
+    """,
+)
+def op11_collocations(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op12_ranked_search",
+    r"""
+    WITH d AS (
+        SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents),
+    i AS (
+        SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+    f AS (SELECT doc_id, t, count(*) AS tf FROM d GROUP BY doc_id, t),
+    n AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM f GROUP BY doc_id),
+    c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM n),
+    w AS (SELECT t, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM f, c GROUP BY t, docs),
+    m AS (SELECT doc_id, 10 + 90 * n * docs // total AS m FROM n, c),
+    s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+          FROM i JOIN f USING (t) JOIN w USING (t) JOIN m USING (doc_id) GROUP BY item_id, doc_id)
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+    FROM s WHERE score > 0 QUALIFY rank <= 10
+    """,
+)
+def op12_ranked_search(spark, sf_dir):
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    "op13_line_dedup",
+    """
+    WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents),
+    l AS (SELECT doc_id, line, k, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+          FROM (SELECT doc_id, unnest(s) AS line, unnest(range(len(s))) AS k FROM d)),
+    f AS (SELECT key, TRUE AS frequent FROM l WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+    SELECT doc_id, count(*) AS n_lines, count(frequent) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (frequent IS NULL), '')) AS kept_sha256
+    FROM l LEFT JOIN f USING (key) GROUP BY doc_id
+    """,
+)
+def op13_line_dedup(spark, sf_dir):
+    cleaned = line_dedup(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
