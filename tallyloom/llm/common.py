@@ -43,6 +43,11 @@ def sized(df: DataFrame, rows_per_task: int = 250_000) -> DataFrame:
     return df.coalesce(max(1, -(-df.count() // rows_per_task)))
 
 
+def row_key(ident: Column, text: Column) -> Column:
+    """128 bits of id and text: tells rows apart whose ids repeat or are null. Null texts count as empty."""
+    return F.md5(F.concat_ws(":", F.coalesce(ident.cast("string"), F.lit("null")), F.coalesce(text, F.lit(""))).cast("binary"))
+
+
 def without(docs: DataFrame, dropped: DataFrame, keys: dict[str, Column], broadcast_rows: int = 2_000_000) -> DataFrame:
     """``docs`` without the rows whose ``keys`` (column of ``dropped``: expression over ``docs``) are in ``dropped``; null equals null.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyloom.llm.common import without
+from tallyloom.llm.common import row_key, without
 from tallyloom.session import checkpointed
 
 SEPARATORS = r"[^\p{L}\p{N}]+"
@@ -116,7 +116,11 @@ def contaminated(
     )
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the rows of contaminated ids; all columns stay as they are."""
-    hit = contaminated(docs, items, id_col=id_col, **options).select(F.col(f"`{id_col}`").alias("id"))
-    return without(docs, hit, {"id": F.col(f"`{id_col}`")})
+def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` without its contaminated rows; all columns stay as they are.
+
+    Rows are told apart by id and text: one contaminated text takes no other row with it that has its id, or has none.
+    """
+    key = row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    texts = docs.select(key.alias("row"), F.col(f"`{text_col}`").alias("text"))
+    return without(docs, contaminated(texts, items, id_col="row", text_col="text", **options), {"row": key})

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyloom.llm.gru import ByteGru
 
@@ -35,7 +36,9 @@ def _windows(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np
 
 
 def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int, seed: int) -> list[tuple[str, bytes]]:
-    """(language, bytes) of a hashed sample, at most twice ``per_language`` documents of each language.
+    """(language, bytes) of a hashed sample: of each language the ``per_language`` documents with the least draws.
+
+    Only draws below a bound that ``per_language`` documents stay under but for odds of a billion to one are compared.
 
     From each document four stretches of ``TRAIN_WINDOW`` characters, spread over its whole length.
     """
@@ -46,13 +49,15 @@ def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, pe
         raise ValueError("more than 1000 languages")
     if not counts:
         return []
-    draw = F.pmod(F.xxhash64(ident, F.lit(seed)), F.lit(1_000_000))
-    share = F.coalesce(*[F.when(lang == k, F.lit(int(min(1_000_000, per_language * 1_000_000 // n + 1)))) for k, n in counts.items()])
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), ident), 1)
+    most = per_language + 6 * math.isqrt(per_language) + 40
+    share = F.coalesce(*[F.when(lang == k, F.lit(min(2**63 - 1, 2**63 * most // n))) for k, n in counts.items()])
     picked = usable.filter((draw < share) & text.rlike(r"\p{L}"))
     at = [(F.floor((F.char_length(text) - TRAIN_WINDOW) * k / 3) + 1).cast("int") for k in range(4)]
     cuts = F.array_distinct(F.array(*[F.substring(text, F.greatest(a, F.lit(1)), F.lit(TRAIN_WINDOW)) for a in at]))
     picked = picked.select(lang.alias("lang"), cuts.alias("cuts"), draw.alias("draw"))
-    rows = picked.limit(2 * per_language * len(counts)).collect()
+    order = Window.partitionBy("lang").orderBy("draw", "cuts")
+    rows = picked.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= per_language).collect()
     return [(r["lang"], c.encode()) for r in sorted(rows, key=lambda r: (r["lang"], r["draw"], r["cuts"])) for c in r["cuts"] if c]
 
 
@@ -101,8 +106,8 @@ def identify_language(
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``held_out``, ``lang_pred``, ``score``, ``agreement`` and the columns in ``keep``.
 
-    The network learns from text and label of rows that are not held out: a hashed sample of about ``per_language``
-    documents a language (at most twice that). A prediction sees the text's bytes only, all of them, in windows of
+    The network learns from text and label of rows that are not held out: a hashed sample of ``per_language``
+    documents a language. A prediction sees the text's bytes only, all of them, in windows of
     128. ``score`` is the mean probability of the winning language over all positions, ``agreement`` the share of
     positions that name it.
 

@@ -40,18 +40,19 @@ def _share(nodes: DataFrame, parents: list[str], name: str) -> DataFrame:
     )
 
 
-def budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict[str, int]], budget: Column, max_epochs: int) -> DataFrame:
+def budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict[str | None, int]], budget: Column, max_epochs: int) -> DataFrame:
     """``leaves`` (levels, ``tokens``) with the ``quota`` of tokens each leaf gets.
 
-    ``weights`` maps a level to the whole-number weights of its values; a value not listed weighs 1 where the
-    level lists none, else 0.
+    ``weights`` maps a level to the whole-number weights of its values; a value not listed weighs what the level
+    gives for None, and without that 1 where the level lists none, else 0.
     """
     nodes = leaves.select(*levels, "tokens", (F.col("tokens") * max_epochs).alias("capacity"))
     for level in levels:
         listed = weights.get(level)
         weight = F.lit(1)
         if listed:
-            weight = F.coalesce(*[F.when(F.col(level) == v, F.lit(w)) for v, w in listed.items()], F.lit(0))
+            cases = [F.when(F.col(level) == v, F.lit(w)) for v, w in listed.items() if v is not None]
+            weight = F.coalesce(*cases, F.lit(listed.get(None, 0)))
         nodes = nodes.withColumn(f"w_{level}", weight.cast("long"))
     # What no weight reaches can take nothing and must not count as an ancestor's capacity.
     nodes = nodes.filter(" AND ".join(f"w_{level} > 0" for level in levels))
@@ -70,7 +71,7 @@ def budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict[str, i
 def mix(
     docs: DataFrame,
     levels: dict[str, Column],
-    weights: dict[str, dict[str, int]],
+    weights: dict[str, dict[str | None, int]],
     share: tuple[int, int] = (1, 2),
     max_epochs: int = 4,
     seed: int = 0,

@@ -218,7 +218,7 @@ def near_duplicates(
     block_rows: int = 1024,
     broadcast_rows: int = 2_000_000,
 ) -> DataFrame:
-    """One row per row of ``docs``: id, ``n_shingles``, ``component_id``, ``kept``.
+    """One row per row of ``docs``: id, ``n_shingles``, ``component_id``, ``kept``, ``text_hash`` (MD5 of the text, null for null).
 
     Words are runs without ASCII white space, A-Z lower-cased; a set holds the distinct hashed runs of ``width``
     words, or the whole sequence of a shorter text. Two texts are linked from ``percent`` similarity of the full
@@ -233,16 +233,16 @@ def near_duplicates(
     sets. Texts move only for those that pass the first; the ids to fetch are broadcast up to ``broadcast_rows``.
 
     A text that is null or has no words has an empty set and is its own component. Rows that share an id are
-    separate texts; a null id counts as larger than any other and only names a component of null ids. Other
+    separate texts, which ``text_hash`` tells apart; a null id counts as larger than any other and only names a component of null ids. Other
     columns are not read; an empty table gives no rows.
     """
     count, t = bands * rows, percent / 100
     least = t - 6 * math.sqrt(t * (1 - t) / count)
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    texts = texts.withColumn("text_hash", F.xxhash64("text"))
+    texts = texts.withColumn("text_hash", F.unhex(F.md5(F.col("text").cast("binary"))))
     # The id travels as a string: as a pandas integer a null would turn the column into floats.
     signed = texts.withColumn("id", F.col("id").cast("string")).mapInPandas(
-        _sign(width, count), "id string, text_hash long, n_shingles long, key binary, signature binary"
+        _sign(width, count), "id string, text_hash binary, n_shingles long, key binary, signature binary"
     )
     signed = stored(signed.withColumn("id", F.col("id").cast("long")), "signatures")
     nodes = signed.filter("key IS NOT NULL").groupBy("key").agg(
@@ -307,12 +307,12 @@ def _relabelled(labels: DataFrame, edges: DataFrame) -> DataFrame:
 
 def _named(signed: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
     """The rows with the least id of their component."""
-    full = signed.filter("key IS NOT NULL").select("id", "n_shingles", "key")
-    full = full.join(labels, F.col("key") == F.col("node"), "left").select("id", "n_shingles", F.coalesce("root", "key").alias("comp"))
+    full = signed.filter("key IS NOT NULL").select("id", "text_hash", "n_shingles", "key")
+    full = full.join(labels, F.col("key") == F.col("node"), "left").select("id", "text_hash", "n_shingles", F.coalesce("root", "key").alias("comp"))
     full = stored(full, "labelled")
     least = stored(full.groupBy("comp").agg(F.min("id").alias("component_id")), "least-ids")
-    rows = full.join(least, "comp").select("id", "n_shingles", "component_id")
-    empty = signed.filter("key IS NULL").select("id", "n_shingles", F.col("id").alias("component_id"))
+    rows = full.join(least, "comp").select("id", "text_hash", "n_shingles", "component_id")
+    empty = signed.filter("key IS NULL").select("id", "text_hash", "n_shingles", F.col("id").alias("component_id"))
     return rows.unionByName(empty).select(
-        F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
+        F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash"
     )

@@ -59,9 +59,11 @@ def op7_exact_dedup(spark, sf_dir):
                FROM documents),
     i AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
           FROM benchmark),
-    s AS (SELECT DISTINCT item_id, unnest([array_to_string(w[k:k + 4], ' ') FOR k IN range(1, len(w) - 3)]) AS g FROM i),
+    x AS (SELECT item_id, w, least(5, len(w)) AS size FROM i WHERE len(w) > 0),
+    s AS (SELECT DISTINCT item_id, unnest([array_to_string(w[k:k + size - 1], ' ') FOR k IN range(1, len(w) - size + 2)]) AS g FROM x),
     n AS (SELECT item_id, count(*) AS n_item FROM s GROUP BY item_id),
-    t AS (SELECT DISTINCT doc_id, unnest([array_to_string(w[k:k + 4], ' ') FOR k IN range(1, len(w) - 3)]) AS g FROM d)
+    t AS (SELECT DISTINCT doc_id, unnest([array_to_string(w[k:k + size - 1], ' ') FOR k IN range(1, len(w) - size + 2)]) AS g
+          FROM d, (SELECT DISTINCT size FROM x))
     SELECT doc_id, item_id, n_item, count(*) AS n_shared, count(*) / n_item AS containment
     FROM t JOIN s USING (g) JOIN n USING (item_id)
     GROUP BY doc_id, item_id, n_item HAVING count(*) * 100 >= n_item * 80
@@ -79,7 +81,8 @@ DOMAINS = {
 }
 MIX_WEIGHTS = {
     "domain": {"web": 50, "books": 30, "code": 15, "other": 5},
-    "lang": {"en": 60, "de": 15, "fr": 15, "es": 10},
+    # Every language that is not listed, and "(none)" for null, weighs as much as half the least listed one.
+    "lang": {"en": 60, "de": 15, "fr": 15, "es": 10, None: 5},
 }
 MIX_SHARE, MIX_EPOCHS, MIX_SEED = (3, 5), 4, 17
 
@@ -89,8 +92,9 @@ def mix_levels() -> dict[str, Column]:
     return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
 
 
-def _case(column: str, pairs: dict, other: str) -> str:
-    return f"CASE {' '.join(f"WHEN {column} = '{k}' THEN {v}" for k, v in pairs.items())} ELSE {other} END"
+def _case(column: str, pairs: dict) -> str:
+    listed = " ".join(f"WHEN {column} = '{k}' THEN {v}" for k, v in pairs.items() if k is not None)
+    return f"CASE {listed} ELSE {pairs.get(None, 0)} END"
 
 
 def _fill(nodes: str, parents: str, name: str) -> str:
@@ -108,8 +112,8 @@ def _fill(nodes: str, parents: str, name: str) -> str:
 
 def mix_sql(documents: str = "documents") -> str:
     domains = " ".join(f"WHEN source IN ({', '.join(repr(s) for s in names)}) THEN '{k}'" for k, names in DOMAINS.items())
-    lang_weight = _case("lang", MIX_WEIGHTS["lang"], "0")
-    domain_weight = _case("domain", MIX_WEIGHTS["domain"], "0")
+    lang_weight = _case("lang", MIX_WEIGHTS["lang"])
+    domain_weight = _case("domain", MIX_WEIGHTS["domain"])
     return rf"""
     WITH k AS (
         SELECT doc_id, CASE {domains} ELSE 'other' END AS domain, coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
@@ -159,7 +163,7 @@ def near_sql(documents: str, width: int, percent: int) -> str:
 
 @query("op3_minhash_near_dedup", near_sql("documents", 3, 85))
 def op3_minhash_near_dedup(spark, sf_dir):
-    return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+    return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85).drop("text_hash")
 
 
 @query(

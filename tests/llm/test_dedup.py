@@ -273,6 +273,19 @@ def test_sentence_spans_null_ids(spark):
 ITEMS = [(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"), (2, "Short, one here"), (3, None), (4, ""), (5, "q w e r t y u i o p a s d f g h j k l z"), (None, "a null item id has words as well")]
 
 
+def _holds(words, item):
+    n = min(5, len(item))
+    own, other = ({tuple(x[k : k + n]) for k in range(len(x) - n + 1)} for x in (item, words))
+    return n > 0 and 100 * len(own & other) >= 80 * len(own)
+
+
+def test_decontaminate_leaves_clean_rows_of_the_same_id(spark):
+    docs = spark.createDataFrame([(None, ITEMS[0][1]), (None, "clean"), (None, None), (7, ITEMS[0][1]), (7, "clean too")], "doc_id long, text string")
+    items = spark.createDataFrame(ITEMS[:1], "item_id long, text string")
+    left = decontaminate(docs, items).collect()
+    assert sorted((tuple(r) for r in left), key=str) == sorted([(None, "clean"), (None, None), (7, "clean too")], key=str)
+
+
 def test_contaminated(spark):
     rng = random.Random(3)
     pad = lambda n: _text(rng, n)
@@ -298,8 +311,9 @@ def test_contaminated(spark):
     assert len(got) == len(set(got)) and set(got) == want and (2, 1) in {w[:2] for w in want}
     assert {(r[0], r[1]) for r in contaminated(docs, items, broadcast_rows=0).select("doc_id", "item_id").collect()} == {w[:2] for w in want}
     left = decontaminate(docs, items)
-    hit = {w[0] for w in want}
-    assert left.columns == docs.columns and left.count() == sum(i not in hit for i, _ in pairs)
+    clean = [(i, t) for i, t in pairs if not any(_holds(words(t), words(u)) for _, u in ITEMS)]
+    assert left.columns == docs.columns and {i for i, _ in clean} & {w[0] for w in want}
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted(clean, key=str)
 
 
 @pytest.mark.parametrize("run", [

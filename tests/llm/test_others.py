@@ -45,7 +45,7 @@ def _brute_mix(rows, weights, share, epochs, seed):
     for i, domain, lang, text in rows:
         leaves[(domain or "(none)", lang or "(none)")].append((i, len((text or "").split())))
     tokens = {leaf: sum(n for _, n in docs) for leaf, docs in leaves.items()}
-    weight = lambda level, v: weights[level].get(v, 0) if level in weights else 1
+    weight = lambda level, v: weights[level].get(v, weights[level].get(None, 0)) if level in weights else 1
     usable = {leaf: n * epochs for leaf, n in tokens.items() if weight("domain", leaf[0]) and weight("lang", leaf[1])}
     top = defaultdict(int)
     for leaf, cap in usable.items():
@@ -73,7 +73,7 @@ MIX_ROWS = [(k, "web" if k % 3 else "books", ["en", "de", "fr"][k % 5 % 3], "w "
 
 
 @pytest.mark.parametrize("share, epochs", [((1, 2), 4), ((3, 1), 2), ((1, 100), 1), ((0, 1), 3), ((50, 1), 2)])
-@pytest.mark.parametrize("weights", [{"domain": {"web": 70, "books": 30}, "lang": {"en": 5, "de": 3, "fr": 1}}, {}, {"lang": {"xx": 1}}])
+@pytest.mark.parametrize("weights", [{"domain": {"web": 70, "books": 30}, "lang": {"en": 5, "de": 3, "fr": 1}}, {}, {"lang": {"xx": 1}}, {"lang": {"en": 6, None: 2}, "domain": {None: 1}}])
 def test_mix(spark, share, epochs, weights):
     docs = spark.createDataFrame([(*r, 1) for r in MIX_ROWS], "doc_id long, domain string, lang string, text string, tokens int")
     levels = {"domain": F.col("domain"), "lang": F.col("lang")}

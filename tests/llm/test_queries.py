@@ -4,6 +4,8 @@ import os
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tallyloom.llm import queries
 from tallyloom.llm.common import ready, stored
@@ -41,6 +43,41 @@ def _ids(con, sql):
     return {r[0] for r in con.sql(sql).fetchall()}
 
 
+def test_stages_keep_clean_rows_with_null_and_repeated_ids(spark):
+    """Copies go by id and text; unrelated rows of the same id, and of none, stay. Languages are not lost for want of a label."""
+    ready(spark)
+    source = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    prose = [t for _, t in sorted(source.items()) if t and len(t) > 400][:40]
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    rows = [(1, "one " + prose[0], "en"), (2, "one " + prose[0] + " end", "en"), (2, prose[1], None), (None, prose[2], "zh"), (None, prose[2] + " end", "zh"), (None, "a few words before " + item, None)]
+    docs = spark.createDataFrame([(i, t, lang, f"src{k}", len(t)) for k, (i, t, lang) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    near = corpus_pipeline.near(spark, docs, SF)
+    assert {(r["doc_id"], r["text"]) for r in near.collect()} >= {(1, rows[0][1]), (2, prose[1]), (None, rows[5][1])}
+    assert (2, rows[1][1]) not in {(r["doc_id"], r["text"]) for r in near.collect()}
+    leaks = corpus_pipeline.leaks(spark, docs, SF)
+    assert sorted(r["text"] for r in leaks.collect()) == sorted(t for _, t, _ in rows[:5])
+    langs = ["en", "it", None, "zh"]
+    many = [(k, f"number {k} of them", langs[k % 4], "src1", 0) for k in range(400)]
+    mixture = corpus_pipeline.mixture(spark, spark.createDataFrame(many, docs.schema), SF).collect()
+    assert {r["lang"] for r in mixture} == {"en", "it", "zh", "(none)"}
+
+
+def test_language_stage_fills_null_languages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    blank = docs.withColumn("lang", F.when(F.col("doc_id") % 5 != 0, F.col("lang")))
+    out = {r["doc_id"]: r["lang"] for r in corpus_pipeline.language(spark, blank, SF).collect()}
+    truth = {r["doc_id"]: r["lang"] for r in docs.collect()}
+    filled = [i for i in out if i % 5 == 0]
+    assert filled and sum(out[i] == truth[i] for i in filled) >= 0.8 * len(filled)
+    assert all(out[i] == truth[i] for i in out if i % 5)
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_stages_of_an_empty_table(spark, name, stage):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    assert stage(spark, docs, SF).collect() == []
+
+
 def test_pipeline_against_brute_force(spark):
     """Each stage's rows from its own input: by the trained network one text at a time, and by SQL."""
     ready(spark)
