@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm.common import lower_ascii, ready, stored, table, without
+from tallyloom.llm.common import lower_ascii, ready, row_key, stored, table, without
 from tallyloom.llm.decontaminate import decontaminate
 from tallyloom.llm.exact_dedup import exact_dedup
 from tallyloom.llm.language_id import UNKNOWN, identify_language
@@ -17,12 +17,18 @@ LEAST_SCORE = 0.35
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a letter and those in which no language prevails."""
+    """Rejects documents without a letter and those in which no language prevails; a null ``lang`` becomes the predicted one."""
     ready(spark)
-    same_text = F.xxhash64("text")
-    labelled = identify_language(docs.withColumn("text_hash", same_text), keep=("text_hash",))
+    key = row_key(F.col("doc_id"), F.col("text"))
+    marked = docs.withColumns({"row": key, "unlabelled": F.col("lang").isNull()})
+    labelled = stored(identify_language(marked, keep=("row", "unlabelled")), "languages")
     rejected = labelled.filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < LEAST_SCORE))
-    return without(docs, rejected, {"doc_id": F.col("doc_id"), "text_hash": same_text})
+    clear = without(docs, rejected, {"row": key})
+    named = labelled.filter("unlabelled").select(F.col("row").alias("__row"), F.col("lang_pred").alias("__lang")).distinct()
+    if named.isEmpty():
+        return clear
+    filled = clear.filter("lang IS NULL").withColumn("__key", key).join(named, F.col("__key") == F.col("__row")).withColumn("lang", F.col("__lang"))
+    return clear.filter("lang IS NOT NULL").unionByName(filled.select(*docs.columns))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +43,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by 80 percent of their five-word shingles the one with the least doc_id stays."""
     ready(spark)
     dropped = near_duplicates(docs, width=5, percent=80).filter("NOT kept")
-    return without(docs, dropped, {"doc_id": F.col("doc_id")})
+    return without(docs, dropped, {"doc_id": F.col("doc_id"), "text_hash": F.unhex(F.md5(F.col("text").cast("binary")))})
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
