@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import re
+import time
+import uuid
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.session import fresh_path
 
 FORMATS = ("csv", "parquet", "delta")
+VERSION = "version-"
 
 
 def write_output(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
@@ -30,14 +33,59 @@ def write_output(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwr
 def save_table(
     df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet", path: str | None = None
 ) -> DataFrame:
-    """Create or replace a catalog table, its schema included, and return the stored table."""
-    writer = df.write.mode(mode).format(fmt)
-    if fmt == "delta" and mode == "overwrite":
-        writer = writer.option("overwriteSchema", True)
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name)
+    """Create or replace a catalog table, its schema included, and return the stored table.
+
+    ``overwrite`` writes a new version below ``path`` (or the warehouse) and then points the table at it. A write
+    that fails leaves the old table as it was, and a table may be made from its own rows. With the same columns the
+    switch is one catalog call, so readers meet the old rows or the new ones; with other columns the entry is dropped
+    and made anew over the finished files, a moment in which the name is unknown. Queries that were planned before the
+    switch go on reading the old files until ``drop_versions`` removes them. Delta has versions of its own.
+    """
+    spark = df.sparkSession
+    if fmt == "delta" or mode != "overwrite":
+        writer = df.write.mode(mode).format(fmt)
+        if fmt == "delta" and mode == "overwrite":
+            writer = writer.option("overwriteSchema", True)
+        (writer.option("path", path) if path else writer).saveAsTable(name)
+        return spark.table(name)
+    version = f"{versions_of(spark, name, path)}/{VERSION}{uuid.uuid4().hex}"
+    df.write.format(fmt).save(version)
+    stored = spark.read.format(fmt).load(version)
+    if spark.catalog.tableExists(name) and spark.table(name).schema == stored.schema and _provider(spark, name) == fmt:
+        place = version.replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {_quoted(name)} SET LOCATION '{place}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {_quoted(name)}")
+        spark.catalog.createTable(name, path=version, source=fmt, schema=stored.schema)
+    return spark.table(name)
+
+
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.replace("`", "").split("."))
+
+
+def _provider(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}").filter("col_name = 'Provider'").collect()
+    return rows[0]["data_type"].lower() if rows else ""
+
+
+def versions_of(spark: SparkSession, name: str, path: str | None = None) -> str:
+    """The folder that holds the versions of a table."""
+    return path.rstrip("/") if path else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}_versions"
+
+
+def drop_versions(spark: SparkSession, name: str, path: str | None = None, older_than: float = 86_400) -> int:
+    """Remove the versions of a table, but for the current one, that were written ``older_than`` seconds ago; how many."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(versions_of(spark, name, path))
+    store = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    current = {f.rsplit("/", 2)[-2] for f in spark.table(name).inputFiles()}
+    place = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}").filter("col_name = 'Location'").first()
+    current.add(place["data_type"].rstrip("/").rsplit("/", 1)[-1])
+    gone = [s.getPath() for s in store.listStatus(root) if s.getModificationTime() <= (time.time() - older_than) * 1000]
+    gone = [p for p in gone if p.getName().startswith(VERSION) and p.getName() not in current]
+    return sum(store.delete(p, True) for p in gone)
 
 
 def sanitize_columns(df: DataFrame, pattern: str = r"[^A-Za-z0-9_]") -> DataFrame:

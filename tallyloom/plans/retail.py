@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tallyloom.functions import formulas as fx
 from tallyloom.functions.lookups import US_STATES
@@ -175,15 +175,21 @@ def brand_revenue_share(tx: DataFrame, brands: DataFrame) -> DataFrame:
 
 
 def yearly_ytd(tx: DataFrame) -> DataFrame:
-    """Customers and revenue per year over the months the latest year has reached."""
-    last = tx.agg(F.max(F.col("Year") * 100 + F.col("Month Num")).alias("last"))
-    last = last.select(
-        F.floor(F.col("last") / 100).cast("int").alias("Max_Year"), (F.col("last") % 100).alias("Max_Month_Num")
-    )
-    comparable = joins.append_fields(tx, last).filter(F.col("Month Num") <= F.col("Max_Month_Num"))
-    return comparable.groupBy("Year", "Max_Year").agg(
-        F.count_distinct("Customer ID").alias("Customers"), F.sum("Purchase Price").alias("Revenue")
-    )
+    """Customers and revenue per year over the months the latest year has reached.
+
+    The transactions are read once, into one row per customer and month. A customer counts in the first month of the
+    year, so that the customers of any stretch from January on are a sum over months; the last month is then looked up
+    in a table of one row per month.
+    """
+    each = tx.groupBy("Year", "Month Num", "Customer ID").agg(F.sum("Purchase Price").alias("Revenue"))
+    first = F.min("Month Num").over(W.partitionBy("Year", "Customer ID"))
+    new = F.col("Customer ID").isNotNull() & (F.col("Month Num") == first)
+    months = each.withColumn("__new", new.cast("long")).groupBy("Year", "Month Num")
+    months = months.agg(F.sum("__new").alias("Customers"), F.sum("Revenue").alias("Revenue"))
+    last = F.max(F.col("Year") * 100 + F.col("Month Num")).over(W.partitionBy(F.lit(0)))
+    months = months.withColumn("__last", last).withColumn("Max_Year", F.floor(F.col("__last") / 100).cast("int"))
+    comparable = months.filter(F.col("Month Num") <= F.col("__last") % 100)
+    return comparable.groupBy("Year", "Max_Year").agg(F.sum("Customers").alias("Customers"), F.sum("Revenue").alias("Revenue"))
 
 
 def yoy_change(tx: DataFrame, measure: str, name: str) -> DataFrame:

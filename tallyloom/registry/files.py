@@ -11,7 +11,7 @@ from tallyloom.registry import query
 from tallyloom.registry.sql import sql
 from tallyloom.session import fresh_path
 from tallyloom.sources import files, model
-from tallyloom.sources.schemas import TREND, TREND_TITLE
+from tallyloom.sources.schemas import TREND, TREND_TITLE  # noqa: F401
 
 ORDERS_SQL = """SELECT o_orderkey, o_custkey, o_orderdate::DATE AS orderdate, o_totalprice, o_orderpriority FROM orders"""
 
@@ -52,17 +52,15 @@ def save_table_roundtrip(spark, d):
   CASE WHEN o_orderstatus = 'O' THEN 'open' ELSE 'closed' END AS folder FROM orders""",
 )
 def multi_file_union(spark, d):
-    """Open and closed orders in files with different columns, united by name, each with the folder it came from."""
+    """Open and closed orders in files with different columns, united by the headers found in them, each with the folder it came from."""
     orders = model.table(spark, d, "orders")
     root = fresh_path(spark, "union")
     closed, opened = f"{root}/closed", f"{root}/open"
     sinks.write_output(orders.filter("o_orderstatus <> 'O'").select("o_orderkey", "o_custkey", "o_totalprice"), closed)
     sinks.write_output(orders.filter("o_orderstatus = 'O'").select("o_totalprice", "o_orderpriority", "o_orderkey"), opened)
-    schemas = {
-        f"{root}/clo*": "o_orderkey bigint, o_custkey bigint, o_totalprice double",
-        opened: "o_orderkey bigint, o_totalprice double, o_orderpriority string",
-    }
-    united = files.read_many(spark, schemas, file_column="path", full_path=True)
+    united = files.read_by_header(spark, f"{root}/*/*.csv", file_column="path", full_path=True)
+    # Small keys are inferred as int.
+    united = united.withColumns({k: F.col(k).cast("bigint") for k in ("o_orderkey", "o_custkey")})
     return united.withColumn("folder", F.regexp_extract("path", "/([^/]+)/[^/]+$", 1)).drop("path")
 
 
@@ -110,4 +108,7 @@ def trend_weekly(spark, d):
     path = fresh_path(spark, "trend")
     lines = head.unionByName(data).repartition("yr").sortWithinPartitions("yr", "line", "value")
     lines.select("yr", "value").write.partitionBy("yr").text(path)
-    return files.read_csv_preamble(spark, f"{path}/yr=*/*", TREND, TREND_TITLE)[0]
+    trend, rejects = files.read_csv_after(spark, f"{path}/yr=*/*", TREND, 3)
+    if not rejects.isEmpty():
+        raise ValueError("lines of the trend files cannot be read")
+    return trend

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -69,6 +70,96 @@ def read_many(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
+# From narrow to wide; any other mixture of types is text.
+WIDER = ("void", "int", "bigint", "double")
+
+
+def _widened(kinds: set[str]) -> str:
+    kinds = kinds - {"void"} or {"string"}
+    if len(kinds) == 1:
+        return kinds.pop()
+    if kinds <= {"date", "timestamp"}:
+        return "timestamp"
+    return max(kinds, key=WIDER.index) if kinds <= set(WIDER) else "string"
+
+
+def first_lines(spark: SparkSession, path) -> DataFrame:
+    """``file`` (its path) and ``line`` of the first line of every file that has one. Reads the files once, in parallel."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    )
+    # Inside a block the ids follow the lines.
+    lines = lines.filter("start = 0").withColumn("at", F.monotonically_increasing_id())
+    return lines.groupBy("file").agg(F.min_by("value", "at").alias("line"))
+
+
+def read_by_header(spark: SparkSession, path, file_column: str | None = "FileName", full_path: bool = False) -> DataFrame:
+    """CSV files of any headers as one table, columns united by name, with the source file's name.
+
+    The headers are read in one distributed pass and files with the same header make one scan, so the number of scans
+    is that of the different headers. Types are inferred per header and widened over all of them (whole numbers to
+    larger ones and to double, dates to timestamps, all else to text) before the rows are read, so text keeps its
+    spelling. A column that a file lacks is NULL, one without any value is text, an empty file has no rows. The same
+    name twice in a header is an error; a line that does not fit its header stops the query.
+    """
+    groups = first_lines(spark, path).groupBy("line").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("line").collect()
+    if not groups:
+        raise ValueError(f"no header in {path}")
+    scans = []
+    for group in groups:
+        found = spark.read.option("header", True).option("inferSchema", True).csv(group["files"])
+        names = [n.lower() for n in next(csv.reader([group["line"]]))]
+        if len(set(names)) < len(names):
+            raise ValueError(f"a name stands twice in the header {group['line']!r}")
+        scans.append((group["files"], dict(found.dtypes)))
+    kinds: dict[str, set[str]] = {}
+    for _, columns in scans:
+        for name, kind in columns.items():
+            kinds.setdefault(name, set()).add(kind)
+    wide = {name: _widened(found) for name, found in kinds.items()}
+
+    def scan(files: list[str], names: list[str]) -> DataFrame:
+        declared = ", ".join(f"`{n}` {wide[n]}" for n in names)
+        df = read_csv(spark, files, declared)
+        if not file_column:
+            return df
+        return df.select("*", F.col("_metadata.file_path" if full_path else "_metadata.file_name").alias(file_column))
+
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [scan(files, list(columns)) for files, columns in scans])
+
+
+def skip_lines(spark: SparkSession, path, lines: int, file_column: str | None = None) -> DataFrame:
+    """The lines (``line``) of text files without the first ``lines`` of each file, whatever those hold.
+
+    Lines are numbered inside the first block of a file only, so large files still split across tasks: every other
+    block passes through. One row per file, the id of its first line, is found by a first pass and comes back by
+    join; both passes cut the files into the same blocks. The lines to skip must end within the first block
+    (``spark.sql.files.maxPartitionBytes``); a file with fewer lines has none left.
+    """
+    raw = spark.read.text(path).select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.file_name").alias("__name"),
+        F.col("_metadata.file_block_start").alias("__start"),
+    )
+    raw = raw.withColumn("__at", F.monotonically_increasing_id())
+    first = raw.filter("__start = 0").groupBy(F.col("__file").alias("__of")).agg(F.min("__at").alias("__first"))
+    joined = raw.join(first, (F.col("__file") == F.col("__of")) & (F.col("__start") == 0), "left")
+    rest = joined.filter(F.col("__first").isNull() | (F.col("__at") - F.col("__first") >= lines))
+    return rest.select("line", *([F.col("__name").alias(file_column)] if file_column else []))
+
+
+def read_csv_after(
+    spark: SparkSession, path, schema: StructType, lines: int, file_column: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """CSV files whose first ``lines`` lines (titles and header) are skipped by count: the rows, and the lines that cannot be read.
+
+    Blank lines are left out. As with ``read_csv_preamble``, a field cannot hold a line break.
+    """
+    kept = [file_column] if file_column else []
+    return _parsed(skip_lines(spark, path, lines, file_column).filter(F.trim("line") != ""), schema, kept)
+
+
 def read_csv_preamble(
     spark: SparkSession, path, schema: StructType, title: str, file_column: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -79,14 +170,19 @@ def read_csv_preamble(
     the file column): too few or too many fields, or a field that is not of its type. That needs no line numbers, so
     large files still split across tasks. A field cannot hold a line break.
     """
-    names = schema.fieldNames()
-    text = StructType([StructField(n, StringType()) for n in names] + [StructField("__bad", StringType())])
     raw = spark.read.text(path).withColumnRenamed("value", "line")
     if file_column:
         raw = raw.select("line", F.col("_metadata.file_name").alias(file_column))
     kept = [file_column] if file_column else []
     bare = F.trim(F.col("line"))
-    data = raw.filter((bare != "") & ~bare.rlike(f"^(?:{title})$") & (bare != ",".join(names)))
+    data = raw.filter((bare != "") & ~bare.rlike(f"^(?:{title})$") & (bare != ",".join(schema.fieldNames())))
+    return _parsed(data, schema, kept)
+
+
+def _parsed(data: DataFrame, schema: StructType, kept: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Lines as typed rows, and the lines with too few or too many fields or one that is not of its type."""
+    names = schema.fieldNames()
+    text = StructType([StructField(n, StringType()) for n in names] + [StructField("__bad", StringType())])
     fields = F.from_csv("line", text.simpleString()[len("struct<") : -1].replace(":", " "), {"columnNameOfCorruptRecord": "__bad"})
     parsed = data.withColumn("__text", fields)
     given = {f.name: F.trim(F.col(f"__text.`{f.name}`")) for f in schema.fields}

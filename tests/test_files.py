@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyloom.operators import sinks
 from tallyloom.registry.files import TREND, TREND_TITLE
@@ -123,3 +124,79 @@ def test_shuffles_follow_the_input_size(spark):
         assert spark.conf.get(key) == spark.conf.get("spark.sql.shuffle.partitions")
     finally:
         spark.conf.unset(key)
+
+
+def test_files_are_united_by_the_headers_they_have(spark, tmp_path, rows):
+    for k in range(60):
+        head, line = [("id,name", f"{k},007"), ("name,amount,id", f"x{k},1.5,{k}"), ('"id","when, utc",name', f'{k},2024-01-0{1 + k % 9},')][k % 3]
+        write(tmp_path / "u" / f"f{k:03}.csv", f"{head}\n{line}\n")
+    write(tmp_path / "u" / "empty.csv", "")
+    out = files.read_by_header(spark, str(tmp_path / "u" / "*.csv"))
+    assert dict(out.dtypes) == {"id": "int", "name": "string", "amount": "double", "when, utc": "date", "FileName": "string"}
+    found = {r["id"]: r for r in out.collect()}
+    assert len(found) == 60 and found[0]["name"] == "007" and found[0]["amount"] is None
+    assert found[1].asDict() == {"id": 1, "name": "x1", "amount": 1.5, "when, utc": None, "FileName": "f001.csv"}
+    assert found[2]["when, utc"] == dt.date(2024, 1, 3) and found[2]["name"] is None
+    # One scan per header, not per file.
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 3
+
+
+def test_types_are_widened_over_the_headers(spark, tmp_path, rows):
+    write(tmp_path / "w" / "a.csv", "k,v,t\n1,5,007\n")
+    write(tmp_path / "w" / "b.csv", "v,k,t,e\n2.5,30000000000,abc,\n")
+    out = files.read_by_header(spark, str(tmp_path / "w" / "*.csv"), file_column=None)
+    assert dict(out.dtypes) == {"k": "bigint", "v": "double", "t": "string", "e": "string"}
+    assert rows(out, "k", "v", "t", "e") == [(1, 5.0, "007", None), (30000000000, 2.5, "abc", None)]
+
+
+def test_headers_that_cannot_be_united(spark, tmp_path):
+    write(tmp_path / "x" / "a.csv", "k,K\n1,2\n")
+    with pytest.raises(ValueError, match="twice"):
+        files.read_by_header(spark, str(tmp_path / "x" / "*.csv"))
+    write(tmp_path / "y" / "a.csv", "")
+    with pytest.raises(ValueError, match="no header"):
+        files.read_by_header(spark, str(tmp_path / "y" / "*.csv"))
+
+
+@pytest.mark.parametrize("block", ["64", "1000", "100000"])
+def test_lines_are_skipped_by_count_in_every_file(spark, tmp_path, rows, block):
+    """The skipped lines look like data; files are read in many blocks, and several in one task."""
+    want = []
+    for f in range(4):
+        data = [f"2024-01-{1 + k % 28:02},{1000 * f + k}" for k in range(50 * f)]
+        want += [(f"f{f}.csv", 1000 * f + k) for k in range(50 * f)]
+        write(tmp_path / "s" / f"f{f}.csv", "\n".join(["2020-01-01,1", "2020-01-01,2", "", *data]) + "\n")
+    write(tmp_path / "s" / "short.csv", "2020-01-01,1\n2020-01-01,2\n")
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, block)
+        out, rejects = files.read_csv_after(spark, str(tmp_path / "s" / "*.csv"), TREND, 3, file_column="f")
+        assert rows(out, "f", "interest") == sorted(want) and rejects.count() == 0
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_a_failing_write_leaves_the_old_table(spark, rows):
+    name = "kept_table"
+    sinks.save_table(spark.range(5).withColumn("v", F.col("id") * 2), name)
+    broken = spark.range(9).withColumn("v", F.when(F.col("id") == 8, F.raise_error(F.lit("boom")).cast("long")).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="boom"):
+        sinks.save_table(broken, name)
+    assert rows(files.read_table(spark, name)) == [(k, 2 * k) for k in range(5)]
+    spark.sql(f"drop table {name}")
+
+
+def test_a_table_is_rebuilt_from_itself(spark, rows):
+    name = "own_table"
+    sinks.save_table(spark.range(4), name)
+    planned = files.read_table(spark, name).filter("id > 0")
+    for k in (1, 2):
+        out = sinks.save_table(files.read_table(spark, name).withColumn("id", F.col("id") + 1), name)
+        assert rows(out) == [(i + k,) for i in range(4)]
+    # What was planned before still reads the old files, until they are dropped.
+    assert rows(planned) == [(1,), (2,), (3,)]
+    assert sinks.drop_versions(spark, name, older_than=3600) == 0
+    assert sinks.drop_versions(spark, name, older_than=-5) == 2
+    assert rows(files.read_table(spark, name)) == [(i + 2,) for i in range(4)]
+    spark.sql(f"drop table {name}")
