@@ -3,7 +3,7 @@
 Whether a side is broadcast is decided from its size: by Spark's threshold and run-time statistics, or by a count
 (``measured``). A side beyond it is shuffled. A hot key on the row-preserving or inner
 side is split by adaptive execution; a hot key on the *other* side of an outer join cannot be, so
-such joins can be put together from an inner join and anti joins (``split_hot=True``).
+such joins can salt their hot keys (``join_hot``, ``split_hot=True``).
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tallyloom.operators.quality import require_unique
+from tallyloom.session import checkpointed
 
 JOIN_TYPES = ("inner", "left", "right", "outer", "left_semi", "left_anti")
 
@@ -25,20 +26,59 @@ def _keys(on: str | Sequence[str]) -> list[str]:
 def join_dfs(
     left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner", split_hot: bool = False
 ) -> DataFrame:
-    """Equi-join on equally named columns."""
+    """Equi-join on equally named columns; ``split_hot``: an outer join by ``join_hot``."""
     how = {"full": "outer", "semi": "left_semi", "anti": "left_anti"}.get(how, how)
     if how not in JOIN_TYPES:
         raise ValueError(f"unknown join type {how!r}; choose one of {', '.join(JOIN_TYPES)}")
     on = _keys(on)
     if not split_hot or how not in ("left", "right", "outer"):
         return left.join(right, on, how)
-    matched, left_only, right_only = join_streams(left, right, on)
-    out = matched
-    if how in ("left", "outer"):
-        out = out.unionByName(left_only, allowMissingColumns=True)
-    if how in ("right", "outer"):
-        out = out.unionByName(right_only, allowMissingColumns=True)
-    return out
+    return join_hot(left, right, on, how)
+
+
+def join_hot(
+    left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str, hot_rows: int = 1_000_000, salts: int = 64
+) -> DataFrame:
+    """Outer join (``left``, ``right``, ``outer``) that spreads the hot keys of the padded side, each side scanned once.
+
+    Adaptive execution splits a hot key only on the side whose rows are all kept. Here keys with ``hot_rows`` rows or
+    more on a padded side are counted first (a job over the key columns, whose result is at most one key per
+    ``hot_rows`` rows). Their rows there get one of ``salts`` salts by a hash of the row, the other side's rows of
+    these keys are repeated for every salt, all other rows meet as ever. A repeated row that finds nothing under its
+    salt is no unmatched row, for a hot key has rows on the hot side: such rows are dropped. A key that is hot on both
+    sides of a full join is split on the right. Rows with a null key match nothing and are spread by their hash.
+    Equal rows of a hot key share a salt.
+    """
+    on = _keys(on)
+    every = [F.col(f"`{c}`") for c in on]
+
+    def hot(df: DataFrame, side: str) -> DataFrame:
+        counts = df.select(*every).dropna().groupBy(*every).agg(F.count(F.lit(1)).alias("__n"))
+        return counts.filter(F.col("__n") >= hot_rows).select(*every, F.lit(side).alias("__hot"))
+
+    marks = [hot(df, side) for df, side, kinds in ((right, "right", ("left", "outer")), (left, "left", ("right", "outer"))) if how in kinds]
+    marked = marks[0].unionByName(marks[1]) if len(marks) == 2 else marks[0]
+    marked = checkpointed(marked.groupBy(*every).agg(F.max("__hot").alias("__hot")))
+    found = marked.count()
+    if not found:
+        return left.join(right, on, how)
+    marked = F.broadcast(marked) if found <= 100_000 else marked
+
+    def salted(df: DataFrame, side: str) -> DataFrame:
+        own = F.array(F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int"))
+        no_key = reduce(lambda a, b: a | b, [c.isNull() for c in every])
+        # What the hash spreads must be the row, so it is taken before the marks come in.
+        df = df.withColumn("__own", own).join(marked, on, "left")
+        salt = F.when((F.col("__hot") == side) | no_key, F.col("__own"))
+        salt = salt.when(F.col("__hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        df = df.withColumn("__salt", F.explode(salt)).withColumn(f"__{side}", F.lit(True))
+        return df.drop("__own").withColumnRenamed("__hot", f"__hot_{side}")
+
+    joined = salted(left, "left").join(salted(right, "right"), [*on, "__salt"], how)
+    alone_left = F.col("__right").isNull() & F.col("__hot_left").eqNullSafe("right")
+    alone_right = F.col("__left").isNull() & F.col("__hot_right").eqNullSafe("left")
+    kept = joined.filter(~(alone_left | alone_right))
+    return kept.drop("__salt", "__left", "__right", "__hot_left", "__hot_right")
 
 
 def join_streams(

@@ -120,8 +120,8 @@ def sales_by_day_location(tx: DataFrame) -> DataFrame:
 # --- dimensions ------------------------------------------------------------------------------
 
 def dim_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """One row per key: the first in the given order."""
-    return rows.unique_by(df, [key], order)[0]
+    """One row per key: the first in the given order, ties by all other columns, so that it is the same in every run."""
+    return rows.unique_by(df, [key], [*order, *[c for c in df.columns if c not in (key, *order)]])[0]
 
 
 def dim_card_type(raw: DataFrame) -> DataFrame:

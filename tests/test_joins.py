@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tallyloom.functions.lookups import US_STATES
 from tallyloom.operators import joins as ops
@@ -116,3 +117,33 @@ def test_measured(spark):
     hinted = ops.measured(small, rows=5)._jdf.queryExecution().analyzed().toString()
     plain = ops.measured(small, rows=4)._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in hinted and "broadcast" not in plain
+
+
+@pytest.mark.parametrize("how", ["left", "right", "outer"])
+def test_join_hot_equals_the_plain_join(spark, how):
+    left = spark.range(3000).select(F.when(F.col("id") % 7 != 0, F.col("id") % 60).alias("k"), F.col("id").alias("a"))
+    left = left.unionByName(spark.range(400).select(F.lit(200).cast("long").alias("k"), F.col("id").alias("a")))
+    right = spark.range(900).select(F.when(F.col("id") % 3 == 0, F.lit(5)).when(F.col("id") % 3 == 1, F.lit(100)).otherwise(F.col("id") % 80).alias("k"), F.col("id").alias("b"))
+    right = right.unionByName(spark.createDataFrame([(None, k) for k in range(50)], "k long, b long"))
+    want = left.join(right, "k", how)
+    got = ops.join_hot(left, right, "k", how, hot_rows=100, salts=8)
+    assert got.columns == want.columns
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_join_hot_spreads_a_padded_key(spark):
+    """Two thirds of the padded side on one key and many null keys: no task gets over twice the median, each side is read once."""
+    left = spark.range(4000).withColumnRenamed("id", "k")
+    right = spark.range(90_000).select(F.when(F.col("id") % 3 < 2, F.lit(5)).when(F.col("id") % 6 == 2, F.col("id") % 4000).alias("k"), F.col("id").alias("b"))
+    keys = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
+    before = [spark.conf.get(k) for k in keys]
+    try:
+        for k, v in zip(keys, ("false", "-1")):
+            spark.conf.set(k, v)
+        out = ops.join_hot(left, right, "k", "outer", hot_rows=10_000, salts=512)
+        sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+        assert sum(sizes) == left.join(right, "k", "outer").count() and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 2
+    finally:
+        for k, v in zip(keys, before):
+            spark.conf.set(k, v)

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-from tallyloom.plans import reports, sales
+from tallyloom.plans import reports, retail, sales
 
 
 @pytest.fixture(scope="module")
@@ -102,3 +102,10 @@ def test_reports(enriched):
 def test_returned_value(tables):
     out = reports.returned_value(sales.split_returns(tables[0])[1], net=True).first()
     assert tuple(out) == (2, 20, 20)
+
+
+def test_the_row_kept_for_a_tied_key_does_not_depend_on_the_partitions(spark):
+    rows = [(k % 3, "same", f"v{k}", None if k % 2 else k) for k in range(60)]
+    df = spark.createDataFrame(rows, "k int, o string, v string, w int")
+    found = {tuple(sorted(map(tuple, retail.dim_first(part, "k", ["o"]).collect()))) for part in (df.coalesce(1), df.repartition(7), df.repartition(5, "v"))}
+    assert len(found) == 1
