@@ -259,8 +259,8 @@ def collocations(
     best: int = 2000,
     least_count: int = 30,
     covered: int = 80,
-    held_words: int = 3_000_000,
-    held_phrases: int = 1_000_000,
+    held_words: int = 1_000_000,
+    held_phrases: int = 500_000,
 ) -> DataFrame:
     """The ``best`` phrases of 2 to 4 words of each language: ``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score``.
 
