@@ -169,24 +169,36 @@ def op3_minhash_near_dedup(spark, sf_dir):
 @query(
     "op5_sentence_spans",
     r"""
-    WITH p AS (
-        SELECT doc_id, regexp_extract_all(regexp_replace(coalesce(text, ''), '([.!?][''")\]]*)[ \t]+', '\1' || chr(10), 'g'),
-                                          '(?:[^\x20\x09-\x0D]+[ \t]+){0,15}[^\x20\x09-\x0D]+') AS p FROM documents),
-    r AS (SELECT doc_id, k, array_to_string(p[k + 1:k + 3], chr(10)) AS run
-          FROM (SELECT doc_id, p, unnest(range(0, len(p) - 2)) AS k FROM p)),
-    n AS (SELECT doc_id, k, row_number() OVER (PARTITION BY run ORDER BY doc_id, k) AS nth
-          FROM r WHERE len(regexp_extract_all(run, '[^\x20\x09-\x0D]+')) >= 10),
-    g AS (SELECT DISTINCT doc_id, unnest(range(k, k + 3)) AS k FROM n WHERE nth > 1),
-    s AS (SELECT doc_id, unnest(p) AS piece, unnest(range(0, len(p))) AS k FROM p),
-    t AS (SELECT s.doc_id, string_agg(piece, chr(10) ORDER BY s.k) FILTER (g.k IS NULL) AS kept, count(g.k) AS n_removed
-          FROM s LEFT JOIN g USING (doc_id, k) GROUP BY s.doc_id)
-    SELECT p.doc_id, len(p) AS n_sentences, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
-    FROM p LEFT JOIN t USING (doc_id)
+    WITH t AS (
+        SELECT doc_id, regexp_extract(coalesce(text, ''), '^[\x20\x09-\x0D]*') AS blanks,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+[\x20\x09-\x0D]*') AS t FROM documents),
+    w AS (SELECT doc_id, k, tok, regexp_replace(tok, '[\x20\x09-\x0D]+$', '') AS word
+          FROM (SELECT doc_id, unnest(t) AS tok, unnest(range(0, len(t))) AS k FROM t)),
+    v AS (SELECT *, CASE WHEN regexp_matches(tok, '[.!?][''")\]]*[\x20\x09-\x0D]*$|[\x0A-\x0D]') THEN '0' ELSE '1' END || left(md5(word), 14) AS v FROM w),
+    c AS (SELECT *, v < coalesce(min(v) OVER (d ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 'z')
+                 AND v <= coalesce(min(v) OVER (d ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING), 'z') AS ends
+          FROM v WINDOW d AS (PARTITION BY doc_id ORDER BY k)),
+    g AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g FROM c),
+    h AS (SELECT *, (row_number() OVER (PARTITION BY doc_id, g ORDER BY k) - 1) // 64 AS h FROM g),
+    p AS (SELECT doc_id, min(k) AS a, max(k) AS e FROM h GROUP BY doc_id, g, h),
+    q AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n, row_number() OVER d AS nth, lead(e, 2) OVER d AS e3, lead(e, 3) OVER d AS e4,
+                 max(e) OVER (PARTITION BY doc_id) AS last
+          FROM p WINDOW d AS (PARTITION BY doc_id ORDER BY a)),
+    r AS (SELECT doc_id, a, CASE WHEN n < 3 THEN CASE WHEN nth = 1 THEN last END WHEN e3 - a >= 9 THEN e3 ELSE e4 END AS z FROM q),
+    words AS (SELECT doc_id, list(word ORDER BY k) AS words FROM w GROUP BY doc_id),
+    f AS (SELECT doc_id, a, z, row_number() OVER (PARTITION BY array_to_string(words[a + 1:z + 1], ' ') ORDER BY doc_id, a) AS nth
+          FROM r JOIN words USING (doc_id) WHERE z - a >= 9),
+    x AS (SELECT DISTINCT doc_id, unnest(range(a, z + 1)) AS k FROM f WHERE nth > 1),
+    s AS (SELECT w.doc_id, string_agg(tok, '' ORDER BY w.k) FILTER (x.k IS NULL) AS kept FROM w LEFT JOIN x USING (doc_id, k) GROUP BY w.doc_id),
+    m AS (SELECT p.doc_id, count(*) AS n_removed FROM p JOIN x ON x.doc_id = p.doc_id AND x.k = p.a GROUP BY p.doc_id),
+    o AS (SELECT x.doc_id, count(*) AS n_spans FROM x LEFT JOIN x y ON y.doc_id = x.doc_id AND y.k = x.k - 1 WHERE y.k IS NULL GROUP BY x.doc_id)
+    SELECT t.doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(blanks || coalesce(kept, '')) AS kept_sha256
+    FROM t LEFT JOIN s USING (doc_id) LEFT JOIN m USING (doc_id) LEFT JOIN o USING (doc_id)
     """,
 )
 def op5_sentence_spans(spark, sf_dir):
     cleaned = substring_dedup(table(spark, sf_dir, "documents"))
-    return cleaned.select("doc_id", "n_sentences", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+    return cleaned.select("doc_id", "n_removed", "n_spans", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
 
 
 TOOL_SCHEMAS = {

@@ -1,44 +1,145 @@
-"""Substring dedup: runs of several consecutive sentences are hashed, joined globally, and later copies removed."""
+"""Substring dedup: runs of several consecutive sentences are hashed, joined globally, and later copies cut out of the text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import hashlib
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StringType, StructType
 
-from tallyloom.llm.common import stored
 from tallyloom.session import checkpointed
 
-# A sentence ends after . ! ? (with closing quotes or brackets) before blanks, or at a line end; one of more than
-# 16 words is cut every 16 words, so that a long passage holds several sentences however it is written.
-SENTENCE_END = r"""([.!?]['")\]]*)[ \t]+"""
-SENTENCE = r"(?:[^\x20\x09-\x0D]+[ \t]+){0,15}[^\x20\x09-\x0D]+"
-WORD = r"[^\x20\x09-\x0D]+"
+SPACES = b" \t\n\r\x0b\x0c"
+# A word with the blanks after it; words and blanks are ASCII-separated, so the work is done on UTF-8 bytes.
+TOKEN = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
+WORD_START = re.compile(rb"[\x20\x09-\x0D](?=[^\x20\x09-\x0D])")
+SENTENCE_END = re.compile(rb"""[.!?]['")\]]*[\x20\x09-\x0D]*\Z|[\x0A-\x0D]""")
+# Words scanned, runs sent on, and ranks remembered at a time.
+STEP_BYTES, BATCH_RUNS, MOST_RANKS = 4 * 2**20, 20_000, 100_000
+CUT = StructType().add("kept", StringType()).add("n_removed", LongType()).add("n_spans", LongType())
+
+
+class _Ranks(dict):
+    """Rank of a word as a place to end a sentence: words at sentence and line ends first, then by digest."""
+
+    def __missing__(self, token: bytes) -> int:
+        rank = int.from_bytes(hashlib.md5(token.rstrip(SPACES)).digest()[:7], "big")
+        if not SENTENCE_END.search(token):
+            rank |= 1 << 56
+        if len(self) < MOST_RANKS and len(token) <= 64:
+            self[token] = rank
+        return rank
+
+
+def sentences(text: bytes, ranks: _Ranks, reach: int, most_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Byte offset of every word (and the text's length), and the number of each sentence's first word (and of all words).
+
+    A sentence ends after a word that ranks before the ``reach`` words on either side. So ends depend on the words
+    near them only: a passage is cut alike wherever it stands, a long sentence is cut inside, and lines of a word or
+    two are joined. Where words repeat so evenly that none ranks first, a cut falls every ``most_words`` words.
+    """
+    at = len(text) - len(text.lstrip(SPACES))
+    starts, values = [], []
+    while at < len(text):
+        gap = WORD_START.search(text, at + STEP_BYTES)
+        end = gap.end() if gap else len(text)
+        tokens = TOKEN.findall(text, at, end)
+        sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        starts.append(at + np.cumsum(sizes) - sizes)
+        values.append(np.fromiter(map(ranks.__getitem__, tokens), np.int64, len(tokens)))
+        at = end
+    if not starts:
+        return np.array([len(text)]), np.array([0])
+    offsets, value = np.concatenate([*starts, [len(text)]]), np.concatenate(values)
+    ends = np.ones(len(value), bool)
+    for k in range(1, min(reach, len(value) - 1) + 1):
+        ends[k:] &= value[k:] < value[:-k]
+        ends[:-k] &= value[:-k] <= value[k:]
+    edges = np.concatenate([[0], np.flatnonzero(ends[:-1]) + 1, [len(value)]])
+    long = np.flatnonzero(np.diff(edges) > most_words)
+    more = [np.arange(edges[i] + most_words, edges[i + 1], most_words) for i in long]
+    return offsets, np.sort(np.concatenate([edges, *more])) if more else edges
+
 
+def run_places(edges: np.ndarray, length: int, least_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and past-last sentence of every run: ``length`` sentences, or more until they hold ``least_words`` words."""
+    count = len(edges) - 1
+    first = np.arange(max(1, count - length + 1))
+    last = np.maximum(first + min(length, count), np.searchsorted(edges, edges[first] + least_words))
+    return first[last <= count], last[last <= count]
 
-def _sentences(text: Column) -> Column:
-    marked = F.regexp_replace(F.coalesce(text, F.lit("")), SENTENCE_END, "$1\n")
-    return F.regexp_extract_all(marked, F.lit(SENTENCE), F.lit(0))
 
+def _hashed_runs(length: int, least_words: int, reach: int, most_words: int):
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = _Ranks()
+        for batch in batches:
+            ids, r1, r2, texts = (batch.column(c) for c in ("id", "r1", "r2", "text"))
+            held, digests, count = [], [], 0
 
-def _runs(sentences: Column, length: int, least_words: int) -> Column:
-    """(position, hash) of each run of ``length`` sentences with at least ``least_words`` words; positions from 0."""
-    at = F.sequence(F.lit(0), F.size(sentences) - length)
-    run = lambda i: F.array_join(F.slice(sentences, i + 1, length), "\n")
-    hashed = F.transform(at, lambda i: F.struct(i.alias("at"), run(i).alias("run")))
-    long_enough = F.filter(hashed, lambda r: F.regexp_count(r["run"], F.lit(WORD)) >= least_words)
-    pairs = F.transform(long_enough, lambda r: F.struct(r["at"].alias("at"), F.xxhash64(r["run"], F.lit(7)).alias("hash")))
-    return F.when(F.size(sentences) >= length, pairs).otherwise(F.array().cast("array<struct<at:int,hash:bigint>>"))
+            def out() -> pa.RecordBatch:
+                rows, *places = (np.concatenate(c) for c in zip(*held))
+                hashes = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
+                taken = [c.take(pa.array(rows)) for c in (ids, r1, r2)]
+                numbers = [pa.array(c, pa.int64()) for c in (*places, hashes[:, 0], hashes[:, 1])]
+                return pa.RecordBatch.from_arrays([*taken, *numbers], ["id", "r1", "r2", "at", "to", "start", "end", "h1", "h2"])
 
+            for row in range(batch.num_rows):
+                text = texts[row].as_py() or b""
+                offsets, edges = sentences(text, ranks, reach, most_words)
+                first, last = run_places(edges, length, least_words)
+                for k in range(0, len(first), BATCH_RUNS):
+                    a, b = first[k : k + BATCH_RUNS], last[k : k + BATCH_RUNS]
+                    start, end = offsets[edges[a]], offsets[edges[b]]
+                    held.append((np.full(len(a), row), a, b, start, end))
+                    digests += [hashlib.md5(b" ".join(text[s:e].split())).digest() for s, e in zip(start.tolist(), end.tolist())]
+                    count += len(a)
+                    if count >= BATCH_RUNS:
+                        yield out()
+                        held, digests, count = [], [], 0
+            if held:
+                yield out()
 
-def repeated_spans(rows: DataFrame, length: int, least_words: int) -> DataFrame:
-    """``row`` and ``at`` of every run in ``rows`` (id, row, text) that is not the first of its kind; the first has the least (id, row, position)."""
-    split = rows.select("id", "row", _sentences(F.col("text")).alias("sentences"))
-    spans = split.select("id", "row", F.explode_outer(_runs(F.col("sentences"), length, least_words)).alias("run")).filter("run IS NOT NULL")
-    spans = stored(spans.select("id", "row", "run.at", "run.hash"), "spans")
-    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "at")
-    first = spans.groupBy("hash").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    first = checkpointed(first.select("hash", F.col("first.row").alias("first_row"), F.col("first.at").alias("first_at")))
-    again = spans.join(first, "hash")
-    return again.filter((F.col("row") != F.col("first_row")) | (F.col("at") != F.col("first_at"))).select("row", "at")
+    return hashed
+
+
+def repeated_spans(rows: DataFrame, length: int, least_words: int, reach: int, most_words: int) -> DataFrame:
+    """``r1, r2, at, to, start, end`` of every run in ``rows`` (id, r1, r2, text in bytes) that is not the first of its kind.
+
+    The first has the least (id, row, position), a null id last.
+    """
+    kind = dict(rows.dtypes)["id"]
+    schema = f"id {kind}, r1 long, r2 long, at long, to long, start long, end long, h1 long, h2 long"
+    spans = rows.mapInArrow(_hashed_runs(length, least_words, reach, most_words), schema)
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "r1", "r2", "at")
+    first = spans.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    first = checkpointed(first.select("h1", "h2", *[F.col(f"first.{c}").alias(f"first_{c}") for c in ("r1", "r2", "at")]))
+    again = spans.drop("id").join(first, ["h1", "h2"])
+    return again.filter("r1 <> first_r1 OR r2 <> first_r2 OR at <> first_at").select("r1", "r2", "at", "to", "start", "end")
+
+
+@F.pandas_udf(CUT)
+def _cut(text: pd.Series, spans: pd.Series) -> pd.DataFrame:
+    """The text without the union of its spans; null where there are none."""
+    out = []
+    for whole, found in zip(text, spans):
+        if whole is None or found is None:
+            out.append((None, 0, 0))
+            continue
+        merged = []
+        for start, end, at, to in sorted((s["start"], s["end"], s["at"], s["to"]) for s in found):
+            if merged and start <= merged[-1][1]:
+                merged[-1][1], merged[-1][3] = max(merged[-1][1], end), max(merged[-1][3], to)
+            else:
+                merged.append([start, end, at, to])
+        edges = [0, *[x for start, end, _, _ in merged for x in (start, end)], len(whole)]
+        kept = b"".join(whole[a:b] for a, b in zip(edges[::2], edges[1::2]))
+        out.append((kept.decode("utf-8"), sum(to - at for _, _, at, to in merged), len(merged)))
+    return pd.DataFrame(out, columns=["kept", "n_removed", "n_spans"])
 
 
 def substring_dedup(
@@ -47,35 +148,39 @@ def substring_dedup(
     text_col: str = "text",
     length: int = 3,
     least_words: int = 10,
+    reach: int = 3,
+    most_words: int = 64,
 ) -> DataFrame:
-    """``docs`` with ``n_sentences``, ``n_removed`` and ``kept_text``: sentences in any non-first repeated span are gone.
-
-    A span is a run of ``length`` consecutive sentences with ``least_words`` words or more; spans overlap. All spans
-    are hashed and meet by hash: the first keeps its place, the sentences of every other one are removed, copies
-    inside one document included. What is first is judged on the input. Only hashes and positions shuffle; the
-    first places are stored, so that adaptive execution can split the join at a span that a third of all documents
-    share. Kept sentences stand on lines of their own.
-
-    A null or empty text has no sentences and an empty ``kept_text``; a document of fewer sentences has no span and
-    stays whole. Ids may repeat or be null (null comes last); rows are told apart by a hash of id and text, so
-    that equal rows share the fate of the first. All columns pass through, one named like an added column with the
-    suffix "_in"; an empty table gives no rows.
+    """``docs`` with ``n_removed``, ``n_spans`` and ``kept_text``: what any non-first repeated span covers is cut out.
+
+    A span is a run of ``length`` consecutive sentences, of more where those hold fewer than ``least_words`` words;
+    spans overlap, and a document of fewer sentences is one span if it has the words. Sentences are cut by
+    ``sentences``. Spans are equal if their words are (blanks may differ; 128-bit digests). All spans are hashed and
+    meet by hash: the first keeps its place, every other one goes, copies inside one document included. What is
+    first is judged on the input. Only hashes and places shuffle before the last join; the first places are
+    stored, so that adaptive execution can split the join at a span that a third of all documents share.
+
+    ``kept_text`` is the text itself where nothing was removed, and otherwise the text without the bytes from each
+    removed sentence's first word to the next kept one's. ``n_removed`` counts sentences, ``n_spans`` maximal runs of them.
+
+    A null text stays null, an empty one empty. Ids may repeat or be null (null comes last); rows are told apart
+    by two 64-bit hashes of id and text, so that equal rows share the fate of the first. All columns pass through, one
+    named like an added column with the suffix "_in"; an empty table gives no rows.
     """
     # Under neutral names no column of the input clashes, and unused ones are still pruned.
     names = {c: f"__{k}" for k, c in enumerate(docs.columns)}
     ident, text = names[id_col], names[text_col]
     rows = docs.toDF(*names.values())
-    rows = rows.withColumn("row", F.xxhash64(ident, text, F.lit(3)))
-    later = repeated_spans(rows.select(F.col(ident).alias("id"), "row", F.col(text).alias("text")), length, least_words)
-    cover = later.groupBy("row").agg(F.collect_set("at").alias("spans"))
-    whole = rows.join(checkpointed(cover), "row", "left").withColumn("sentences", _sentences(F.col(text)))
-    spans = F.coalesce("spans", F.array().cast("array<int>"))
-    whole = whole.withColumn("gone", F.array_distinct(F.flatten(F.transform(spans, lambda a: F.sequence(a, a + length - 1)))))
-    kept = F.filter("sentences", lambda s, i: ~F.array_contains("gone", i))
+    rows = rows.withColumns({r: F.xxhash64(F.lit(seed), ident, text) for r, seed in (("r1", 3), ("r2", 5))})
+    source = rows.select(F.col(ident).alias("id"), "r1", "r2", F.col(text).cast("binary").alias("text"))
+    later = repeated_spans(source, length, least_words, reach, most_words)
+    cover = later.groupBy("r1", "r2").agg(F.collect_set(F.struct("at", "to", "start", "end")).alias("spans"))
+    whole = rows.join(checkpointed(cover), ["r1", "r2"], "left")
+    whole = whole.withColumn("cut", _cut(F.when(F.col("spans").isNotNull(), F.col(text).cast("binary")), F.col("spans")))
     out = {
-        "n_sentences": F.size("sentences").cast("long"),
-        "n_removed": F.size("gone").cast("long"),
-        "kept_text": F.array_join(kept, "\n"),
+        "n_removed": F.col("cut.n_removed"),
+        "n_spans": F.col("cut.n_spans"),
+        "kept_text": F.coalesce("cut.kept", F.col(text)),
     }
     own = [F.col(n).alias(f"{c}_in" if c in out else c) for c, n in names.items()]
     return whole.select(*own, *[c.alias(n) for n, c in out.items()])

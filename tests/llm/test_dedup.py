@@ -215,41 +215,93 @@ def test_suffix_dedup_refuses_short_strings(spark):
         suffix_dedup(_frame(spark, ODD), length=20)
 
 
-def _sentences(text):
-    marked = re.sub(r"""([.!?]['")\]]*)[ \t]+""", "\\1\n", text or "")
-    return re.findall(r"(?:[^\x20\x09-\x0D]+[ \t]+){0,15}[^\x20\x09-\x0D]+", marked)
+def _span_pieces(text, reach=3, most=64):
+    """Words with their blanks, and the sentences as (first, past last) word numbers, one word at a time."""
+    tokens = re.findall(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", text or "")
+    rank = []
+    for t in tokens:
+        ends = re.search(r"""[.!?]['")\]]*[\x20\x09-\x0D]*\Z""", t) or re.search(r"[\x0A-\x0D]", t)
+        rank.append((0 if ends else 1, hashlib.md5(re.sub(r"[\x20\x09-\x0D]+\Z", "", t).encode()).hexdigest()[:14]))
+    pieces, start = [], 0
+    for i in range(len(tokens)):
+        lowest = all(rank[i] < rank[j] for j in range(max(0, i - reach), i)) and all(rank[i] <= r for r in rank[i + 1 : i + 1 + reach])
+        if lowest or i + 1 - start == most or i + 1 == len(tokens):
+            pieces.append((start, i + 1))
+            start = i + 1
+    return tokens, pieces
+
+
+def _brute_spans(pairs, length=3, least=10):
+    """(n_removed, n_spans, kept text) by id, of documents with different ids."""
+    seen, out = set(), {}
+    for i, t in sorted(pairs):
+        tokens, pieces = _span_pieces(t)
+        gone = set()
+        for k in range(len(pieces) - length + 1) if len(pieces) >= length else [0] if pieces else []:
+            last = min(k + length, len(pieces))
+            while last < len(pieces) and pieces[last - 1][1] - pieces[k][0] < least:
+                last += 1
+            if pieces[last - 1][1] - pieces[k][0] >= least:
+                run = tuple(w.strip(" \t\n\r\x0b\x0c") for w in tokens[pieces[k][0] : pieces[last - 1][1]])
+                gone |= set(range(k, last)) if run in seen else set()
+                seen.add(run)
+        blanks = re.match(r"[\x20\x09-\x0D]*", t or "").group()
+        kept = blanks + "".join("".join(tokens[a:b]) for k, (a, b) in enumerate(pieces) if k not in gone)
+        out[i] = (len(gone), sum(k - 1 not in gone for k in gone), kept)
+    return out
 
 
 def test_sentence_spans(spark):
     rng = random.Random(7)
     passages = [" ".join(_text(rng, rng.randint(3, 20)).capitalize() + "." for _ in range(5)) for _ in range(3)]
-    passages.append(_text(rng, 60))  # one long sentence
+    passages += [_text(rng, 60), "\n".join(_text(rng, 2) for _ in range(40)), "same words " * 100]
     pairs = [p for p in ODD if p[0] not in (None, 96)]
-    for k in range(40):
+    for k in range(60):
         parts = [rng.choice(passages) if rng.random() < 0.4 else _text(rng, rng.randint(1, 30)) + "!" for _ in range(rng.randint(1, 5))]
-        pairs.append((100 + k, rng.choice([" ", "\n"]).join(parts)))
+        pairs.append((100 + k, rng.choice(["", "\n \t"]) + rng.choice([" ", "\n", "\r\n\n", "\x0b\t"]).join(parts)))
+    texts, want = dict(pairs), _brute_spans(pairs)
     got = {r["doc_id"]: r for r in substring_dedup(_frame(spark, pairs)).collect()}
-    seen, gone, pieces = set(), {}, {}
-    for i, t in sorted(pairs):
-        pieces[i] = p = _sentences(t)
-        for k in range(len(p) - 2):
-            run = "\n".join(p[k : k + 3])
-            if len(run.split()) >= 10:
-                if run in seen:
-                    gone.setdefault(i, set()).update(range(k, k + 3))
-                seen.add(run)
-    assert set(got) == {i for i, _ in pairs}
+    assert set(got) == set(want) and any(w[1] > 1 for w in want.values())
     for i, r in got.items():
-        left = gone.get(i, set())
-        assert (r["n_sentences"], r["n_removed"]) == (len(pieces[i]), len(left))
-        assert r["kept_text"] == "\n".join(p for k, p in enumerate(pieces[i]) if k not in left)
+        assert (r["n_removed"], r["n_spans"], r["kept_text"] or "") == want[i], i
+        assert r["n_removed"] or r["kept_text"] == texts[i]
         assert r["digest"] == "x" and r["key"] == "y"
 
 
+def test_sentence_spans_find_passages_however_they_stand(spark):
+    """Passages that begin inside a sentence, and in lines of two words, go for the most part; the text around them stays."""
+    rng = random.Random(11)
+    pairs, passages = [], []
+    for k in range(120):
+        sep = [" ", "\n"][k % 2]
+        words = _text(rng, 80).split()
+        passage = sep.join(" ".join(words[j : j + 2]) for j in range(0, 80, 2)) if k % 2 else " ".join(words)
+        around = [_text(rng, 7), _text(rng, 9), _text(rng, 12), _text(rng, 5)]
+        passages.append((words, around))
+        pairs += [(k, f"{around[0]} {passage} {around[1]}"), (1000 + k, f"{around[2]} {passage} {around[3]}")]
+    pairs += [(5000, "\n".join(f"line {k}" for k in range(60))), (5001, "\n".join(f"line {k}" for k in range(60)))]
+    got = {r["doc_id"]: r for r in substring_dedup(_frame(spark, pairs)).collect()}
+    left = []
+    for k, (words, around) in enumerate(passages):
+        assert got[k]["n_removed"] == 0 and got[k]["kept_text"] == dict(pairs)[k]
+        kept = got[1000 + k]["kept_text"].split()
+        assert kept[:12] == around[2].split() and kept[-5:] == around[3].split()
+        left.append(len(kept) - 17)
+    assert sum(left) <= 0.3 * 80 * len(left) and sum(x > 40 for x in left) <= 2
+    assert got[5001]["kept_text"] == "" and got[5000]["n_removed"] == 0
+
+
+def test_sentence_spans_of_one_text_with_many_sentences(spark):
+    rng = random.Random(5)
+    text = " ".join(f"w{rng.randrange(50_000)} is said of {rng.randrange(10**6)} here today." for _ in range(100_000))
+    got = {r["doc_id"]: r for r in substring_dedup(_frame(spark, [(1, text), (2, "Before it all. " + text)])).collect()}
+    assert got[1]["kept_text"] == text and len(got[2]["kept_text"]) < 200
+
+
 def test_sentence_spans_clashing_columns(spark):
     docs = spark.createDataFrame([(1, "a b", 5, "r", "t")], "doc_id long, text string, n_removed int, row string, doc string")
     assert substring_dedup(docs).first().asDict() == {
-        "doc_id": 1, "text": "a b", "n_removed_in": 5, "row": "r", "doc": "t", "n_sentences": 1, "n_removed": 0, "kept_text": "a b",
+        "doc_id": 1, "text": "a b", "n_removed_in": 5, "row": "r", "doc": "t", "n_removed": 0, "n_spans": 0, "kept_text": "a b",
     }
 
 
@@ -259,15 +311,15 @@ def test_very_long_texts(spark):
     assert exact_dedup(docs).filter("kept").count() == 3
     assert near_duplicates(docs).filter("kept").count() == 3
     assert {r["doc_id"]: len(r["kept"]) > 0 for r in suffix_dedup(docs).collect()} == {1: True, 2: True, 3: False, 4: True}
-    assert substring_dedup(docs).filter("n_sentences > 0").count() == 4
+    assert {r["doc_id"]: r["n_spans"] for r in substring_dedup(docs).collect()}[3] == 1
     items = spark.createDataFrame([(1, "word word word word word word")], "item_id long, text string")
     assert sorted(r["doc_id"] for r in contaminated(docs, items).collect()) == [1, 3]
 
 
 def test_sentence_spans_null_ids(spark):
     passage = "One short sentence stands here. Another short one follows it. And the third one ends it all."
-    got = substring_dedup(_frame(spark, [(None, passage), (5, passage), (5, passage)])).collect()
-    assert sorted((str(r["doc_id"]), r["n_removed"]) for r in got) == [("5", 0), ("5", 0), ("None", 3)]
+    got = substring_dedup(_frame(spark, [(None, passage), (5, passage), (5, passage), (None, None)])).collect()
+    assert sorted((str(r["doc_id"]), str(r["kept_text"])) for r in got) == [("5", passage), ("5", passage), ("None", ""), ("None", "None")]
 
 
 ITEMS = [(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"), (2, "Short, one here"), (3, None), (4, ""), (5, "q w e r t y u i o p a s d f g h j k l z"), (None, "a null item id has words as well")]
