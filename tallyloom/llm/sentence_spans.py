@@ -9,9 +9,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructType
+from xxhash import xxh3_128_digest
 
+from tallyloom.llm.common import stored
 from tallyloom.session import checkpointed
 
 SPACES = b" \t\n\r\x0b\x0c"
@@ -76,27 +79,30 @@ def run_places(edges: np.ndarray, length: int, least_words: int) -> tuple[np.nda
 
 def _hashed_runs(length: int, least_words: int, reach: int, most_words: int):
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = _Ranks()
+        ranks, doc = _Ranks(), TaskContext.get().partitionId() << 33
         for batch in batches:
-            ids, r1, r2, texts = (batch.column(c) for c in ("id", "r1", "r2", "text"))
+            owners = [batch.column(c) for c in ("id", "r1", "r2")]
             held, digests, count = [], [], 0
 
             def out() -> pa.RecordBatch:
-                rows, *places = (np.concatenate(c) for c in zip(*held))
+                rows, docs, at = (np.concatenate(c) for c in zip(*held))
                 hashes = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
-                taken = [c.take(pa.array(rows)) for c in (ids, r1, r2)]
-                numbers = [pa.array(c, pa.int64()) for c in (*places, hashes[:, 0], hashes[:, 1])]
-                return pa.RecordBatch.from_arrays([*taken, *numbers], ["id", "r1", "r2", "at", "to", "start", "end", "h1", "h2"])
+                taken = [c.take(pa.array(rows)) for c in owners]
+                numbers = [pa.array(c, pa.int64()) for c in (docs, at, hashes[:, 0], hashes[:, 1])]
+                return pa.RecordBatch.from_arrays([*taken, *numbers], ["id", "r1", "r2", "doc", "at", "h1", "h2"])
 
-            for row in range(batch.num_rows):
-                text = texts[row].as_py() or b""
-                offsets, edges = sentences(text, ranks, reach, most_words)
+            for row, cell in enumerate(batch.column("text")):
+                text, doc = cell.as_py() or b"", doc + 1
+                _, edges = sentences(text, ranks, reach, most_words)
                 first, last = run_places(edges, length, least_words)
+                words = text.split() if len(first) else []
+                joined = b" ".join(words)
+                begin = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)])
                 for k in range(0, len(first), BATCH_RUNS):
                     a, b = first[k : k + BATCH_RUNS], last[k : k + BATCH_RUNS]
-                    start, end = offsets[edges[a]], offsets[edges[b]]
-                    held.append((np.full(len(a), row), a, b, start, end))
-                    digests += [hashlib.md5(b" ".join(text[s:e].split())).digest() for s, e in zip(start.tolist(), end.tolist())]
+                    held.append((np.full(len(a), row), np.full(len(a), doc), a))
+                    places = zip(begin[edges[a]].tolist(), (begin[edges[b]] - 1).tolist())
+                    digests += [xxh3_128_digest(joined[s:e]) for s, e in places]
                     count += len(a)
                     if count >= BATCH_RUNS:
                         yield out()
@@ -108,38 +114,49 @@ def _hashed_runs(length: int, least_words: int, reach: int, most_words: int):
 
 
 def repeated_spans(rows: DataFrame, length: int, least_words: int, reach: int, most_words: int) -> DataFrame:
-    """``r1, r2, at, to, start, end`` of every run in ``rows`` (id, r1, r2, text in bytes) that is not the first of its kind.
+    """``r1, r2, at`` of every run in ``rows`` (id, r1, r2, text in bytes) that is not the first of its kind.
 
-    The first has the least (id, row, position), a null id last.
+    The first has the least (id, row, position), a null id last. Half the hash is counted first; only runs whose half
+    occurs again go on with their owner's id and keys, under a number of the document until then.
     """
     kind = dict(rows.dtypes)["id"]
-    schema = f"id {kind}, r1 long, r2 long, at long, to long, start long, end long, h1 long, h2 long"
-    spans = rows.mapInArrow(_hashed_runs(length, least_words, reach, most_words), schema)
+    schema = f"id {kind}, r1 long, r2 long, doc long, at long, h1 long, h2 long"
+    spans = stored(rows.mapInArrow(_hashed_runs(length, least_words, reach, most_words), schema), "spans")
+    twice = checkpointed(spans.groupBy("h1").agg(F.count("*").alias("n")).filter("n > 1").select("h1"))
+    owners = spans.select("doc", "id", "r1", "r2").distinct()
+    spans = stored(spans.select("doc", "at", "h1", "h2").join(twice, "h1").join(owners, "doc").drop("doc"), "spans")
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "r1", "r2", "at")
     first = spans.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
     first = checkpointed(first.select("h1", "h2", *[F.col(f"first.{c}").alias(f"first_{c}") for c in ("r1", "r2", "at")]))
     again = spans.drop("id").join(first, ["h1", "h2"])
-    return again.filter("r1 <> first_r1 OR r2 <> first_r2 OR at <> first_at").select("r1", "r2", "at", "to", "start", "end")
-
-
-@F.pandas_udf(CUT)
-def _cut(text: pd.Series, spans: pd.Series) -> pd.DataFrame:
-    """The text without the union of its spans; null where there are none."""
-    out = []
-    for whole, found in zip(text, spans):
-        if whole is None or found is None:
-            out.append((None, 0, 0))
-            continue
-        merged = []
-        for start, end, at, to in sorted((s["start"], s["end"], s["at"], s["to"]) for s in found):
-            if merged and start <= merged[-1][1]:
-                merged[-1][1], merged[-1][3] = max(merged[-1][1], end), max(merged[-1][3], to)
-            else:
-                merged.append([start, end, at, to])
-        edges = [0, *[x for start, end, _, _ in merged for x in (start, end)], len(whole)]
-        kept = b"".join(whole[a:b] for a, b in zip(edges[::2], edges[1::2]))
-        out.append((kept.decode("utf-8"), sum(to - at for _, _, at, to in merged), len(merged)))
-    return pd.DataFrame(out, columns=["kept", "n_removed", "n_spans"])
+    return again.filter("r1 <> first_r1 OR r2 <> first_r2 OR at <> first_at").select("r1", "r2", "at")
+
+
+def _cutter(length: int, least_words: int, reach: int, most_words: int):
+    ranks = _Ranks()
+
+    @F.pandas_udf(CUT)
+    def cut(text: pd.Series, spans: pd.Series) -> pd.DataFrame:
+        """The text without the union of the runs that begin at the given sentences; null where there are none."""
+        out = []
+        for whole, found in zip(text, spans):
+            if whole is None or found is None:
+                out.append((None, 0, 0))
+                continue
+            offsets, edges = sentences(whole, ranks, reach, most_words)
+            first, last = run_places(edges, length, least_words)
+            depth = np.zeros(len(edges), np.int64)
+            chosen = np.searchsorted(first, np.sort(found))
+            np.add.at(depth, first[chosen], 1)
+            np.add.at(depth, last[chosen], -1)
+            gone = np.cumsum(depth) > 0
+            turns = np.flatnonzero(np.diff(gone, prepend=False))
+            bounds = [0, *offsets[edges[turns]].tolist(), len(whole)]
+            kept = b"".join(whole[a:b] for a, b in zip(bounds[::2], bounds[1::2]))
+            out.append((kept.decode("utf-8"), int(gone.sum()), len(turns) // 2))
+        return pd.DataFrame(out, columns=["kept", "n_removed", "n_spans"])
+
+    return cut
 
 
 def substring_dedup(
@@ -150,6 +167,7 @@ def substring_dedup(
     least_words: int = 10,
     reach: int = 3,
     most_words: int = 64,
+    broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """``docs`` with ``n_removed``, ``n_spans`` and ``kept_text``: what any non-first repeated span covers is cut out.
 
@@ -157,8 +175,10 @@ def substring_dedup(
     spans overlap, and a document of fewer sentences is one span if it has the words. Sentences are cut by
     ``sentences``. Spans are equal if their words are (blanks may differ; 128-bit digests). All spans are hashed and
     meet by hash: the first keeps its place, every other one goes, copies inside one document included. What is
-    first is judged on the input. Only hashes and places shuffle before the last join; the first places are
-    stored, so that adaptive execution can split the join at a span that a third of all documents share.
+    first is judged on the input. Only hashes and places shuffle before the last join; repeated halves and first
+    places are stored, so that adaptive execution can split the joins at a span that a third of all documents share.
+    Texts move only where something goes: the keys of those rows are broadcast, 16 bytes each, up to
+    ``broadcast_rows`` of them; beyond that all texts meet their spans by shuffle.
 
     ``kept_text`` is the text itself where nothing was removed, and otherwise the text without the bytes from each
     removed sentence's first word to the next kept one's. ``n_removed`` counts sentences, ``n_spans`` maximal runs of them.
@@ -173,10 +193,17 @@ def substring_dedup(
     rows = docs.toDF(*names.values())
     rows = rows.withColumns({r: F.xxhash64(F.lit(seed), ident, text) for r, seed in (("r1", 3), ("r2", 5))})
     source = rows.select(F.col(ident).alias("id"), "r1", "r2", F.col(text).cast("binary").alias("text"))
-    later = repeated_spans(source, length, least_words, reach, most_words)
-    cover = later.groupBy("r1", "r2").agg(F.collect_set(F.struct("at", "to", "start", "end")).alias("spans"))
-    whole = rows.join(checkpointed(cover), ["r1", "r2"], "left")
-    whole = whole.withColumn("cut", _cut(F.when(F.col("spans").isNotNull(), F.col(text).cast("binary")), F.col("spans")))
+    rules = (length, least_words, reach, most_words)
+    cover = repeated_spans(source, *rules).groupBy("r1", "r2").agg(F.collect_set("at").alias("spans"))
+    cover = checkpointed(cover)
+    if cover.count() <= broadcast_rows:
+        keys = F.broadcast(cover.select("r1", "r2"))
+        whole = rows.join(keys, ["r1", "r2"], "left_semi").join(cover, ["r1", "r2"])
+        whole = whole.unionByName(rows.join(keys, ["r1", "r2"], "left_anti"), allowMissingColumns=True)
+    else:
+        whole = rows.join(cover, ["r1", "r2"], "left")
+    text_bytes = F.when(F.col("spans").isNotNull(), F.col(text).cast("binary"))
+    whole = whole.withColumn("cut", _cutter(*rules)(text_bytes, F.col("spans")))
     out = {
         "n_removed": F.col("cut.n_removed"),
         "n_spans": F.col("cut.n_spans"),

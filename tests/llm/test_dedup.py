@@ -261,6 +261,7 @@ def test_sentence_spans(spark):
         pairs.append((100 + k, rng.choice(["", "\n \t"]) + rng.choice([" ", "\n", "\r\n\n", "\x0b\t"]).join(parts)))
     texts, want = dict(pairs), _brute_spans(pairs)
     got = {r["doc_id"]: r for r in substring_dedup(_frame(spark, pairs)).collect()}
+    assert sorted(substring_dedup(_frame(spark, pairs), broadcast_rows=0).collect(), key=str) == sorted(got.values(), key=str)
     assert set(got) == set(want) and any(w[1] > 1 for w in want.values())
     for i, r in got.items():
         assert (r["n_removed"], r["n_spans"], r["kept_text"] or "") == want[i], i
