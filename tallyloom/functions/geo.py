@@ -28,6 +28,24 @@ def distance_miles(lat1, lon1, lat2, lon2) -> Column:
     return F.lit(2 * EARTH_RADIUS_MILES) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
 
 
+def sphere_mean(lat: str | Column, lon: str | Column) -> Column:
+    """Aggregate: the middle of points as ``struct<lat,lon>``, by their mean unit vector, so that the date line is no edge.
+
+    NULL without points and for points that balance (two opposite ones), which have no middle.
+    """
+    lat, lon = F.radians(col(lat)), F.radians(col(lon))
+    x, y, z = F.avg(F.cos(lat) * F.cos(lon)), F.avg(F.cos(lat) * F.sin(lon)), F.avg(F.sin(lat))
+    flat = F.sqrt(x * x + y * y)
+    made = F.struct(F.degrees(F.atan2(z, flat)).alias("lat"), F.degrees(F.atan2(y, x)).alias("lon"))
+    return F.when(F.sqrt(x * x + y * y + z * z) > 1e-9, made)
+
+
+def multipoint(points: Column) -> Column:
+    """WKT of an array of ``struct<lon,lat>`` in decimals; NULL for NULL."""
+    parts = F.transform(points, lambda p: F.concat_ws(" ", p["lon"].cast("string"), p["lat"].cast("string")))
+    return F.concat(F.lit("MULTIPOINT("), F.array_join(parts, ", "), F.lit(")"))
+
+
 def cardinal(lat1, lon1, lat2, lon2) -> Column:
     """Compass point (eight sectors) of the way from point 1 to point 2; NULL for the same point."""
     same = (col(lat1) == col(lat2)) & (col(lon1) == col(lon2))

@@ -174,15 +174,23 @@ def lookup_replace_table(
     return joined.withColumn(name or col, out).drop("__key", "__value")
 
 
-def append_fields(target: DataFrame, source: DataFrame) -> DataFrame:
-    """Put the fields of a one-row table on every row.
+def append_fields(target: DataFrame, source: DataFrame, max_rows: int = 1) -> DataFrame:
+    """Put the fields of a small table on every row; a table of several rows repeats the target's rows for each.
 
-    The row arrives as a scalar subquery: no join at all. More than one source row stops the
-    query, and an empty source gives an empty result.
+    The rows arrive as a scalar subquery: no join at all. The table has at most ``max_rows`` rows: more stop the
+    query, and an empty one gives an empty result. At most ``max_rows + 1`` rows ever reach one task.
     """
-    row = source.select(F.struct(*source.columns).alias("__row")).scalar()
-    out = target.withColumn("__row", row).filter(F.col("__row").isNotNull())
-    return out.select(*target.columns, *[F.col("__row")[c].alias(c) for c in source.columns])
+    if max_rows < 1:
+        raise ValueError("max_rows must be 1 or more")
+    fields = [F.col("__row")[f"f{k}"].alias(c) for k, c in enumerate(source.columns)]
+    packed = F.struct(*[F.col(f"`{c}`").alias(f"f{k}") for k, c in enumerate(source.columns)]).alias("__row")
+    own = [F.col(f"`{c}`") for c in target.columns]
+    if max_rows == 1:
+        return target.withColumn("__row", source.select(packed).scalar()).filter("__row IS NOT NULL").select(*own, *fields)
+    rows = source.select(packed).limit(max_rows + 1).agg(F.collect_list("__row").alias("rows"))
+    message = F.lit(f"more than {max_rows} rows to append")
+    rows = rows.select(F.when(F.size("rows") > max_rows, F.raise_error(message)).otherwise(F.col("rows")))
+    return target.select("*", F.explode(rows.scalar()).alias("__row")).select(*own, *fields)
 
 
 def join_multiple(tables: Mapping[str, DataFrame], on: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tallyloom.functions import formulas as fx
+from tallyloom.functions import formulas as fx, geo as gfx
 from tallyloom.functions.lookups import US_STATES
 from tallyloom.operators import aggs, geo as gx, joins, rows, windows
 
@@ -285,11 +285,21 @@ BUCKET_DEFAULT = " < 5 Miles"
 
 
 def trade_area_summary(customers: DataFrame, stores: DataFrame, key: str, miles: float = 5.0) -> DataFrame:
-    """Per customer the nearest store, its distance, and the stores whose trade area covers them."""
+    """Per customer the nearest store, its distance, and the stores whose trade area covers them.
+
+    Their areas combined are circles of ``RadiusSize`` around the points of ``CombinedArea``, a WKT of
+    distinct points to five decimals, west to east; ``CentroidLat`` and ``CentroidLon`` are the middle of the covering stores on the sphere. All
+    NULL where no area covers the customer.
+    """
     place = customers.select(key, "lat", "lon")
+    five = lambda c: F.round(F.col(c).cast("decimal(28,8)"), 5).cast("decimal(9,5)")
     covering = gx.within_radius(place, stores, miles).groupBy(key).agg(
-        F.array_sort(F.collect_set("storeid")).alias("CoveringStores")
+        F.array_sort(F.collect_set("storeid")).alias("CoveringStores"),
+        gfx.sphere_mean("store_lat", "store_lon").alias("__middle"),
+        F.array_sort(F.collect_set(F.struct(five("store_lon").alias("lon"), five("store_lat").alias("lat")))).alias("__points"),
     )
+    middle = {"CentroidLat": F.col("__middle.lat"), "CentroidLon": F.col("__middle.lon")}
+    covering = covering.withColumns({**middle, "CombinedArea": gfx.multipoint(F.col("__points"))}).drop("__middle", "__points")
     near = gx.nearest_store(customers, stores)
     return near.join(covering, key, "left").withColumn("RadiusSize", F.lit(miles))
 

@@ -112,17 +112,27 @@ def nearest_store(spark, d):
 @query(
     "trade_area_summary",
     sql(
-        NEAREST + """, covering AS (
-  SELECT original_customerid, string_agg(storeid::VARCHAR, ',' ORDER BY storeid) AS s FROM pairs WHERE miles <= 5 GROUP BY 1)""",
+        NEAREST + """, near AS (
+  SELECT p.original_customerid, p.storeid, radians(latitude) AS a, radians(longitude) AS o, latitude::DECIMAL(9,5) AS y, longitude::DECIMAL(9,5) AS x
+  FROM pairs p JOIN geo ON locationid = p.storeid WHERE miles <= 5),
+middle AS (SELECT original_customerid, avg(cos(a) * cos(o)) AS mx, avg(cos(a) * sin(o)) AS my, avg(sin(a)) AS mz FROM near GROUP BY 1),
+points AS (SELECT original_customerid, 'MULTIPOINT(' || string_agg(x || ' ' || y, ', ' ORDER BY x, y) || ')' AS area
+  FROM (SELECT DISTINCT original_customerid, x, y FROM near) GROUP BY 1),
+covering AS (
+  SELECT original_customerid, string_agg(storeid::VARCHAR, ',' ORDER BY storeid) AS s FROM near GROUP BY 1)""",
         """SELECT n.original_customerid, storeid, round(miles::DECIMAL(28,8), 5) AS "Min_DistanceMiles", s AS "CoveringStores",
-  5.0 AS "RadiusSize" FROM nearest n LEFT JOIN covering c ON n.original_customerid = c.original_customerid""",
-        d="Min_DistanceMiles, RadiusSize",
+  round(degrees(atan2(mz, sqrt(mx * mx + my * my)))::DECIMAL(28,8), 5) AS "CentroidLat",
+  round(degrees(atan2(my, mx))::DECIMAL(28,8), 5) AS "CentroidLon", area AS "CombinedArea", 5.0 AS "RadiusSize"
+  FROM nearest n LEFT JOIN covering c ON n.original_customerid = c.original_customerid
+  LEFT JOIN middle m ON n.original_customerid = m.original_customerid LEFT JOIN points p ON n.original_customerid = p.original_customerid""",
+        d="Min_DistanceMiles, CentroidLat, CentroidLon, RadiusSize",
     ),
 )
 def trade_area_summary(spark, d):
     out = retail.trade_area_summary(model.geocoded_customers(spark, d), model.stores(spark, d), "original_customerid")
     stores = F.array_join("CoveringStores", ",").alias("CoveringStores")
-    return out.select("original_customerid", "storeid", _six("Min_DistanceMiles"), stores, "RadiusSize")
+    middle = [_six("CentroidLat"), _six("CentroidLon")]
+    return out.select("original_customerid", "storeid", _six("Min_DistanceMiles"), stores, *middle, "CombinedArea", "RadiusSize")
 
 
 @query(

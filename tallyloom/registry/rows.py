@@ -408,3 +408,17 @@ def append_scalar(spark, d):
     orders = model.table(spark, d, "orders").select("o_orderkey", "o_totalprice")
     totals = orders.agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("total"), F.count(F.lit(1)).alias("orders"))
     return joins.append_fields(orders, totals)
+
+
+@query(
+    "append_rows",
+    """SELECT c_custkey, c_mktsegment, status, orders, revenue FROM customer, (
+    SELECT o_orderstatus AS status, count(*) AS orders, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS revenue FROM orders GROUP BY 1)""",
+)
+def append_rows(spark, d):
+    """Customers with the totals of every order status."""
+    customers = model.table(spark, d, "customer").select("c_custkey", "c_mktsegment")
+    totals = model.table(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(
+        F.count(F.lit(1)).alias("orders"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("revenue")
+    )
+    return joins.append_fields(customers, totals, max_rows=16)

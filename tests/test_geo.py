@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import geo as gfx
 from tallyloom.operators import geo as ops
+from tallyloom.plans import retail
 
 
 def miles(a, b):
@@ -88,3 +89,19 @@ def test_wkt(spark, text, lat, lon):
     df = spark.createDataFrame([(text,)], "w string")
     row = ops.parse_wkt_point(df, "w").first()
     assert (row.lat, row.lon) == (lat, lon)
+
+
+def test_trade_area_summary_at_the_date_line(spark):
+    stores = spark.createDataFrame([(1, 10.0, 179.99), (2, 10.0, -179.99), (3, 10.02, 180.0), (4, 40.0, 0.0)], "storeid int, store_lat double, store_lon double")
+    customers = spark.createDataFrame([(1, 10.0, 180.0), (2, 40.01, 0.01), (3, -50.0, 0.0)], "c int, lat double, lon double")
+    out = {r["c"]: r for r in retail.trade_area_summary(customers, stores, "c", 5.0).collect()}
+    assert out[1]["CoveringStores"] == [1, 2, 3] and out[1]["CombinedArea"] == "MULTIPOINT(-179.99000 10.00000, 179.99000 10.00000, 180.00000 10.02000)"
+    assert abs(abs(out[1]["CentroidLon"]) - 180) < 1e-6 and abs(out[1]["CentroidLat"] - 10.00667) < 1e-4
+    assert (out[2]["CentroidLat"], out[2]["CentroidLon"]) == pytest.approx((40.0, 0.0))
+    assert [out[3][c] for c in ("CoveringStores", "CentroidLat", "CentroidLon", "CombinedArea")] == [None] * 4
+
+
+def test_sphere_mean_of_opposite_points(spark):
+    df = spark.createDataFrame([(0.0, 0.0), (0.0, 180.0)], "a double, b double")
+    assert df.agg(gfx.sphere_mean("a", "b").alias("m")).first()["m"] is None
+    assert df.limit(0).agg(gfx.sphere_mean("a", "b").alias("m")).first()["m"] is None

@@ -76,6 +76,21 @@ def test_append_fields(spark, rows):
         ops.append_fields(df, one.union(one)).collect()
 
 
+def test_append_fields_of_several_rows(spark, rows):
+    df = spark.createDataFrame([(1, "x"), (2, None)], "a int, `t.u` string")
+    some = spark.createDataFrame([(7, None), (8, "p")], "t int, `a.b` string")
+    out = ops.append_fields(df, some, max_rows=2)
+    assert out.columns == ["a", "t.u", "t", "a.b"]
+    assert rows(out) == [(1, "x", 7, None), (1, "x", 8, "p"), (2, None, 7, None), (2, None, 8, "p")]
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert ops.append_fields(df, some.limit(0), max_rows=2).count() == 0
+    assert ops.append_fields(df.limit(0), some, max_rows=2).count() == 0
+    with pytest.raises(Exception, match="more than 2 rows to append"):
+        ops.append_fields(df, some.union(some), max_rows=2).collect()
+    with pytest.raises(ValueError):
+        ops.append_fields(df, some, max_rows=0)
+
+
 def test_join_multiple(spark, rows):
     a = spark.createDataFrame([(1, "p"), (2, "q")], "k int, v string")
     b = spark.createDataFrame([(1, "r"), (3, "s")], "k int, v string")
