@@ -202,13 +202,19 @@ def build_index(entries: DataFrame, folder: str, parts: int, block_entries: int
     return stored(ranged.mapInPandas(write, BLOCK), "directory")
 
 
+def read_tasks(hits: DataFrame, task_bytes: int = 64 * 2**20) -> int:
+    """Tasks for reading the found records, by their bytes: the entries are tiny, so adaptive execution would put all into one."""
+    return max(1, -(-(hits.agg(F.sum("length")).first()[0] or 0) // task_bytes))
+
+
 def lookup(spark: SparkSession, urls: DataFrame, directory: DataFrame, index_folder: str, archive_folder: str, url_col: str = "url", most_parts: int = 100_000) -> DataFrame:
     """All captures of the URLs in ``urls``: uri, page_id, payload_bytes, payload_digest, record_type, refers_to, payload, intact.
 
     URLs are compared by key, each distinct one once. The first level, the key bounds of each part (one row per
     part, refused beyond ``most_parts``), goes to every task: a binary search finds the parts a key lies in. A part
     then loads its own slice of the directory, binary-searches the blocks, and range-reads only those. Found
-    entries are dealt out by archive and offset, and each record is range-read and parsed.
+    entries are stored, dealt out by archive and offset to as many tasks as their records' bytes need, and each
+    record is range-read and parsed.
     """
     parts = directory.groupBy("part").agg(F.min_by("first", "block").alias("first"), F.max_by("last", "block").alias("last"))
     top = sorted((r["first"], r["last"], r["part"]) for r in parts.limit(most_parts + 1).collect())
@@ -253,7 +259,7 @@ def lookup(spark: SparkSession, urls: DataFrame, directory: DataFrame, index_fol
             yield pd.DataFrame(rows, columns=["archive", "offset", "length"])
         ranges.close()
 
-    hits = stream.mapInPandas(search, "archive string, offset long, length long")
+    hits = stored(stream.mapInPandas(search, "archive string, offset long, length long"), "hits")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ranges = Ranges(archive_folder)
@@ -268,9 +274,9 @@ def lookup(spark: SparkSession, urls: DataFrame, directory: DataFrame, index_fol
             yield _frame(rows, CAPTURE)
         ranges.close()
 
-    # 16 MB stretches of an archive are the unit of work: neither an archive nor a popular key is one task.
+    # 16 MB stretches of an archive stay together: neither an archive nor a popular key is one task.
     stretch = F.floor(F.col("offset") / (16 * 2**20))
-    dealt = hits.repartition("archive", stretch).sortWithinPartitions("archive", "offset")
+    dealt = hits.repartition(read_tasks(hits), "archive", stretch).sortWithinPartitions("archive", "offset")
     return dealt.mapInPandas(read, CAPTURE)
 
 

@@ -14,7 +14,7 @@ from tallyloom.llm.common import ready
 from tallyloom.llm.language_id import identify_language
 from tallyloom.llm.mixing import mix
 from tallyloom.llm.tool_calls import EVENT, conversation_events, link_tool_calls
-from tallyloom.llm.warc import _header_text, _plain_text, archive_pages, lookup, parse_record, record, url_key, write_archives, build_index
+from tallyloom.llm.warc import _header_text, _plain_text, archive_pages, lookup, parse_record, read_tasks, record, url_key, write_archives, build_index
 from tallyloom.session import fresh_path
 
 
@@ -146,6 +146,11 @@ def test_lookup_finds_only_what_was_asked(spark):
         lookup(spark, asked, directory, index, archives, most_parts=1)
 
 
+def test_record_reads_are_dealt_by_bytes(spark):
+    hits = spark.range(1000).select(F.lit("a").alias("archive"), (F.col("id") * 10**6).alias("offset"), F.lit(10**6).cast("long").alias("length"))
+    assert read_tasks(hits) == 15 and read_tasks(hits, 10**8) == 10 and read_tasks(hits.limit(0)) == 1
+
+
 def test_archive_empty(spark):
     assert archive_pages(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
