@@ -95,30 +95,68 @@ TEMPLATES = {
             f"SPDX-License-Identifier: CC-BY{short}-{v}",
             f"This work is licensed under a Creative Commons Attribution{long} {v} International License.",
         ]
-        for v in ("4.0", "3.0")
+        for v in ("4.0", "3.0", "2.0")
         for short, long in (("", ""), ("-SA", "-ShareAlike"), ("-ND", "-NoDerivatives"), ("-NC", "-NonCommercial"), ("-NC-SA", "-NonCommercial-ShareAlike"), ("-NC-ND", "-NonCommercial-NoDerivatives"))
         if (short, v) != ("-NC", "4.0")
     },
+    "EPL-2.0": ["SPDX-License-Identifier: EPL-2.0", "Licensed under the Eclipse Public License, version 2.0."],
+    "Zlib": ["SPDX-License-Identifier: Zlib", "Released under the zlib License."],
+    "BSL-1.0": ["SPDX-License-Identifier: BSL-1.0", "Distributed under the Boost Software License, Version 1.0."],
+    **{
+        f"GFDL-{v}": [
+            f"SPDX-License-Identifier: GFDL-{v}",
+            "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation "
+            f"License, Version {v} or any later version published by the Free Software Foundation",
+        ]
+        for v in ("1.2", "1.3")
+    },
 }
+# Short statements and the titles of whole licence texts.
+for name in ("MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "ISC", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0"):
+    TEMPLATES[name].append(f"License: {name}")
+for name, texts in {
+    "MIT": ["MIT licensed", "This project is MIT licensed."],
+    "LGPL-2.0": ["This work is licensed under the GNU Library General Public License, version 2."],
+    "Apache-2.0": ["Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"],
+    "GPL-2.0": ["Licensed under GPLv2.", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "GPL-3.0": ["Licensed under GPLv3.", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "LGPL-2.1": ["Licensed under LGPLv2.1.", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"],
+    "LGPL-3.0": ["Licensed under LGPLv3.", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "AGPL-3.0": ["Licensed under AGPLv3.", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"],
+    "MPL-2.0": ["Mozilla Public License Version 2.0"],
+}.items():
+    TEMPLATES[name] += texts
+# Licence expressions: known identifiers joined by OR and AND, with exceptions and brackets, after the identifier tag or on a line.
+KNOWN_ID = "(?:" + "|".join(sorted((regex.escape(n) for n in TEMPLATES), key=len, reverse=True)) + r")(?:-only|-or-later|\+)?"
+EXCEPTION = r"[ \t]+WITH[ \t]+[A-Za-z0-9.-]+"
+TERM = rf"\(*{KNOWN_ID}(?:{EXCEPTION})?\)*"
+EXPRESSION = rf"(?m)(?:SPDX-License-Identifier:[ \t]*|^[ \t]*(?:License:[ \t]*)?)({TERM}(?:[ \t]+(?:OR|AND)[ \t]+{TERM})+|{KNOWN_ID}{EXCEPTION})[ \t]*(?:\*/|-->)?[ \t\r]*$"
 
 # What tells near relatives apart: a unit states the licence only if it has a word of each list of the first item and
 # none of the second.
 NC, SA, ND = ["nc", "noncommercial", "commercial"], ["sa", "sharealike", "alike"], ["nd", "noderivatives", "noderivs", "derivatives"]
-OTHER_GNU = ["lesser", "library", "affero", "lgpl", "lgplv", "agpl", "agplv", "fdl"]
+# A mark of two words: "this library" says nothing, the Library General Public License does.
+LIBRARY = "library general"
+OTHER_GNU = ["lesser", LIBRARY, "affero", "lgpl", "lgplv", "agpl", "agplv", "fdl"]
 GNU = ["gpl", "gplv", "general"]
+LICENSED = ["license", "licensed", "licence", "licenced", "charge"]
 MARKS: dict[str, tuple[list[list[str]], list[str]]] = {
-    "MIT": ([["mit", "charge"]], ["isc", "apache", "bsd", "gpl", "x11"]),
+    "MIT": ([["mit", "charge"], LICENSED], ["isc", "apache", "bsd", "gpl", "x11"]),
     "ISC": ([["isc", "fee"]], ["mit", "charge"]),
     "Apache-2.0": ([["apache"], ["2", "2.0"]], ["1.0", "1.1"]),
     "MPL-2.0": ([["mpl", "mozilla"], ["2", "2.0"]], ["1.0", "1.1"]),
     "GPL-2.0": ([GNU, ["2", "2.0"]], [*OTHER_GNU, "3", "3.0"]),
     "GPL-3.0": ([GNU, ["3", "3.0"]], [*OTHER_GNU, "2", "2.0"]),
-    "LGPL-2.0": ([["lgpl", "lgplv", "lesser", "library"], ["2", "2.0"]], ["affero", "2.1", "3", "3.0"]),
+    "LGPL-2.0": ([["lgpl", "lgplv", "lesser", LIBRARY], ["2", "2.0"]], ["affero", "2.1", "3", "3.0"]),
     "LGPL-2.1": ([["lgpl", "lgplv", "lesser"], ["2.1"]], ["affero", "3", "3.0"]),
     "LGPL-3.0": ([["lgpl", "lgplv", "lesser"], ["3", "3.0"]], ["affero", "2.1", "2", "2.0"]),
     "AGPL-3.0": ([["agpl", "agplv", "affero"], ["3", "3.0"]], ["1", "1.0"]),
     "BSD-2-Clause": ([["bsd", "redistribution"]], ["3", "4", "0"]),
     "BSD-3-Clause": ([["bsd", "redistribution"]], ["2", "4", "0"]),
+    "EPL-2.0": ([["epl", "eclipse"], ["2", "2.0"]], ["1", "1.0"]),
+    "Zlib": ([["zlib"], LICENSED], []),
+    "BSL-1.0": ([["bsl", "boost"], ["1", "1.0"]], ["1.1"]),
+    **{f"GFDL-{v}": ([["gfdl", "documentation"], [v]], []) for v in ("1.2", "1.3")},
     "Unlicense": ([["unlicense", "unencumbered"]], []),
     "CC0-1.0": ([["cc", "waived"]], ["by", "attribution"]),
     **{
@@ -126,7 +164,7 @@ MARKS: dict[str, tuple[list[list[str]], list[str]]] = {
             [["by", "attribution"], [v], *(words for n, words in (("NC", NC), ("SA", SA), ("ND", ND)) if n in names)],
             [w for n, words in (("NC", NC), ("SA", SA), ("ND", ND)) if n not in names for w in words],
         )
-        for v in ("4.0", "3.0")
+        for v in ("4.0", "3.0", "2.0")
         for names in ((), ("SA",), ("ND",), ("NC",), ("NC", "SA"), ("NC", "ND"))
     },
 }
@@ -183,11 +221,12 @@ def own_licenses(files: DataFrame, templates: dict[str, list[str]], least: float
     clause = F.col("__text").rlike(CLAUSE).alias("clause")
     units = close.select("__row", clause, F.explode_outer(parts).alias("unit")).filter(reach(F.col("unit")) >= least * least)
     asked = F.array(*[F.lit(w) for w in sorted({w for groups, bad in MARKS.values() for ws in (*groups, bad) for w in ws})])
-    units = units.select("__row", "clause", _tokens(F.col("unit")).alias("tokens"))
+    library = F.when(F.lower("unit").rlike(r"library\s+general"), F.array(F.lit(LIBRARY))).otherwise(F.array().cast("array<string>"))
+    units = units.select("__row", "clause", library.alias("phrases"), _tokens(F.col("unit")).alias("tokens"))
     counted_words = F.transform(
         F.array_intersect("tokens", known), lambda t: F.struct(t.alias("term"), F.size(F.filter("tokens", lambda x: x == t)).alias("tf"))
     )
-    units = units.select("__row", "clause", F.array_intersect("tokens", asked).alias("marks"), F.size("tokens").alias("n"), counted_words.alias("known"))
+    units = units.select("__row", "clause", F.concat(F.array_intersect("tokens", asked), "phrases").alias("marks"), F.size("tokens").alias("n"), counted_words.alias("known"))
     rarity = _map(idf)
     weighted = F.transform("known", lambda k: F.struct(k["term"].alias("term"), k["tf"].alias("tf"), (k["tf"] * rarity[k["term"]]).alias("x")))
     units = units.select("__row", "clause", "marks", "n", weighted.alias("known"))
@@ -215,13 +254,28 @@ def own_licenses(files: DataFrame, templates: dict[str, list[str]], least: float
     # The limit comes after the aggregate: pushed below, it would compute all of the above once more, word by word.
     best = units.select("__row", F.array_min(scores).alias("best")).groupBy("__row").agg(F.min("best").alias("best"))
     best = best.filter(F.col("best.minus") <= -least)
-    return best.select("__row", F.col("best.license").alias("license"), (-F.col("best.minus")).alias("score"))
+    best = best.select("__row", F.col("best.license").alias("license"), (-F.col("best.minus")).alias("score"))
+    said = expressions(files)
+    return best.join(said, "__row", "left_anti").unionByName(said)
+
+
+def expressions(files: DataFrame) -> DataFrame:
+    """``__row``, ``license``, ``score`` (1) of files that state a licence expression: their first one, with single blanks.
+
+    All its identifiers are known ones; brackets that do not pair make it none.
+    """
+    text = F.col("__text")
+    likely = text.contains(" OR ") | text.contains(" AND ") | text.contains(" WITH ")
+    first = F.regexp_replace(F.nullif(F.regexp_extract("__text", EXPRESSION, 1), F.lit("")), r"[ \t]+", " ")
+    said = files.filter(likely).select("__row", first.alias("license")).filter("license IS NOT NULL")
+    paired = F.regexp_count("license", F.lit(r"\(")) == F.regexp_count("license", F.lit(r"\)"))
+    return said.filter(paired).distinct().withColumn("score", F.lit(1.0))
 
 
 def license_scan(files: DataFrame, path_col: str = "path", text_col: str = "text", keep: tuple[str, ...] = (), templates: dict[str, list[str]] | None = None, least: float = 0.75) -> DataFrame:
     """One row per row of ``files``: ``keep``, path, ``license``, ``score``, ``origin`` and ``licence_dir``.
 
-    A file that states a licence itself has it: the template with the largest cosine, from ``least`` on, over its
+    A file that states a licence itself has it: a licence expression of known identifiers, or else the template with the largest cosine, from ``least`` on, over its
     lines, paragraphs and sentences (ties: the licence that sorts first); ``origin`` is "file" for a licence file by its name,
     else "header". Any other file takes the licence of the nearest directory above it whose licence file states
     one (several in a directory: the best score, then name); ``origin`` is "inherited". Else all four are null.

@@ -232,6 +232,28 @@ STATED = [
 ]
 
 
+# What ordinary statements say; an expression with an unknown identifier says nothing.
+ORDINARY = [
+    ("This library is licensed under GPLv3.", "GPL-3.0"), ("License: MIT", "MIT"), ("MIT licensed", "MIT"), ("SPDX-License-Identifier: EPL-2.0", "EPL-2.0"),
+    ("SPDX-License-Identifier: Zlib", "Zlib"), ("// SPDX-License-Identifier: BSL-1.0", "BSL-1.0"), ("Licensed under CC BY 2.0.", "CC-BY-2.0"),
+    ("Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License, Version 1.3 or any later version published by the Free Software Foundation; with no Invariant Sections.", "GFDL-1.3"),
+    ("                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION", "Apache-2.0"),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Everyone is permitted to copy and distribute verbatim copies", "GPL-3.0"),
+    ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0", "GPL-2.0-only WITH Classpath-exception-2.0"), ("MIT OR Apache-2.0", "MIT OR Apache-2.0"),
+    ("/* SPDX-License-Identifier: (MIT  AND BSD-3-Clause) OR GPL-2.0+ */\nint x;", "(MIT AND BSD-3-Clause) OR GPL-2.0+"), ("SPDX-License-Identifier: MIT OR Other-9", None),
+    ("License: Apache-2.0", "Apache-2.0"), ("The code is MIT licensed.", "MIT"), ("Distributed under the Boost Software License, Version 1.0. (See accompanying file)", "BSL-1.0"),
+    ("This program is licensed under the GNU Library General Public License, version 2.", "LGPL-2.0"), ("mit", None), ("Es geht mit ihm OR mit ihr.", None), ("(MIT OR Apache-2.0", None),
+]
+
+
+def test_license_scan_of_ordinary_wordings(spark):
+    files = spark.createDataFrame([(f"{k}/x", t) for k, (t, _) in enumerate(ORDINARY)], "path string, text string")
+    got = {r["path"]: r["license"] for r in licenses.license_scan(files).collect()}
+    wrong = [(t, want, got[f"{k}/x"]) for k, (t, want) in enumerate(ORDINARY) if got[f"{k}/x"] != want]
+    stated = [t for t, want in ORDINARY if want]
+    assert len(wrong) <= 0.1 * len(stated) and all(found is None for _, _, found in wrong), wrong
+
+
 def test_license_scan_near_relatives(spark):
     files = spark.createDataFrame([(f"{k}/x", t) for k, (t, _) in enumerate(STATED)], "path string, text string")
     got = {r["path"]: r["license"] for r in licenses.license_scan(files).collect()}
