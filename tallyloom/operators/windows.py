@@ -12,7 +12,7 @@ from tallyloom.operators.ordering import global_index, group_row_number, join_nu
 
 
 def days_since_last(
-    df: DataFrame, key: str, date: str, tie: str, name: str = "Days Since Last Purchase"
+    df: DataFrame, key: str, date: str, tie: str, name: str = "Days Since Last Purchase", joined: bool = False
 ) -> DataFrame:
     """Days since the same key's previous row by (date, tie); NULL on its first row.
 
@@ -21,15 +21,26 @@ def days_since_last(
     meet their pair by key *and* day: a key with a third of all rows still spreads over its days, and
     a hot day of one key is a skewed join partition, which adaptive execution splits. A numeric
     ``tie`` is cheaper than text, whose minimum needs a sort.
+
+    The days and the rows both come from ``df``. ``joined=True`` is for a frame made by joins of
+    shuffled tables: the days then ask for every column, so both uses have the same exchanges below
+    them, Spark reuses them, and each table is scanned and shuffled once. For a stored table the
+    default is better: it reads the three columns again.
     """
-    days = df.groupBy(key, date).agg(F.min(tie).alias("__first"))
+    firsts = [F.min(tie).alias("__first")]
+    if joined:
+        firsts.append(F.max(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])).alias("__whole"))
+    days = df.groupBy(key, date).agg(*firsts)
     previous = F.lag(date).over(W.partitionBy(key).orderBy(date))
-    days = days.withColumn("__previous", previous)
+    if joined:
+        # Never null here; the condition only keeps the optimizer from dropping the columns.
+        previous = F.when(F.col("__whole").isNotNull(), previous)
+    days = days.withColumn("__previous", previous).drop("__whole")
     day = F.col(f"`{date}`")
     since = F.when(F.col(f"`{tie}`") == F.col("__first"), F.datediff(day, F.col("__previous")))
     since = since.when(day.isNotNull(), F.lit(0))
-    joined = join_null_safe(df, days, [key, date], "left")
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], since.alias(name))
+    out = join_null_safe(df, days, [key, date], "left")
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], since.alias(name))
 
 
 def pct_change(df: DataFrame, col: str, order: str, name: str, label: bool = True) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from tallyloom.functions import formulas as fx, geo as gfx
 from tallyloom.functions.lookups import US_STATES
 from tallyloom.operators import aggs, geo as gx, joins, rows, windows
+from tallyloom.operators.ordering import join_null_safe
 
 # Input columns, their labels, and the labels' types.
 TRANSACTION_NAMES = {
@@ -43,9 +44,9 @@ def time_features(tx: DataFrame, date: str = "Transaction Date") -> DataFrame:
     return tx.withColumns({"Month": fx.month_start(date), "Month Num": F.month(date), "Year": F.year(date)})
 
 
-def days_since_purchase(tx: DataFrame) -> DataFrame:
-    """Days since the customer's previous transaction, 0 for the first."""
-    lagged = windows.days_since_last(tx, "Customer ID", "Transaction Date", "Transaction ID")
+def days_since_purchase(tx: DataFrame, joined: bool = False) -> DataFrame:
+    """Days since the customer's previous transaction, 0 for the first; ``joined`` as in ``days_since_last``."""
+    lagged = windows.days_since_last(tx, "Customer ID", "Transaction Date", "Transaction ID", joined=joined)
     return rows.impute(lagged, "Days Since Last Purchase", "constant", 0)
 
 
@@ -66,8 +67,15 @@ def with_location(tx: DataFrame, stores: DataFrame) -> DataFrame:
     return joins.join_on(tx, stores, {"Location ID": "locationid"}, "left")
 
 
-def with_product(tx: DataFrame, units: DataFrame) -> DataFrame:
+def with_product(tx: DataFrame, units: DataFrame, joined: bool = False) -> DataFrame:
+    """Transactions of known products. ``joined``: the key's null test, which an inner join adds, stays above the rows.
+
+    Pushed below the look-back it would tell the two uses of the rows apart, and their exchanges could not be shared.
+    """
     stock = units.withColumnRenamed("locationid", "stock_locationid")
+    if joined:
+        stock = stock.filter("productid is not null").withColumnRenamed("productid", "Product ID")
+        return join_null_safe(tx, stock, ["Product ID"], "inner")
     return joins.join_on(tx, stock, {"Product ID": "productid"}, "inner")
 
 
@@ -76,11 +84,15 @@ def time_on_shelf(tx: DataFrame) -> DataFrame:
 
 
 def enriched_transactions(
-    raw: DataFrame, units: DataFrame, locations: DataFrame, geolocation: DataFrame, types: Mapping[str, str] = TRANSACTION_TYPES
+    raw: DataFrame, units: DataFrame, locations: DataFrame, geolocation: DataFrame, types: Mapping[str, str] = TRANSACTION_TYPES,
+    joined: bool = False,
 ) -> DataFrame:
-    """One row per transaction with product, store coordinates, lag and shelf time."""
-    tx = days_since_purchase(time_features(prepare_transactions(raw, types)))
-    tx = with_location(with_product(tx, units), location_dim(locations, geolocation))
+    """One row per transaction with product, store coordinates, lag and shelf time.
+
+    ``joined``: the raw transactions are not a stored table but come out of a join of large tables.
+    """
+    tx = days_since_purchase(time_features(prepare_transactions(raw, types)), joined)
+    tx = with_location(with_product(tx, units, joined), location_dim(locations, geolocation))
     return time_on_shelf(tx)
 
 

@@ -64,7 +64,7 @@ FROM prepared""",
 )
 def days_since_last_purchase(spark, d):
     tx = prepared(spark, d).select("Transaction ID", "Customer ID", "Transaction Date")
-    return retail.days_since_purchase(tx)
+    return retail.days_since_purchase(tx, joined=True)
 
 
 @query(
@@ -113,6 +113,7 @@ def retail_enriched(spark, d):
         model.locations(spark, d),
         model.geolocation(spark, d),
         TYPES,
+        joined=True,
     )
 
 

@@ -46,25 +46,55 @@ def test_cross_tab_and_transpose(spark, rows):
         aggs.cross_tab(df, "brand", "stars", "v", [1], "other")
 
 
-def test_days_since_last(spark, rows):
+@pytest.mark.parametrize("joined", [False, True])
+def test_days_since_last(spark, rows, joined):
     day = lambda n: dt.date(2024, 1, n)
     data = [("c", day(1), 1), ("c", day(5), 3), ("c", day(5), 2), ("c", day(9), 4), ("d", day(2), 5), (None, day(1), 6), (None, day(4), 7), ("e", None, 8)]
     df = spark.createDataFrame(data, "cust string, d date, id int")
-    out = windows.days_since_last(df, "cust", "d", "id", "gap")
+    out = windows.days_since_last(df, "cust", "d", "id", "gap", joined)
     assert rows(out, "id", "gap") == [(1, None), (2, 4), (3, 0), (4, 4), (5, None), (6, None), (7, 3), (8, None)]
 
 
-def test_days_since_last_equals_plain_window_with_hot_key(spark):
+@pytest.mark.parametrize("joined", [False, True])
+def test_days_since_last_equals_plain_window_with_hot_key(spark, joined):
     df = spark.range(4000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("cust"),
         F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") * 37 % 300).cast("int")).alias("d"),
         "id",
     )
     plain = F.datediff("d", F.lag("d").over(W.partitionBy("cust").orderBy("d", "id")))
-    out = windows.days_since_last(df, "cust", "d", "id", "gap").withColumn("want", plain)
+    out = windows.days_since_last(df, "cust", "d", "id", "gap", joined).withColumn("want", plain)
     assert out.filter("not (gap <=> want)").count() == 0 and out.count() == 4000
 
 
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_look_back_over_joined_tables_scans_each_once(spark, tmp_path):
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("o") % 97).cast("int"))
+    spark.range(900).select(F.col("id").alias("o"), (F.col("id") % 7).alias("cust")).withColumn("d", day).write.parquet(str(tmp_path / "orders"))
+    spark.range(3000).select((F.col("id") % 900).alias("o"), "id", (F.col("id") % 5).alias("product")).write.parquet(str(tmp_path / "lines"))
+    stock = spark.createDataFrame([(1, 7, dt.date(2019, 1, 1)), (2, 8, None), (None, 9, None)], "productid long, locationid int, purchasedate date")
+    names = {"cust": "Customer ID", "d": "Transaction Date", "id": "Transaction ID", "product": "Product ID"}
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for key, value in off.items():
+        spark.conf.set(key, value)
+    try:
+        tx = spark.read.parquet(str(tmp_path / "lines")).join(spark.read.parquet(str(tmp_path / "orders")), "o").withColumnsRenamed(names)
+        found = {}
+        for joined in (True, False):
+            out = retail.with_product(retail.days_since_purchase(tx, joined), stock, joined)
+            plan = final_plan(out)
+            assert joined is (plan.count("FileScan parquet") == 2)
+            found[joined] = sorted(tuple(r) for r in out.select("Transaction ID", "Days Since Last Purchase", "stock_locationid").collect())
+        assert found[True] == found[False] and len(found[True]) == 1200
+    finally:
+        for key in off:
+            spark.conf.unset(key)
+
+
 def test_pct_change(spark):
     df = spark.createDataFrame([(2020, 0), (2021, 80), (2022, 100), (2024, 90)], "y int, v int")
     got = [r.c for r in windows.pct_change(df, "v", "y", "c").orderBy("y").collect()]
