@@ -8,10 +8,11 @@ such joins can salt their hot keys (``join_hot``, ``split_hot=True``).
 
 from __future__ import annotations
 
+import string
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tallyloom.operators.quality import require_unique
 from tallyloom.session import checkpointed
@@ -146,7 +147,7 @@ def lookup_replace(
 
     ``exact``: the trimmed value, in any case, equals a key. ``substring``: every occurrence of a key
     inside the text, in any case, found in a single left-to-right pass (a replacement is not searched
-    again). For a lookup that is itself a table use ``lookup_replace_table``.
+    again). For a lookup that is itself a table use ``lookup_replace_table`` or ``lookup_replace_inside``.
     """
     text = F.col(f"`{col}`")
     found = F.create_map(*[F.lit(x) for k, v in pairs.items() for x in (k.upper(), v)])
@@ -174,6 +175,96 @@ def lookup_replace_table(
     return joined.withColumn(name or col, out).drop("__key", "__value")
 
 
+def _folded(text: Column) -> Column:
+    """A-Z in lower case: the length stays, so positions hold in the original too."""
+    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+
+
+def _text_of(chars: Column, start, length) -> Column:
+    return F.array_join(F.slice(chars, start, length), "")
+
+
+def lookup_replace_inside(
+    df: DataFrame, col: str, dim: DataFrame, key: str, value: str, name: str | None = None, gram: int = 8
+) -> DataFrame:
+    """Replace every occurrence of a key inside the text, for a lookup table of any size; A-Z match in any case.
+
+    Of the occurrences the leftmost goes first, of those at one place the longest; what was put in is not searched
+    again. Null and empty keys are left out, a null value takes the occurrence away, of keys that differ in case only
+    the smallest value counts. A null text stays null.
+
+    The lookup table is read three times (it should be stored). Each key is filed under the rarest of its pieces of ``gram`` characters (a shorter key under itself), so a piece
+    that most keys share leads to few of them. The pieces of every distinct text meet that index in an equality join,
+    the keys found are compared in full, and a row gets its text back by a 128-bit hash: texts that many rows
+    share are searched once, and a hot text is a skewed join partition on the side whose rows are kept, which
+    adaptive execution splits. The lengths of the pieces (at most ``gram`` numbers) are read while the plan is built.
+    """
+    if gram < 1:
+        raise ValueError("gram must be 1 or more")
+    keys = dim.select(_folded(F.col(f"`{key}`").cast("string")).alias("__key"), F.col(f"`{value}`").cast("string").alias("__value"))
+    keys = keys.filter("__key <> ''").groupBy("__key").agg(F.coalesce(F.min("__value"), F.lit("")).alias("__value"))
+    size = F.least(F.length("__key"), F.lit(gram))
+    sizes = sorted(r[0] for r in keys.select(size).distinct().collect())
+    if not sizes:
+        return df.withColumn(name or col, F.col(f"`{col}`").cast("string"))
+
+    def pieces(chars: str, n: int) -> Column:
+        """Every run of ``n`` characters with the place it starts at, from 1."""
+        at = F.sequence(F.lit(1), F.size(chars) - F.lit(n - 1))
+        every = F.transform(at, lambda i: F.struct(_text_of(F.col(chars), i, F.lit(n)).alias("__gram"), i.alias("__at")))
+        return F.when(F.size(chars) >= n, every).otherwise(F.array().cast("array<struct<__gram:string,__at:int>>"))
+
+    spelt = keys.withColumn("__chars", F.split("__key", ""))
+    by_size = F.coalesce(*[F.when(size == n, pieces("__chars", n)) for n in sizes])
+    filed = spelt.select("__key", "__value", F.inline(by_size))
+    shared = filed.groupBy("__gram").agg(F.count(F.lit(1)).alias("__n"))
+    rarest = F.min(F.struct("__n", "__gram", "__at")).alias("__rare")
+    index = filed.join(shared, "__gram").groupBy("__key", "__value").agg(rarest)
+    index = index.select("__key", "__value", "__rare.__gram", F.col("__rare.__at").alias("__offset"))
+
+    texts = df.select(F.col(f"`{col}`").cast("string").alias("__text")).filter("__text <> ''").distinct()
+    texts = texts.select(F.md5("__text").alias("__id"), F.split("__text", "").alias("__own"), F.split(_folded(F.col("__text")), "").alias("__chars"))
+    grams = texts.select("__id", F.inline(F.concat(*[pieces("__chars", n) for n in sizes])))
+    start = (F.col("__at") - F.col("__offset") + 1).alias("start")
+    found = grams.join(index, "__gram").select(
+        "__id", F.struct(start, F.length("__key").alias("length"), F.col("__key").alias("key"), F.col("__value").alias("value")).alias("__hit")
+    )
+    found = found.filter("__hit.start >= 1").groupBy("__id").agg(F.collect_list("__hit").alias("__hits"))
+
+    true = F.filter("__hits", lambda h: _text_of(F.col("__chars"), h["start"], h["length"]) == h["key"])
+    true = found.join(texts, "__id").select("__id", F.inline(true))
+    hit = F.struct("start", (F.col("start") + F.col("length")).alias("end"), "value").alias("hit")
+    # Hits that overlap, directly or through others, are settled together: by place, the longer first, and a hit
+    # counts if it starts behind the one before. Most stand alone, so these lists are short.
+    ordered = W.partitionBy("__id").orderBy("start", F.desc("length"))
+    reach = F.max("hit.end").over(ordered.rowsBetween(W.unboundedPreceding, -1))
+    fresh = F.when(F.col("start") < F.col("__reach"), 0).otherwise(1)
+    runs = true.select("__id", "start", "length", hit).withColumn("__reach", reach)
+    runs = runs.withColumn("__run", F.sum(fresh).over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    runs = runs.groupBy("__id", "__run").agg(F.collect_list(F.struct("start", (-F.col("length")).alias("short"), "hit")).alias("hits"))
+    by_place = F.transform(F.array_sort("hits"), lambda h: h["hit"])
+
+    def settle(taken, h):
+        behind = (F.size(taken) == 0) | (h["start"] >= F.try_element_at(taken, F.lit(-1))["end"])
+        return F.when(behind, F.concat(taken, F.array(h))).otherwise(taken)
+
+    none = F.filter(by_place, lambda h: F.lit(False))
+    runs = runs.select("__id", F.when(F.size("hits") == 1, by_place).otherwise(F.aggregate(by_place, none, settle)).alias("__picks"))
+    picked = runs.groupBy("__id").agg(F.array_sort(F.flatten(F.collect_list("__picks"))).alias("__picks"))
+
+    def before(p, i):
+        last = F.when(i > 0, F.col("__picks")[F.greatest(i - 1, F.lit(0))]["end"]).otherwise(F.lit(1))
+        return F.concat(_text_of(F.col("__own"), last, p["start"] - last), p["value"])
+
+    end = F.element_at("__picks", -1)["end"]
+    tail = _text_of(F.col("__own"), end, F.greatest(F.size("__own") - end + 1, F.lit(0)))
+    put = F.concat(F.array_join(F.transform("__picks", before), ""), tail)
+    changed = picked.join(texts, "__id").select("__id", put.alias("__put"))
+    joined = df.withColumn("__id", F.md5(F.col(f"`{col}`").cast("string"))).join(changed, "__id", "left")
+    out = F.coalesce(F.col("__put"), F.col(f"`{col}`").cast("string"))
+    return joined.withColumn(name or col, out).drop("__id", "__put")
+
+
 def append_fields(target: DataFrame, source: DataFrame, max_rows: int = 1) -> DataFrame:
     """Put the fields of a small table on every row; a table of several rows repeats the target's rows for each.
 

@@ -304,6 +304,21 @@ def state_name_lookup(spark, d):
     return retail.customers_with_state_names(model.retail_customers(spark, d).select("customerid", "state"))
 
 
+@query(
+    "name_words_lookup",
+    """WITH words AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS key FROM part UNION SELECT p_name FROM part WHERE p_size = 1),
+pattern AS (SELECT '(' || string_agg(regexp_escape(key), '|' ORDER BY length(key) DESC, key) || ')' AS found FROM words WHERE key <> '')
+SELECT p_partkey, regexp_replace(p_name || '/' || p_type, found, '[*]', 'gi') AS marked FROM part, pattern""",
+)
+def name_words_lookup(spark, d):
+    """Part texts with every name word, and the whole names of parts of size 1, taken out for a mark."""
+    part = model.table(spark, d, "part")
+    words = part.select(F.explode(F.split("p_name", " ")).alias("key")).union(part.filter("p_size = 1").select("p_name"))
+    words = words.distinct().withColumn("put", F.lit("[*]"))
+    texts = part.select("p_partkey", F.concat_ws("/", "p_name", "p_type").alias("marked"))
+    return joins.lookup_replace_inside(texts, "marked", words, "key", "put")
+
+
 # --- order, numbers, ranges ------------------------------------------------------------------
 
 @query(

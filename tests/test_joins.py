@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,6 +69,34 @@ def test_lookup_substring_is_one_pass(spark, rows):
         ops.lookup_replace(df, "s", {}, mode="fuzzy")
 
 
+def test_lookup_inside_by_a_table(spark):
+    def by_hand(text, pairs, at=0):
+        if text is None:
+            return None
+        folded, out = "".join(c.lower() if c.isascii() else c for c in text), ""
+        while at < len(text):
+            hits = [k for k in pairs if folded.startswith(k, at)]
+            best = max(hits, key=len, default=None)
+            out, at = (out + text[at], at + 1) if best is None else (out + pairs[best], at + len(best))
+        return out
+
+    pick = random.Random(5)
+    word = lambda n: "".join(pick.choice("abß𝄞 A") for _ in range(n))
+    pairs = {"common" + str(i): f"<{i}>" for i in range(60)} | {word(pick.randint(1, 9)).replace("A", "a"): f"[{i}]" for i in range(40)}
+    pairs |= {"ab": "", "abab": "ba", "a.b": "dot", "$1": "\\1"}
+    texts = [word(pick.randint(0, 60)) + pick.choice(["", "COMMON7", "xcommon59common5", "a.b$1"]) for _ in range(150)]
+    texts += [None, "", "ß", "nothing here"] + ["hot ABABab"] * 50
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, `t.x` string")
+    dim = spark.createDataFrame([*pairs.items(), ("", "empty"), (None, "null"), ("AB", "zz")], "k string, v string")
+    for gram in (1, 3, 4, 20):
+        out = ops.lookup_replace_inside(df, "t.x", dim, "k", "v", "new", gram)
+        got = {r["id"]: (r["t.x"], r["new"]) for r in out.collect()}
+        assert got == {i: (t, by_hand(t, pairs)) for i, t in enumerate(texts)}
+    same = ops.lookup_replace_inside(df, "t.x", dim.limit(0), "k", "v", "new")
+    assert same.filter("not (new <=> `t.x`)").count() == 0 and same.count() == len(texts)
+    assert ops.lookup_replace_inside(df.limit(0), "t.x", dim, "k", "v").columns == ["id", "t.x"]
+
+
 def test_append_fields(spark, rows):
     df = spark.createDataFrame([(1,), (2,)], "a int")
     one = spark.createDataFrame([(7, None)], "t int, u string")
