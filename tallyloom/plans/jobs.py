@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.functions.lookups import US_STATES
 from tallyloom.operators.joins import customer_review_join
-from tallyloom.operators.sinks import sanitize_columns, save_table
+from tallyloom.operators.sinks import sanitize_columns, save_split, save_table
 from tallyloom.plans import retail, sales
 from tallyloom.sources import files
 from tallyloom.sources.schemas import RETAIL, SALES, TREND, TREND_TITLE
@@ -38,6 +38,10 @@ class Layout:
     def csv(self, name: str) -> str:
         return f"{self.source.rstrip('/')}/{self.files.get(name, name + '.csv')}"
 
+    def place(self, spark: SparkSession, name: str) -> str:
+        root = self.storage or spark.conf.get("spark.sql.warehouse.dir")
+        return f"{root.rstrip('/')}/{name}"
+
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.storage.rstrip('/')}/{name}" if self.storage else None
         return save_table(df, f"{self.schema}.{name}", fmt=self.fmt, path=path)
@@ -52,9 +56,16 @@ def run_sales(
     """Staging, enriched transactions and the four reports; returns the stored tables."""
     source = {name: files.read_csv(spark, layout.csv(name), schema, rename=layout.renames.get(name)) for name, schema in SALES.items()}
     out = {}
-    valid, returned = sales.stage_valid(source["sales_transactions"]), sales.split_returns(source["sales_transactions"])[1]
-    out["staging_valid_transactions"] = layout.save(valid, "staging_valid_transactions")
-    out["staging_returned_orders"] = layout.save(returned, "staging_returned_orders")
+    if layout.fmt == "parquet":  # both from one pass
+        features, valid, returned = sales.staging_branches(source["sales_transactions"])
+        tables = [f"{layout.schema}.staging_{name}" for name in ("valid_transactions", "returned_orders")]
+        split = {tables[0]: (F.col("ReturnFlag") == "N", valid), tables[1]: (None, returned)}
+        stored = save_split(features, split, layout.place(spark, "staging_split"))
+        out |= {name.removeprefix(f"{layout.schema}."): df for name, df in stored.items()}
+    else:
+        valid, returned = sales.stage_valid(source["sales_transactions"]), sales.split_returns(source["sales_transactions"])[1]
+        out["staging_valid_transactions"] = layout.save(valid, "staging_valid_transactions")
+        out["staging_returned_orders"] = layout.save(returned, "staging_returned_orders")
     people = source["customers"].drop("Email", "Phone", "IsActive")
     goods = source["products"].drop("LaunchDate", "IsActive", "MinStock", "MaxStock")
     reps = source["sales_reps"].select("SalesRepID", "RepName", "Territory", "CommissionRate", "YTDQuota")

@@ -169,6 +169,14 @@ def stage_valid(transactions: DataFrame) -> DataFrame:
     return features.select(*STAGING_COLUMNS)
 
 
+def staging_branches(transactions: DataFrame) -> tuple[DataFrame, list, list]:
+    """Rows with their features, and the columns of the valid and of the other transactions, for ``sinks.save_split``."""
+    names = {c: f"__raw_{c}" for c in transactions.columns}
+    kept = transactions.withColumns({new: F.col(old) for old, new in names.items()})
+    features = revenue_features(date_features(kept)).withColumn("DiscountRate", F.col("Discount"))
+    return features, list(STAGING_COLUMNS), [F.col(new).alias(old) for old, new in names.items()]
+
+
 def enrich_star(
     staging: DataFrame,
     customers: DataFrame | None = None,

@@ -200,3 +200,43 @@ def test_a_table_is_rebuilt_from_itself(spark, rows):
     assert sinks.drop_versions(spark, name, older_than=-5) == 2
     assert rows(files.read_table(spark, name)) == [(i + 2,) for i in range(4)]
     spark.sql(f"drop table {name}")
+
+
+def test_split_tables_come_from_one_pass(spark, rows):
+    names = ["split_yes", "split_no", "split_rest"]
+    place = spark.conf.get("spark.sql.warehouse.dir") + "/split"
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    def split(n, data):
+        df = spark.createDataFrame(data, "id int, x string")
+        watched = df.mapInPandas(passed, df.schema).toDF("id", "f.x")
+        cond = F.col("`f.x`")
+        return sinks.save_split(
+            watched,
+            {names[0]: (cond == "y", ["id", F.col("id").cast("long").alias("wide")]), names[1]: (cond == "n", ["id"]), names[2]: (None, ["f.x", "id"])},
+            place,
+        )
+
+    data = [(1, "y"), (2, "n"), (3, None), (4, "y"), (None, "?")]
+    out = split(1, data)
+    assert seen.value == 5
+    assert rows(out[names[0]]) == [(1, 1), (4, 4)] and rows(out[names[1]]) == [(2,)]
+    assert rows(spark.table(names[2])) == [(None, 3), ("?", None)] and out[names[2]].columns == ["f.x", "id"]
+    assert "__branch" not in out[names[0]].columns
+    # A later version without rows for a table; the old version goes, the tables stay.
+    out = split(2, [(7, "n")])
+    assert [out[n].count() for n in names] == [0, 1, 0]
+    assert sinks.drop_versions(spark, names, place, older_than=-5) == 1
+    assert [spark.table(n).count() for n in names] == [0, 1, 0]
+    df = spark.range(3)
+    with pytest.raises(ValueError, match="two types"):
+        sinks.save_split(df, {"a": (F.lit(True), ["id"]), "b": (None, [F.lit("x").alias("id")])}, place)
+    with pytest.raises(ValueError, match="only the last"):
+        sinks.save_split(df, {"a": (None, ["id"]), "b": (None, ["id"])}, place)
+    for n in names:
+        spark.sql(f"drop table {n}")

@@ -1,6 +1,8 @@
 """Both pipelines from CSV files to stored tables."""
 
-from tallyloom.plans import jobs
+from tallyloom.plans import jobs, sales
+from tallyloom.sources import files
+from tallyloom.sources.schemas import SALES
 
 
 def write(folder, name, header, *lines):
@@ -9,7 +11,7 @@ def write(folder, name, header, *lines):
 
 def test_sales(spark, tmp_path, rows):
     write(tmp_path, "sales_transactions", "TransactionID,OrderID,CustomerID,ProductID,SalesRepID,TransactionDate,Quantity,UnitPrice,Discount,PaymentMethod,ReturnFlag",
-          "T1,O1,C1,P1,R1,2024-01-05,10,250.00,0.10,Wire Transfer,N", "T2,O2,C1,P1,R1,2024-04-05,1,100.00,0.00,PayPal,Y")
+          "T1,O1,C1,P1,R1,2024-01-05,10,250.00,0.10,Wire Transfer,N", "T2,O2,C1,P1,R1,2024-04-05,1,100.00,0.00,PayPal,Y", "T3,O3,C1,P1,R1,2024-04-06,2,100.00,0.50,PayPal,")
     write(tmp_path, "customers", "CustomerID,CustomerName,Email,Phone,Segment,Region,Country,State,City,AccountOpenDate,CreditLimit,PreferredPayment,IsActive",
           "C1,Ann,a@x,1,SMB,North,US,CA,X,2023-01-05,80000,PayPal,Y")
     write(tmp_path, "products", "ProductID,ProductName,Category,SubCategory,Brand,CostPrice,MSRP,LaunchDate,IsActive,WarrantyMonths,MinStock,MaxStock",
@@ -20,10 +22,14 @@ def test_sales(spark, tmp_path, rows):
           "North,Q1,2024,2250,5,1,0.85")
     out = jobs.run_sales(spark, jobs.Layout(str(tmp_path), storage=str(tmp_path / "tables")))
     assert {name: df.count() for name, df in out.items()} == {
-        "staging_valid_transactions": 1, "staging_returned_orders": 1, "enriched_transactions": 1,
+        "staging_valid_transactions": 1, "staging_returned_orders": 2, "enriched_transactions": 1,
         "customer_kpi_report": 1, "product_performance": 1, "rep_commission_report": 1, "regional_dashboard": 1,
-        "returned_orders_flagged": 1,
+        "returned_orders_flagged": 2,
     }
+    source = files.read_csv(spark, str(tmp_path / "sales_transactions.csv"), SALES["sales_transactions"])
+    assert rows(out["staging_valid_transactions"]) == rows(sales.stage_valid(source))
+    assert rows(out["staging_returned_orders"]) == rows(sales.split_returns(source)[1])
+    assert out["staging_returned_orders"].columns == source.columns
     board = out["regional_dashboard"].first()
     assert (board.RevenueAttainmentPct, board.TargetStatus, float(board.TotalCommission)) == (100.0, "Target Met", 270.0)
     assert spark.table("default.enriched_transactions").first().AccountAgeDays == 365
