@@ -75,6 +75,39 @@ def _levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return done
 
 
+def _first_of(rows: DataFrame, events: DataFrame, name: str) -> DataFrame:
+    """``<name>_key`` and the first row of each key, a struct of ``at`` (its turn) and ``row``.
+
+    Least turn, then least name, then least payload. Payloads are looked up only for rows that tie in the first two.
+    """
+    placed = rows.withColumn("at", F.coalesce("turn", F.lit(-(2**62))))
+    tied = placed.groupBy("key", "at", "name").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("row"))
+    first = checkpointed(tied.groupBy("key").agg(F.min(F.struct("at", "name", "n", "row")).alias("first")))
+    own = F.struct("first.at", "first.row").alias(name)
+    ties = first.filter("first.n > 1").select(F.struct("key", "first.at", "first.name").alias("tie"))
+    if ties.isEmpty():
+        return first.select(F.col("key").alias(f"{name}_key"), own)
+    # Structs are compared field by field, null with null.
+    same = placed.join(ties, F.struct("key", "at", "name") == F.col("tie"), "left_semi").select("key", "row")
+    same = same.join(events.select("row", "payload"), "row")
+    least = checkpointed(same.groupBy("key").agg(F.min(F.struct("payload", "row")).alias("least")).select(F.col("key").alias("tied_key"), "least.row"))
+    first = first.join(least, F.col("key") == F.col("tied_key"), "left")
+    row = F.coalesce(F.col("row"), F.col("first.row"))
+    return first.select(F.col("key").alias(f"{name}_key"), F.struct("first.at", row.alias("row")).alias(name))
+
+
+def _written(events: DataFrame, schemas: dict[str, dict[str, dict]]) -> DataFrame:
+    """``row``, ``wrong`` (what is wrong with a call's arguments) and ``json``, one row per distinct event."""
+    call = F.col("kind") == "call"
+    none = F.array().cast("array<string>")
+    wrong = F.when(call, argument_errors(F.col("name"), F.col("payload"), schemas)).otherwise(none)
+    parsed = F.try_parse_json("payload")
+    as_call = F.to_json(F.struct(parsed.alias("arguments"), "call_id", "kind", "name"))
+    as_text = F.to_json(F.struct(F.when(call, F.col("payload")).alias("arguments"), "call_id", F.when(~call, F.col("payload")).alias("content"), "kind", "name"))
+    text = F.when(call & parsed.isNotNull(), as_call).otherwise(as_text)
+    return events.select("row", wrong.alias("wrong"), text.alias("json")).dropDuplicates(["row"])
+
+
 def link_tool_calls(events: DataFrame, schemas: dict[str, dict[str, dict]]) -> DataFrame:
     """One row per distinct event: ``conv_id``, ``turn``, ``kind``, ``call_id``, ``step``, ``status``, ``errors``, ``json``.
 
@@ -94,21 +127,20 @@ def link_tool_calls(events: DataFrame, schemas: dict[str, dict[str, dict]]) -> D
     an error. Nothing is gathered per conversation: one conversation may hold any share of the rows. Further
     columns are not read; an empty table gives no rows.
     """
-    events = events.select(*EVENT).distinct()
-    events = events.withColumn("row", F.xxhash64(*[c for c in EVENT if c != "needs"], F.to_json("needs")))
-    calls = events.filter("kind = 'call' AND call_id IS NOT NULL")
-    results = events.filter("kind = 'result' AND call_id IS NOT NULL")
-    place = F.struct(F.coalesce("turn", F.lit(-(2**62))).alias("at"), "name", "payload", "row")
-    keyed = lambda df, name: df.groupBy(F.struct("conv_id", "call_id").alias(f"{name}_key")).agg(F.min(place).alias(name))
-    first_call, first_result = checkpointed(keyed(calls, "call")), checkpointed(keyed(results, "result"))
-    key = F.struct("conv_id", "call_id")
-    events = events.withColumn("key", F.when(F.col("kind").isin("call", "result") & F.col("call_id").isNotNull(), key))
-    linked = events.join(first_call, F.col("key") == F.col("call_key"), "left").join(first_result, F.col("key") == F.col("result_key"), "left")
+    # Links need no payload: it moves once, as the finished JSON under the hash of its row. The hash covers names and
+    # nulls too, so what differs in any field is another event.
+    events = events.select(*EVENT).withColumn("row", F.md5(F.to_json(F.struct(*EVENT))))
+    slim = checkpointed(events.select(*[c for c in EVENT if c != "payload"], "row").distinct())
+    slim = slim.withColumn("key", F.when(F.col("kind").isin("call", "result") & F.col("call_id").isNotNull(), F.struct("conv_id", "call_id")))
+    first_call = _first_of(slim.filter("kind = 'call' AND key IS NOT NULL"), events, "call")
+    first_result = _first_of(slim.filter("kind = 'result' AND key IS NOT NULL"), events, "result")
+    linked = slim.join(first_call, F.col("key") == F.col("call_key"), "left").join(first_result, F.col("key") == F.col("result_key"), "left")
     linked = checkpointed(
         linked.select(
-            *EVENT, "row", F.col("call.row").alias("call_row"), F.col("call.at").alias("call_at"), F.col("result.row").alias("result_row")
+            "conv_id", "turn", "kind", "call_id", "needs", "row", F.col("call.row").alias("call_row"), F.col("call.at").alias("call_at"),
+            F.col("result.row").alias("result_row"),
         )
-    )
+    )
     here = F.coalesce("turn", F.lit(-(2**62)))
     own = linked.filter("kind = 'result' AND call_row IS NOT NULL").select("conv_id", "row", F.col("call_row").alias("after"), here.alias("at"), F.col("call_at").alias("after_at"))
     asked = linked.filter("kind = 'call'").select("conv_id", "row", here.alias("at"), F.explode_outer(F.array_distinct("needs")).alias("need")).filter("need IS NOT NULL")
@@ -132,8 +164,8 @@ def link_tool_calls(events: DataFrame, schemas: dict[str, dict[str, dict]]) -> D
         whole = whole.withColumn("odd_row", F.lit(None).cast("long")).withColumn("level", F.lit(None).cast("long"))
     else:
         whole = whole.join(steps, F.col("row") == F.col("odd_row"), "left")
-    wrong = F.when(F.col("kind") == "call", argument_errors(F.col("name"), F.col("payload"), schemas)).otherwise(F.array().cast("array<string>"))
-    whole = whole.withColumn("errors", F.concat(wrong, F.coalesce("missing", F.array().cast("array<string>"))))
+    whole = whole.join(_written(events, schemas).withColumnRenamed("row", "text_row"), F.col("row") == F.col("text_row"))
+    whole = whole.withColumn("errors", F.concat("wrong", F.coalesce("missing", F.array().cast("array<string>"))))
     twisting = F.col("odd_row").isNotNull() & F.col("level").isNull()
     call, result = F.col("kind") == "call", F.col("kind") == "result"
     later = (call & (F.col("call_row") != F.col("row"))) | (result & (F.col("result_row") != F.col("row")))
@@ -146,12 +178,8 @@ def link_tool_calls(events: DataFrame, schemas: dict[str, dict[str, dict]]) -> D
         .otherwise("ok")
     )
     step = F.when(twisting, F.lit(2**62)).when(F.col("odd_row").isNotNull(), F.col("level")).otherwise(F.col("turn"))
-    parsed = F.try_parse_json("payload")
-    as_call = F.to_json(F.struct(parsed.alias("arguments"), "call_id", "kind", "name"))
-    as_text = F.to_json(F.struct(F.when(call, F.col("payload")).alias("arguments"), "call_id", F.when(~call, F.col("payload")).alias("content"), "kind", "name"))
     return whole.select(
-        "conv_id", "turn", "kind", "call_id", step.alias("step"), status.alias("status"), F.concat_ws(",", "errors").alias("errors"),
-        F.when(call & parsed.isNotNull(), as_call).otherwise(as_text).alias("json"),
+        "conv_id", "turn", "kind", "call_id", step.alias("step"), status.alias("status"), F.concat_ws(",", "errors").alias("errors"), "json",
     )
 
 

@@ -312,6 +312,24 @@ def test_links_and_order(spark):
     assert [r["step"] for r in rows if r["conv_id"] == 2] == [r["turn"] for r in rows if r["conv_id"] == 2]
 
 
+def test_ties_go_to_the_least_payload(spark):
+    call = lambda n, conv=1, turn=0, name="add": (conv, turn, "call", "a", name, f'{{"a":{n}}}')
+    # In turn: least arguments, least name, null arguments first, a hot id; a null in another field is another event.
+    events = [call(3), call(2), call(1), call(1), call(0, turn=1)]
+    events += [call(1, 2, name="list"), call(9, 2), call(5, 3), (3, 0, "call", "a", "add", None), (3, 1, "result", "a", None, "z"), (3, 1, "result", "a", None, "y")]
+    events += [call(n, 4) for n in range(10, 80)] + [(5, 0, "message", None, "x", "p"), (5, 0, "message", "x", None, "p"), (None, None, "call", "n", None, "2"), (None, None, "call", "n", None, "1")]
+    got = _link(spark, events).collect()
+    assert len(got) == len(set(events))
+    first = sorted((r["conv_id"] or 0, r["kind"], r["json"]) for r in got if r["status"] in ("unanswered", "ok", "invalid") and r["kind"] != "message")
+    begins = lambda n: f'{{"arguments":{{"a":{n}}},"call_id":"a","kind":"call","name":"add"}}'
+    want = [
+        (0, "call", '{"arguments":1,"call_id":"n","kind":"call"}'), (1, "call", begins(1)), (2, "call", begins(9)),
+        (3, "call", '{"call_id":"a","kind":"call","name":"add"}'), (3, "result", '{"call_id":"a","content":"y","kind":"result"}'), (4, "call", begins(10)),
+    ]
+    assert first == want
+    assert {r["json"] for r in got if r["conv_id"] == 5} == {'{"content":"p","kind":"message","name":"x"}', '{"call_id":"x","content":"p","kind":"message"}'}
+
+
 def test_tool_calls_empty(spark):
     assert _link(spark, []).collect() == []
 
