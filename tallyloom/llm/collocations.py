@@ -277,7 +277,8 @@ def collocations(
     of them survive go on with a lower floor, at last with 0.
 
     Tasks count ``held_words`` words at a time, or ``held_phrases`` places of grown phrases, and Spark adds them up. Which phrases to grow is told to
-    the tasks by a filter of 1 to 32 MB; what it lets through by chance is counted exactly too and changes nothing.
+    the tasks by a filter of 1 to 32 MB; what it lets through by chance is counted too and can drop a phrase inside it, but is not
+    scored: its prefix keeps it below the floor, and not all of its cuts are counted.
 
     Null texts are empty, a null language is "und"; words may be of any length, long texts are read in stretches. Equal
     rows count each. Other columns are not read; empty tables and languages without candidates give no rows.
@@ -328,7 +329,11 @@ def _above(pairs: DataFrame, counts: DataFrame, floors: DataFrame, counted, held
         if length > 3:
             counts = _with_rests(longer, counts, level, counted, length, held)
         counts = stored(counts.unionByName(longer), "counts") if length < LONGEST else counts
-        level = stored(_scored(longer, counts, length).join(floors, "lang"), f"scored-{length}")
+        # Only what the grown ones begin has the counts of all its cuts; all others score below the floor.
+        reach = level.filter("bound >= floor").select("lang", F.col("gram").alias("first"))
+        first = longer.withColumn("words", F.split("gram", " ")).withColumn("first", _part(1, F.lit(length - 1)))
+        level = _scored(first.join(reach, ["lang", "first"], "left_semi").select("lang", "gram", "a"), counts, length)
+        level = stored(level.join(floors, "lang"), f"scored-{length}")
     found.append(level.filter("score >= floor"))
     longest = reduce(DataFrame.unionByName, [_inside(e) for e in extensions])
     kept = reduce(DataFrame.unionByName, found).join(longest, ["lang", "gram"], "left")

@@ -90,6 +90,19 @@ def test_collocations_small_counters(spark):
     assert sorted(tuple(r) for r in got.collect()) == _collocations(rows, 2000, 3)
 
 
+def test_collocations_that_a_full_filter_lets_through(spark, monkeypatch):
+    """Four-word phrases grown by chance, of whose cuts some are not counted, must not enter the list."""
+    plain, rng = phrases.phrase_filter, np.random.default_rng(1)
+    monkeypatch.setattr(
+        phrases, "phrase_filter", lambda grams, width: plain(grams, width) | (rng.integers(0, 256, 1 << 20, np.uint8) & rng.integers(0, 256, 1 << 20, np.uint8))
+    )
+    rows = [(f"u{k} v{k}", "en") for k in range(30)] * 3
+    for k in range(60):
+        rows += [(f"a{k} b{k} c{k} d{k}", "en")] * 4 + [(f"a{k}, b{k}, c{k}, d{k}, " * 50, "en")]
+    got = collocations(_frame(spark, [(k, t, lang) for k, (t, lang) in enumerate(rows)]), best=12, least_count=3)
+    assert sorted(tuple(r) for r in got.collect()) == _collocations(rows, 12, 3)
+
+
 @pytest.mark.parametrize("most", [1, 7, 40, 1000])
 def test_long_texts_are_cut_without_losing_a_phrase(most):
     text = ("ab cd. ef gh ij kl mn, op  qr\tst " + "x" * 50 + " uv " * 9).encode()
