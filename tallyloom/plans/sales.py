@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -164,9 +164,19 @@ def split_returns(transactions: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def stage_valid(transactions: DataFrame) -> DataFrame:
+    return staged(valid_transactions(transactions)).select(*STAGING_COLUMNS)
+
+
+def valid_transactions(transactions: DataFrame) -> DataFrame:
+    """The valid sales as they came, without the flag."""
     valid, _ = split_returns(transactions)
+    return valid.drop("ReturnFlag")
+
+
+def staged(valid: DataFrame) -> DataFrame:
+    """The staging columns of valid sales, and after them what joins have added: the columns that staging does not read."""
     features = revenue_features(date_features(valid)).withColumnRenamed("Discount", "DiscountRate")
-    return features.select(*STAGING_COLUMNS)
+    return features.select(*STAGING_COLUMNS, *[F.col(f"`{c}`") for c in features.columns if c not in STAGING_COLUMNS])
 
 
 def staging_branches(transactions: DataFrame) -> tuple[DataFrame, list, list]:
@@ -185,9 +195,13 @@ def enrich_star(
     targets: DataFrame | None = None,
     target_keys: Sequence[str] = ("Region", "Year", "Quarter"),
     check: bool = False,
+    late: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Fact with its dimensions; every fact row stays exactly once when the keys are unique.
 
+    Beyond broadcast size every join shuffles the fact with all columns it has by then, so ``late`` (``staged``) adds the
+    fact's own formulas after the joins by key, and before the one with ``targets``.
+
     Leave out a dimension whose columns are not needed: the optimizer keeps an unused outer join, and
     beyond broadcast size each one shuffles the fact. ``targets`` needs the customers' region.
     ``check`` verifies unique keys (one small job per dimension). ``target_keys=("Region", "Quarter")``
@@ -197,6 +211,11 @@ def enrich_star(
     for dim, key in ((customers, "CustomerID"), (products, "ProductID"), (reps, "SalesRepID")):
         if dim is not None:
             df = join_dim(df, dim, key, check=check)
+    if late:
+        # In the order in which the joins leave the columns: their keys first, that of the last join in front.
+        keys = [key for dim, key in ((reps, "SalesRepID"), (products, "ProductID"), (customers, "CustomerID")) if dim is not None]
+        df = late(df)
+        df = df.select(*keys, *[F.col(f"`{c}`") for c in df.columns if c not in keys])
     if targets is not None:
         wanted = [*target_keys, "RevenueTarget", "UnitTarget", "RetentionTarget"]
         df = join_dim(df, targets, target_keys, wanted, check)

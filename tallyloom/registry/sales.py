@@ -46,14 +46,24 @@ DIMENSIONS = {
 }
 
 
+def valid(spark: SparkSession, d: str) -> DataFrame:
+    return sales.valid_transactions(model.sales_lines(spark, d))
+
+
+def staged(lines: DataFrame) -> DataFrame:
+    """The id and formulas of staging for ``valid`` lines, with what joins have added."""
+    return sales.staged(model.with_transaction_id(lines))
+
+
 def star(spark: SparkSession, d: str) -> DataFrame:
-    return sales.enrich_star(staging(spark, d), **{name: load(spark, d) for name, load in DIMENSIONS.items()})
+    dims = {name: load(spark, d) for name, load in DIMENSIONS.items()}
+    return sales.enrich_star(valid(spark, d), late=staged, **dims)
 
 
 def enriched(spark: SparkSession, d: str, *needed: str) -> DataFrame:
     """The enriched transactions, with all dimensions or with the needed ones."""
     dims = {name: DIMENSIONS[name](spark, d) for name in needed or DIMENSIONS}
-    return sales.enrich(staging(spark, d), rules=RULES, **dims)
+    return sales.enrich(valid(spark, d), rules=RULES, late=staged, **dims)
 
 
 def lines(spark: SparkSession, d: str) -> DataFrame:

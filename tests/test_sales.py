@@ -5,6 +5,8 @@ from decimal import Decimal
 
 import pytest
 
+import __spark_entry__  # noqa: F401  registers the queries
+from tallyloom import registry
 from tallyloom.plans import reports, retail, sales
 
 
@@ -109,3 +111,17 @@ def test_the_row_kept_for_a_tied_key_does_not_depend_on_the_partitions(spark):
     df = spark.createDataFrame(rows, "k int, o string, v string, w int")
     found = {tuple(sorted(map(tuple, retail.dim_first(part, "k", ["o"]).collect()))) for part in (df.coalesce(1), df.repartition(7), df.repartition(5, "v"))}
     assert len(found) == 1
+
+
+def test_ids_and_formulas_come_after_the_joins_that_shuffle_the_fact(spark):
+    for name in ("star_enriched", "enriched_transactions"):
+        plan = registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan[plan.rindex("concat_ws") :].count("LeftOuter") == 3
+
+
+def test_late_formulas_give_the_staged_star(tables):
+    tx, *dims = tables
+    late = sales.enrich_star(sales.valid_transactions(tx), *dims, late=sales.staged)
+    plain = sales.enrich_star(sales.stage_valid(tx), *dims)
+    assert late.columns == plain.columns and sorted(map(str, late.collect())) == sorted(map(str, plain.collect()))
+    assert sales.stage_valid(tx.selectExpr("*", "1 AS other")).columns == sales.STAGING_COLUMNS
