@@ -126,6 +126,24 @@ def test_shuffles_follow_the_input_size(spark):
         spark.conf.unset(key)
 
 
+def test_merged_shuffle_partitions_stay_small(spark):
+    """A task's memory must not grow with the input: partitions merge up to a fixed size, and there are enough of them."""
+    parts, merged = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(merged, None)
+    try:
+        spark.conf.unset(merged)
+        size_shuffles(spark, 6 * 2**30)
+        assert (spark.conf.get(parts), spark.conf.get(merged)) == (str(6 * 2**30 // (8 * 2**20)), str(16 * 2**20))
+        spark.conf.set(merged, "16k")
+        size_shuffles(spark, 1)
+        assert spark.conf.get(merged) == "16k"
+    finally:
+        spark.conf.unset(parts)
+        spark.conf.unset(merged)
+        if before is not None:
+            spark.conf.set(merged, before)
+
+
 def test_files_are_united_by_the_headers_they_have(spark, tmp_path, rows):
     for k in range(60):
         head, line = [("id,name", f"{k},007"), ("name,amount,id", f"x{k},1.5,{k}"), ('"id","when, utc",name', f'{k},2024-01-0{1 + k % 9},')][k % 3]
