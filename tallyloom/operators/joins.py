@@ -9,10 +9,11 @@ such joins can salt their hot keys (``join_hot``, ``split_hot=True``).
 from __future__ import annotations
 
 import string
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql.types import StringType
 
 from tallyloom.operators.quality import require_unique
 from tallyloom.session import checkpointed
@@ -106,6 +107,39 @@ def measured(dim: DataFrame, rows: int = 200_000) -> DataFrame:
     return F.broadcast(dim) if dim.limit(rows + 1).count() <= rows else dim
 
 
+def coded(dim: DataFrame, keys: Sequence[str], values: int = 256) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """A dimension with one number in place of its columns of few different texts, and what spells them out again.
+
+    For a wide dimension whose columns pass through several shuffles with the fact. Two jobs over the dimension look for
+    the columns: their distinct texts are estimated, and read where there are at most some ``values``; all other columns
+    and the ``keys`` stay. The second result, for any table joined to the first, brings the columns back at the end; a row
+    that found no match has none. The texts are written into the plan.
+    """
+    texts = [f.name for f in dim.schema if f.dataType == StringType() and f.name not in keys]
+    if not texts:
+        return dim, lambda df: df
+    found = dim.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"n{k}") for k, c in enumerate(texts)]).first()
+    texts = [c for c, n in zip(texts, found) if 0 < n <= values]
+    if not texts:
+        return dim, lambda df: df
+    sets = dim.agg(*[F.sort_array(F.collect_set(F.col(f"`{c}`"))).alias(f"s{k}") for k, c in enumerate(texts)]).first()
+    name = "__texts_" + "_".join(keys)
+    number, size, spelt = F.lit(0).cast("bigint"), 1, {}
+    for c, known in zip(texts, sets):
+        if size * (len(known) + 1) >= 2**63:
+            break
+        # Place 0 is the null.
+        lookup, text = F.array(*[F.lit(v) for v in known]), F.col(f"`{c}`")
+        place = F.array_position(lookup, text)
+        place = F.when(text.isNull(), 0).when(place > 0, place).otherwise(F.raise_error(F.lit(f"{c} has changed")))
+        number = number + place * F.lit(size).cast("bigint")
+        at = F.expr(f"`{name}` div {size}L") % F.lit(len(known) + 1)
+        spelt[c] = F.get(lookup, (at - 1).cast("int"))
+        size *= len(known) + 1
+    narrow = dim.select(*[F.col(f"`{c}`") for c in dim.columns if c not in spelt], number.alias(name))
+    return narrow, lambda df: df.withColumns(spelt).drop(name)
+
+
 def left_keep(left: DataFrame, right: DataFrame, on: str | Sequence[str], split_hot: bool = False) -> DataFrame:
     """Matched and unmatched left rows together, that is a left outer join."""
     return join_dfs(left, right, on, "left", split_hot)

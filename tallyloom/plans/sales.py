@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.functions import formulas as fx
 from tallyloom.operators.joins import join_dim
+from tallyloom.operators.quality import require_unique
 from tallyloom.operators.rows import split_rows
 
 Edges = tuple[tuple[object, str], ...]
@@ -196,11 +197,13 @@ def enrich_star(
     target_keys: Sequence[str] = ("Region", "Year", "Quarter"),
     check: bool = False,
     late: Callable[[DataFrame], DataFrame] | None = None,
+    joined: Sequence[str] = (),
 ) -> DataFrame:
     """Fact with its dimensions; every fact row stays exactly once when the keys are unique.
 
     Beyond broadcast size every join shuffles the fact with all columns it has by then, so ``late`` (``staged``) adds the
-    fact's own formulas after the joins by key, and before the one with ``targets``.
+    fact's own formulas after the joins by key, and before the one with ``targets``. ``joined`` are the keys of the
+    dimensions whose columns the fact already has, in full after ``late``; these are named all the same.
 
     Leave out a dimension whose columns are not needed: the optimizer keeps an unused outer join, and
     beyond broadcast size each one shuffles the fact. ``targets`` needs the customers' region.
@@ -208,14 +211,19 @@ def enrich_star(
     suits targets of a single year.
     """
     df = staging
-    for dim, key in ((customers, "CustomerID"), (products, "ProductID"), (reps, "SalesRepID")):
-        if dim is not None:
+    dims = [(dim, key) for dim, key in ((customers, "CustomerID"), (products, "ProductID"), (reps, "SalesRepID")) if dim is not None]
+    for dim, key in dims:
+        if key not in joined:
             df = join_dim(df, dim, key, check=check)
+        elif check:
+            require_unique(dim, [key], "dimension")
     if late:
         # In the order in which the joins leave the columns: their keys first, that of the last join in front.
-        keys = [key for dim, key in ((reps, "SalesRepID"), (products, "ProductID"), (customers, "CustomerID")) if dim is not None]
+        keys = [key for _, key in reversed(dims)]
+        added = [c for dim, _ in dims for c in dim.columns if c not in keys]
         df = late(df)
-        df = df.select(*keys, *[F.col(f"`{c}`") for c in df.columns if c not in keys])
+        own = [c for c in df.columns if c not in keys and c not in added]
+        df = df.select(*keys, *[F.col(f"`{c}`") for c in [*own, *added]])
     if targets is not None:
         wanted = [*target_keys, "RevenueTarget", "UnitTarget", "RetentionTarget"]
         df = join_dim(df, targets, target_keys, wanted, check)

@@ -164,6 +164,21 @@ def test_measured(spark):
     assert "broadcast" in hinted and "broadcast" not in plain
 
 
+def test_coded_dimension_comes_back(spark):
+    """Few texts become one number, with nulls, repeated keys and rows without a match; many texts stay."""
+    rows = [(k, f"name {k}", f"colour {k % 3}" if k % 4 else None, "" if k % 2 else "même", None, k) for k in [*range(40), 7]]
+    rows.append((None, "nobody", "blue", "", None, 0))
+    dim = spark.createDataFrame(rows, "k long, name string, colour string, word string, none string, n long")
+    narrow, spelt = ops.coded(dim, ["k"], values=20)
+    assert [c for c in narrow.columns if c in dim.columns] == ["k", "name", "none", "n"] and len(narrow.columns) == 5
+    fact = spark.createDataFrame([(k, j) for j, k in enumerate([1, 2, 2, 7, 39, 40, None])], "k long, j long")
+    want = fact.join(dim, "k", "left")
+    got = spelt(fact.join(narrow, "k", "left")).select(*want.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and got.filter("colour IS NOT NULL").count() == 6
+    plain, same = ops.coded(dim.select("k", "n"), ["k"])
+    assert same(plain).columns == ["k", "n"]
+
+
 @pytest.mark.parametrize("how", ["left", "right", "outer"])
 def test_join_hot_equals_the_plain_join(spark, how):
     left = spark.range(3000).select(F.when(F.col("id") % 7 != 0, F.col("id") % 60).alias("k"), F.col("id").alias("a"))

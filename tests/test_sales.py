@@ -1,13 +1,18 @@
 """The sales pipeline on hand-made rows."""
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401  registers the queries
 from tallyloom import registry
+from tallyloom.operators import joins
 from tallyloom.plans import reports, retail, sales
+from tallyloom.registry import sales as registered
+from tallyloom.sources import model
 
 
 @pytest.fixture(scope="module")
@@ -125,3 +130,53 @@ def test_late_formulas_give_the_staged_star(tables):
     plain = sales.enrich_star(sales.stage_valid(tx), *dims)
     assert late.columns == plain.columns and sorted(map(str, late.collect())) == sorted(map(str, plain.collect()))
     assert sales.stage_valid(tx.selectExpr("*", "1 AS other")).columns == sales.STAGING_COLUMNS
+
+
+def star_tables(spark, d):
+    """Tables with null and repeated keys, orders without customers or lines, and lines without products or reps."""
+    day = dt.datetime(1996, 5, 2)
+    rows = {
+        "region": [(0, "AFRICA"), (1, "ASIA")],
+        "nation": [(0, "N0", 0), (1, "N1", 1)],
+        "customer": [(1, "Ann", 0, 4000.0, "SMB"), (2, None, 1, 100.5, None), (2, "Bob", 1, 9000.0, "HW"), (None, "Nil", 0, 1.0, "HW"), (3, "Far", 9, 1.0, "HW")],
+        "supplier": [(1, "Rob", 0, 1.0), (2, None, 1, 2.0), (2, "Sue", 0, 2.0), (None, "Nil", 1, 3.0)],
+        "part": [(1, "pump", "Brand#1", "LARGE", 4, 900.0), (1, "pipe", None, "SMALL", None, None), (2, None, "Brand#2", None, 7, 10.0), (None, "nil", "x", "y", 1, 1.0)],
+        "orders": [(k, c, "O", 1.0, day, p) for k, c, p in [(1, 1, "1-URGENT"), (2, 2, "5-LOW"), (3, 8, None), (4, None, "3-MEDIUM"), (4, 3, "2-HIGH"), (5, 1, "5-LOW"), (None, 1, "5-LOW")]],
+        "lineitem": [
+            (o, p, s, n, 2.0, 50.0 * n, 0.05, 0.0, f, "O", day)
+            for n, (o, p, s, f) in enumerate([(1, 1, 1, "N"), (1, 2, 2, "A"), (2, 1, 2, None), (3, 9, 1, "N"), (4, None, 9, "N"), (4, 2, None, "R"), (9, 1, 1, "N"), (None, 1, 1, "N")], 1)
+        ],
+    }
+    for name, found in rows.items():
+        spark.createDataFrame(found, model.SCHEMAS[name]).write.parquet(f"{d}/{name}.parquet")
+    return str(d)
+
+
+@pytest.mark.parametrize("few", [500_000, 0])
+def test_narrow_joins_give_the_enriched_rows(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(registered, "FEW_REPS", few)
+    d = star_tables(spark, tmp_path)
+    got, want = registered.enriched_whole(spark, d), registered.enriched(spark, d)
+    assert got.columns == want.columns and want.count() == 2 + 2 + 8 + 1 + 2
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("few", [500_000, 0])
+def test_texts_of_dimensions_are_not_shuffled_with_the_lines(spark, monkeypatch, few):
+    """Beyond broadcast size: three or four exchanges of the fact, by key, and no column that a number can stand for."""
+    monkeypatch.setattr(registered, "FEW_REPS", few)
+    monkeypatch.setattr(joins, "measured", lambda dim, rows: F.broadcast(dim) if rows else dim)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = registry.QUERIES["enriched_transactions"](spark, "/root/testdata/sf0.001")
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        plan = df._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]\nArguments: hashpartitioning\((\w+)#", plan)
+    by_key = {key: cols for cols, key in moved if key in ("l_suppkey", "l_partkey", "l_orderkey", "o_custkey", "o_orderkey")}
+    assert len(by_key) == (4 if few else 5)
+    assert not any(key in ("CustomerID", "SalesRepID") and "OrderID" in cols for cols, key in moved)
+    assert not any(f" {c}#" in cols for cols in by_key.values() for c in ("Segment", "Country", "State", "Category", "Brand"))
+    assert "CustomerName#" not in by_key["l_orderkey"] and "__texts_CustomerID#" in by_key["o_orderkey"]
