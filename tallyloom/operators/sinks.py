@@ -10,7 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tallyloom.session import fresh_path
+from tallyloom.session import fresh_path, shuffles_removed
 
 FORMATS = ("csv", "parquet", "delta")
 VERSION = "version-"
@@ -158,13 +158,20 @@ def sanitize_columns(df: DataFrame, pattern: str = r"[^A-Za-z0-9_]") -> DataFram
     return df.toDF(*names)
 
 
-def run_reports(shared: DataFrame, reports: Mapping[str, Callable[[DataFrame], DataFrame]]) -> dict[str, DataFrame]:
+def run_reports(
+    shared: DataFrame | Sequence[DataFrame], reports: Mapping[str, Callable[[DataFrame], DataFrame]]
+) -> dict[str, DataFrame]:
     """Store a table once in the shared folder and derive every report from the stored copy.
 
-    Runs one write job, in place of the table's whole plan again for each report.
+    Runs one write job, in place of the table's whole plan again for each report. What that job shuffled is removed as
+    soon as the rows are stored, so the disk does not hold it beside the shuffles of the reports. A table in several
+    parts is stored one part after the other, so that the disk never holds the shuffles of two.
     """
-    spark = shared.sparkSession
+    parts = [shared] if isinstance(shared, DataFrame) else list(shared)
+    spark = parts[0].sparkSession
     path = fresh_path(spark, "shared")
-    shared.write.parquet(path)
+    with shuffles_removed(spark):
+        for part in parts:
+            part.write.mode("append").option("compression", "zstd").parquet(path)
     stored = spark.read.parquet(path)
     return {name: report(stored) for name, report in reports.items()}

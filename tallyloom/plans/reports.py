@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tallyloom.functions import formulas as fx
+from tallyloom.session import shuffles_removed
 
 
 def distribution(
@@ -203,14 +204,8 @@ def kpi_snapshot(enriched: DataFrame) -> DataFrame:
 
 
 def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows and columns per table."""
-    sizes = [
-        df.agg(F.count(F.lit(1)).alias("RowCount")).select(
-            F.lit(name).alias("TableName"), "RowCount", F.lit(len(df.columns)).alias("ColumnCount")
-        )
-        for name, df in tables.items()
-    ]
-    out = sizes[0]
-    for size in sizes[1:]:
-        out = out.unionByName(size)
-    return out
+    """Rows and columns per table, counted one after the other, so that the disk holds the shuffles of one count at a time."""
+    spark = next(iter(tables.values())).sparkSession
+    with shuffles_removed(spark):
+        sizes = [(name, df.agg(F.count(F.lit(1))).collect()[0][0], len(df.columns)) for name, df in tables.items()]
+    return spark.createDataFrame(sizes, "TableName string not null, RowCount bigint not null, ColumnCount int not null")

@@ -6,12 +6,17 @@ from tallyloom.operators import quality
 from tallyloom.operators.sinks import run_reports
 from tallyloom.plans import reports, sales
 from tallyloom.registry import query
-from tallyloom.registry.sales import RULES, dashboard, enriched, kpi, lines, performance, reps, returned, staging
+from tallyloom.registry.sales import RULES, dashboard, enriched, enriched_parts, kpi, lines, performance, reps, returned, staging
 from tallyloom.registry.sql import (
     CUSTOMERS, DASHBOARD, ENRICHED, KPI, PERFORMANCE, STAGING, TX, money, pct, ratio, rep_report, sql,
 )
+from tallyloom.session import input_bytes
 from tallyloom.sources import model
 
+# The shared copy is stored in one part more for every PART_BYTES of input, up to SHARED_PARTS: each reads the input.
+PART_BYTES = 128 * 2**20
+SHARED_PARTS = 4
+
 
 @query(
     "transaction_overview",
@@ -365,8 +370,9 @@ UNION ALL SELECT 'regional_dashboard', count(DISTINCT ("Region", "Year", "Quarte
 )
 def table_sizes(spark, d):
     """Rows and columns of all tables; the reports share one stored copy of the enriched table."""
+    parts = min(SHARED_PARTS, 1 + input_bytes(spark, d) // PART_BYTES)
     derived = run_reports(
-        enriched(spark, d),
+        enriched_parts(spark, d, parts, by_product=True),
         {
             "enriched_transactions": lambda df: df,
             "customer_kpi_report": lambda df: sales.customer_kpi(df, RULES),

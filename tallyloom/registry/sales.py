@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.functions import formulas as fx
@@ -71,22 +73,35 @@ FEW_REPS = 500_000
 
 
 def enriched_whole(spark: SparkSession, d: str) -> DataFrame:
-    """The enriched transactions with all columns, so that what is shuffled stays narrow.
+    """The enriched transactions with all columns, so that what is shuffled stays narrow."""
+    return enriched_parts(spark, d)[0]
+
+
+def enriched_parts(spark: SparkSession, d: str, parts: int = 1, by_product: bool = False) -> list[DataFrame]:
+    """The enriched transactions with all columns, each order in one of several parts; every part reads all files.
 
     The products join the lines and the customers the orders before these meet; their texts pass as a number where few
     are different. The reps are broadcast after that; where they are too many, they join the lines first of all.
+    With ``by_product`` the products join last: more is shuffled, but beyond broadcast size the rows of a product come
+    together, which makes a stored copy smaller and its aggregates by product small before they are shuffled.
     """
     dims = {name: load(spark, d) for name, load in DIMENSIONS.items()}
-    goods, goods_spelt = joins.coded(dims["products"], ["ProductID"])
-    people, people_spelt = joins.coded(dims["customers"], ["CustomerID"])
-    first = {"ProductID": goods, "CustomerID": people}
+    first, spelt = {}, []
+    for name, key in (("customers", "CustomerID"),) if by_product else (("products", "ProductID"), ("customers", "CustomerID")):
+        first[key], back = joins.coded(dims[name], [key])
+        spelt.append(back)
     reps = joins.measured(dims["reps"], FEW_REPS)
     if reps is dims["reps"]:
         first = {"SalesRepID": reps, **first}
     facts = sales.valid_transactions(model.sales_lines(spark, d, first))
-    return sales.enrich(
-        facts, rules=RULES, late=lambda df: staged(goods_spelt(people_spelt(df))), joined=tuple(first), **{**dims, "reps": reps}
-    )
+    # The condition holds for lines and orders alike, so the optimizer applies it to both before they are shuffled.
+    part = F.pmod(F.xxhash64("OrderID"), F.lit(parts))
+    found = [facts.filter(part == k) for k in range(parts)] if parts > 1 else [facts]
+    dims["reps"] = reps
+    return [
+        sales.enrich(one, rules=RULES, late=lambda df: staged(reduce(lambda df, back: back(df), spelt, df)), joined=tuple(first), **dims)
+        for one in found
+    ]
 
 
 def lines(spark: SparkSession, d: str) -> DataFrame:

@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators import sinks
+from tallyloom.plans import reports
 from tallyloom.registry.files import TREND, TREND_TITLE
-from tallyloom.session import shared_dir, size_shuffles
+from tallyloom.session import CLEAN_SHUFFLES, shared_dir, size_shuffles
 from tallyloom.sources import files
 
 
@@ -115,6 +116,18 @@ def test_reports_share_one_copy(spark):
     assert all(shared_dir(spark).removeprefix("file:") in f for f in out["all"].inputFiles())
 
 
+def test_reports_and_their_sizes_keep_no_shuffles(spark):
+    def kept():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(k).getName() for k in range(found.size()) if found.apply(k).getName().startswith("shuffle_")}
+
+    before, setting = kept(), spark.conf.get(CLEAN_SHUFFLES, None)
+    out = sinks.run_reports(spark.range(1000).repartition(3, "id"), {"all": lambda df: df, "n": lambda df: df.groupBy("id").count()})
+    assert sorted(map(tuple, reports.table_sizes(out).collect())) == [("all", 1000, 1), ("n", 1000, 2)]
+    assert not kept() - before and spark.conf.get(CLEAN_SHUFFLES, None) == setting
+    assert all(f.endswith(".zstd.parquet") for f in out["all"].inputFiles())
+
+
 def test_shuffles_follow_the_input_size(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     try:

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401  registers the queries
 from tallyloom import registry
-from tallyloom.operators import joins
+from tallyloom.operators import joins, sinks
 from tallyloom.plans import reports, retail, sales
-from tallyloom.registry import sales as registered
+from tallyloom.registry import reports as report_queries, sales as registered
 from tallyloom.sources import model
 
 
@@ -180,3 +180,31 @@ def test_texts_of_dimensions_are_not_shuffled_with_the_lines(spark, monkeypatch,
     assert not any(key in ("CustomerID", "SalesRepID") and "OrderID" in cols for cols, key in moved)
     assert not any(f" {c}#" in cols for cols in by_key.values() for c in ("Segment", "Country", "State", "Category", "Brand"))
     assert "CustomerName#" not in by_key["l_orderkey"] and "__texts_CustomerID#" in by_key["o_orderkey"]
+
+
+@pytest.mark.parametrize("by_product", [True, False])
+def test_parts_make_the_enriched_rows(spark, tmp_path, by_product):
+    """Each order in one part, and the other lines and orders of a part are left out before they are shuffled."""
+    d = star_tables(spark, tmp_path)
+    parts, want = registered.enriched_parts(spark, d, 3, by_product), registered.enriched(spark, d)
+    assert all(p.columns == want.columns for p in parts)
+    found = [p.collect() for p in parts]
+    assert sorted(str(r) for rows in found for r in rows) == sorted(map(str, want.collect()))
+    assert sum(len({r.OrderID for r in rows}) for rows in found) == want.select("OrderID").distinct().count()
+    plan = parts[1]._jdf.queryExecution().optimizedPlan().toString()
+    assert all(f"pmod(xxhash64({key}#" in plan for key in ("l_orderkey", "o_orderkey"))
+
+
+def test_table_sizes_in_parts(spark, tmp_path, monkeypatch):
+    d = star_tables(spark, tmp_path)
+    stored = []
+
+    def kept(shared, found):
+        stored.append(len(shared))
+        return sinks.run_reports(shared, found)
+
+    monkeypatch.setattr(report_queries, "run_reports", kept)
+    whole = sorted(map(tuple, registry.QUERIES["table_sizes"](spark, d).collect()))
+    monkeypatch.setattr(report_queries, "PART_BYTES", 1)
+    assert sorted(map(tuple, registry.QUERIES["table_sizes"](spark, d).collect())) == whole
+    assert stored == [1, 4] and ("enriched_transactions", 15, 54) in whole and ("staging_returned_orders", 2, 11) in whole
